@@ -1 +1,156 @@
-"""To be filled."""
+"""Mart analyses on the star tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from starmill.catalog.facts import SNAPSHOT_SQL, snapshot
+from starmill.catalog.registry import query, table
+from starmill.operators.dimensions import flatten_chain
+from starmill.plans.analysis import (
+    age_band,
+    all_combinations,
+    multi_level,
+    rate_per,
+    relation,
+    totals,
+)
+
+
+def _places(spark, folder):
+    nations = table(spark, folder, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    return flatten_chain(nations, [(table(spark, folder, "region"), "r_regionkey")])
+
+
+def _orders(spark, folder):
+    """Orders as facts: year, status, and a count of one."""
+    return table(spark, folder, "orders").select(
+        "o_custkey",
+        "o_orderstatus",
+        F.year("o_orderdate").alias("year"),
+        F.lit(1).alias("one"),
+    )
+
+
+def _customer_places(spark, folder):
+    customers = table(spark, folder, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    return customers.join(_places(spark, folder), "n_nationkey")
+
+
+@query(
+    "mart_by_region",
+    """
+    SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    GROUP BY ALL
+    """,
+)
+def mart_by_region(spark, folder):
+    """Events by region, place and year."""
+    dimension = (_customer_places(spark, folder), "o_custkey", "c_custkey")
+    by = ["r_name", "n_name", "year"]
+    return totals(_orders(spark, folder), [dimension], by, "one", "n_orders")
+
+
+@query(
+    "mart_by_group",
+    """
+    WITH born AS (
+      SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS born FROM orders GROUP BY 1),
+    aged AS (
+      SELECT c_mktsegment, o_orderstatus,
+             year(o_orderdate) - year(born)
+               - CASE WHEN strftime(o_orderdate, '%m%d') < strftime(born, '%m%d')
+                      THEN 1 ELSE 0 END AS age
+      FROM orders JOIN born USING (o_custkey) JOIN customer ON o_custkey = c_custkey)
+    SELECT c_mktsegment, o_orderstatus, CAST(floor(age / 2.0) * 2 AS INTEGER) AS age_band,
+           count(*) AS n_orders
+    FROM aged GROUP BY ALL
+    """,
+)
+def mart_by_group(spark, folder):
+    """Events by group and age band; a customer's first order counts as birth."""
+    orders = table(spark, folder, "orders").select(
+        "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("day")
+    )
+    # Orders per customer, day and status first, so both joins move counts.
+    daily = orders.groupBy("o_custkey", "day", "o_orderstatus").agg(F.count("*").alias("n"))
+    born = orders.groupBy("o_custkey").agg(F.min("day").alias("born"))
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_mktsegment"
+    )
+    people = born.join(customers, "o_custkey")
+    aged = daily.join(people, "o_custkey").select(
+        "c_mktsegment",
+        "o_orderstatus",
+        age_band(F.col("born"), F.col("day"), 2).alias("age_band"),
+        "n",
+    )
+    return aged.groupBy("c_mktsegment", "o_orderstatus", "age_band").agg(
+        F.sum("n").alias("n_orders")
+    )
+
+
+@query(
+    "mart_rate",
+    SNAPSHOT_SQL
+    + """
+    SELECT n_name, CAST(round(sum(n_events) * 100000 / sum(base), 4) AS DOUBLE) AS rate
+    FROM snapshot JOIN nation ON place = n_nationkey GROUP BY 1
+    """,
+)
+def mart_rate(spark, folder):
+    """Events per 100,000 of the base measure."""
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name")
+    joined = snapshot(spark, folder).join(nations, F.col("place") == F.col("n_nationkey"))
+    return joined.groupBy("n_name").agg(F.round(rate_per("n_events", "base"), 4).alias("rate"))
+
+
+@query(
+    "mart_relation",
+    SNAPSHOT_SQL
+    + """
+    SELECT round(corr(a, b), 6) AS relation
+    FROM (SELECT place, sum(n_events) AS a, sum(base) AS b FROM snapshot GROUP BY 1)
+    """,
+)
+def mart_relation(spark, folder):
+    """Correlation of events and base over places."""
+    related = relation(snapshot(spark, folder), ["place"], "n_events", "base", "relation")
+    return related.select(F.round("relation", 6).alias("relation"))
+
+
+@query(
+    "mart_rollup",
+    """
+    SELECT r_name, n_name, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders,
+           CAST(grouping(r_name, n_name, CAST(year(o_orderdate) AS INTEGER)) AS INTEGER) AS level
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    GROUP BY ROLLUP (r_name, n_name, CAST(year(o_orderdate) AS INTEGER))
+    """,
+)
+def mart_rollup(spark, folder):
+    """Totals by region, by place within it, by year within that, and overall."""
+    return multi_level(
+        mart_by_region(spark, folder), ["r_name", "n_name", "year"], "n_orders", "n_orders"
+    )
+
+
+@query(
+    "mart_cube",
+    """
+    SELECT r_name, o_orderstatus, count(*) AS n_orders,
+           CAST(grouping(r_name, o_orderstatus) AS INTEGER) AS level
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    GROUP BY CUBE (r_name, o_orderstatus)
+    """,
+)
+def mart_cube(spark, folder):
+    """Totals for every combination of region and status."""
+    dimension = (_customer_places(spark, folder), "o_custkey", "c_custkey")
+    by = ["r_name", "o_orderstatus"]
+    rows = totals(_orders(spark, folder), [dimension], by, "one", "n_orders")
+    return all_combinations(rows, by, "n_orders", "n_orders")

@@ -8,25 +8,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def totals(facts: DataFrame, dimensions: Sequence[tuple[DataFrame, str, str]],
-           by: Sequence[str], measure: str, name: str) -> DataFrame:
-    """Sum of a measure by dimension attributes.
-
-    The measure is first summed per combination of keys, so the joins see one row per
-    combination instead of one per event.
+def totals(
+    facts: DataFrame,
+    dimensions: Sequence[tuple[DataFrame, str, str]],
+    by: Sequence[str],
+    measure: str,
+    name: str,
+) -> DataFrame:
+    """Sum of a measure by attributes of dimensions or of the facts themselves.
+
+    Each dimension is (table, key in the facts, key in the table). The measure is summed
+    per combination of keys before any join, so the joins move one row per combination
+    instead of one per event, however many events a key holds.
     """
-    keys = list(dict.fromkeys(key for _, key, _ in dimensions))
-    per_key = facts.groupBy(*keys).agg(F.sum(measure).alias(name))
-    for table, key, table_key in dimensions:
-        wanted = [c for c in table.columns if c in by]
-        dim = table.select(F.col(table_key).alias(f"__{table_key}"), *wanted)
-        per_key = per_key.join(dim, F.col(key) == F.col(f"__{table_key}"), "inner")
-    return per_key.groupBy(*by).agg(F.sum(name).cast("bigint").alias(name))
+    own = [c for c in by if c in facts.columns]
+    keys = [key for _, key, _ in dimensions]
+    rows = facts.groupBy(*dict.fromkeys(keys + own)).agg(F.sum(measure).alias(name))
+    for number, (table, key, table_key) in enumerate(dimensions):
+        wanted = [c for c in table.columns if c in by and c not in own]
+        dim = table.select(F.col(table_key).alias(f"__key_{number}"), *wanted)
+        rows = rows.join(dim, F.col(key) == F.col(f"__key_{number}"), "inner")
+    return rows.groupBy(*by).agg(F.sum(name).cast("bigint").alias(name))
 
 
 def age_band(born: Column, day: Column, width: int = 10) -> Column:
     """First year of the age band at a day; null when either day is unknown."""
-    age = F.floor(F.months_between(day, born) / 12)
+    before_birthday = F.month(day) * 100 + F.day(day) < F.month(born) * 100 + F.day(born)
+    age = F.year(day) - F.year(born) - before_birthday.cast("int")
     return (F.floor(age / width) * width).cast("int")
 
 
@@ -43,13 +51,21 @@ def relation(df: DataFrame, group: Sequence[str], first: str, second: str, name:
 
 def multi_level(df: DataFrame, levels: Sequence[str], measure: str, name: str) -> DataFrame:
     """Totals at every level of a hierarchy, the grand total included."""
-    return df.rollup(*levels).agg(
-        F.sum(measure).cast("bigint").alias(name), F.grouping_id().cast("int").alias("level")
-    )
+    return _levels(_finest(df, levels, measure, name).rollup(*levels), name)
 
 
 def all_combinations(df: DataFrame, by: Sequence[str], measure: str, name: str) -> DataFrame:
     """Totals for every subset of the attributes."""
-    return df.cube(*by).agg(
-        F.sum(measure).cast("bigint").alias(name), F.grouping_id().cast("int").alias("level")
+    return _levels(_finest(df, by, measure, name).cube(*by), name)
+
+
+def _finest(df: DataFrame, by: Sequence[str], measure: str, name: str) -> DataFrame:
+    # Grouping sets repeat every input row once per set, so they get the totals of the
+    # finest level, not the events.
+    return df.groupBy(*by).agg(F.sum(measure).alias(name))
+
+
+def _levels(grouped, name: str) -> DataFrame:
+    return grouped.agg(
+        F.sum(name).cast("bigint").alias(name), F.grouping_id().cast("int").alias("level")
     )
