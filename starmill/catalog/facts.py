@@ -17,9 +17,16 @@ from starmill.operators.facts import (
     snapshot_with_counts,
 )
 from starmill.operators.lookups import Lookup, join_spreading_heavy
-from starmill.operators.numbering import number_rows
+from starmill.operators.numbering import number_rows, number_stored
 from starmill.plans.model import WAREHOUSE
-from starmill.plans.warehouse import event_load
+from starmill.plans.warehouse import (
+    cause_rows,
+    event_load,
+    person_rows,
+    staged_events,
+    unseen_causes,
+    unseen_persons,
+)
 
 STAMP = datetime(2024, 5, 1, 12, 30)
 
@@ -164,8 +171,8 @@ def _stand_in_warehouse(spark, folder):
     return tables.__getitem__
 
 
-def _loaded(spark, folder):
-    return event_load(_event_source(spark, folder), _stand_in_warehouse(spark, folder), STAMP)
+def _staged(spark, folder):
+    return staged_events(_event_source(spark, folder))
 
 
 @query(
@@ -186,8 +193,8 @@ def _loaded(spark, folder):
 )
 def event_movement(spark, folder):
     """The whole event load: cleaning, new members, lookups, flags, event numbers."""
-    movement = _loaded(spark, folder).movement
-    return movement.withColumn("is_numbered", F.col("CD_OBITO") > 0).drop(
+    load = event_load(_event_source(spark, folder), _stand_in_warehouse(spark, folder), STAMP)
+    return load.movement.withColumn("is_numbered", F.col("CD_OBITO") > 0).drop(
         "CD_OBITO", "DT_CARGA", "ENTREGA"
     )
 
@@ -202,8 +209,8 @@ def event_movement(spark, folder):
 )
 def event_numbers(spark, folder):
     """Event numbers are dense: as many as events, from 1 to their count."""
-    movement = _loaded(spark, folder).movement
-    return movement.agg(
+    numbered = number_stored(_staged(spark, folder), "CD_OBITO")
+    return numbered.agg(
         F.count("*").alias("n_events"),
         F.min("CD_OBITO").alias("first_number"),
         F.max("CD_OBITO").alias("last_number"),
@@ -229,7 +236,9 @@ def event_numbers(spark, folder):
 )
 def event_persons(spark, folder):
     """New persons of the event load, with their six resolved keys."""
-    return _loaded(spark, folder).persons.drop("DT_CARGA")
+    read = _stand_in_warehouse(spark, folder)
+    unseen = unseen_persons(_staged(spark, folder), read)
+    return person_rows(unseen, read, STAMP).drop("DT_CARGA")
 
 
 @query(
@@ -244,7 +253,9 @@ def event_persons(spark, folder):
 )
 def event_causes(spark, folder):
     """New cause pairs of the event load: one catalogue in two roles."""
-    return _loaded(spark, folder).causes.drop("DT_CARGA")
+    read = _stand_in_warehouse(spark, folder)
+    unseen = unseen_causes(_staged(spark, folder), read)
+    return cause_rows(unseen, read, STAMP).drop("DT_CARGA")
 
 
 @query(

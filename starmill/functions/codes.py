@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from starmill.functions.values import UNKNOWN_KEY, trimmed, whole_number, zero_pad
 
-_INTEGER_TEXT = r"^[+-]?\d+(\.0*)?$"
+# An integer with leading zeros, or a decimal that only repeats an integer.
+_INTEGER = r"^\+?(-?)0*(\d+?)(?:\.0*)?$"
 
 
 def code_text(column: Column) -> Column:
@@ -20,8 +21,8 @@ def code_text(column: Column) -> Column:
     integer column into decimals; both sides of a lookup go through this.
     """
     text = trimmed(column)
-    digits = F.when(text.rlike(_INTEGER_TEXT), whole_number(text)).cast("string")
-    return F.coalesce(digits, text)
+    plain = ~(text.startswith("0") | text.startswith("+") | text.contains("."))
+    return F.when(plain, text).otherwise(F.regexp_replace(text, _INTEGER, "$1$2"))
 
 
 def code_prefix(column: Column, length: int) -> Column:
@@ -47,15 +48,16 @@ def first_code_in_chain(columns: Sequence[Column], mark: str = "*") -> Column:
 
     Text without a mark gives null, so a caller's fallback applies.
     """
-    parts = F.split(F.coalesce(*[trimmed(c) for c in columns]), f"[{mark}]")
-    return F.concat(F.lit(mark), F.get(parts, F.lit(1)))
+    chain = F.coalesce(*columns)
+    second = F.substring_index(F.substring_index(chain, mark, 2), mark, -1)
+    return F.when(chain.contains(mark), F.concat(F.lit(mark), second))
 
 
 def terminal_code(
     columns: Sequence[Column], fallback: Column, length: int = 4, mark: str = "*"
 ) -> Column:
     """Chain code, or the marked fallback code where there is none, cut to a length."""
-    marked = F.concat(F.lit(mark), trimmed(fallback))
+    marked = F.concat(F.lit(mark), fallback)
     return code_prefix(F.coalesce(first_code_in_chain(columns, mark), marked), length)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starmill.functions.values import whole_number, zero_pad
+from starmill.functions.values import matched
 
 # Fixed formats of the source files and of the presented tables.
 SOURCE_DAY = "ddMMyyyy"
@@ -13,12 +13,16 @@ PRESENTED_DAY = "dd-MM-yyyy"
 PRESENTED_STAMP = "dd-MM-yyyy HH:mm"
 PRESENTED_UNKNOWN_DAY = "-1"
 
+# Day, month and year digits with lost or doubled leading zeros, maybe as a decimal.
+_DAY_DIGITS = (
+    r"^\s*0*((?:0?[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?!0000)\d{4})(?:\.\d*)?\s*$"
+)
+
 
 def parse_day(column: Column) -> Column:
     """``1022020`` (leading zero lost) to 2020-02-01; impossible days to null."""
-    digits = zero_pad(whole_number(column), len(SOURCE_DAY))
-    day = F.try_to_date(digits, SOURCE_DAY)
-    return F.when(F.year(day) >= 1, day)
+    digits = matched(column, _DAY_DIGITS)
+    return F.try_to_date(F.lpad(digits, len(SOURCE_DAY), "0"), SOURCE_DAY)
 
 
 def day_text(day: Column) -> Column:

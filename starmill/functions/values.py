@@ -20,13 +20,23 @@ UNKNOWN_STAMP = datetime(1970, 11, 28, 0, 0)
 LOAD_ZONE = timezone(timedelta(hours=-3))
 
 _BLANKS = " \t\r\n\u00a0"
-_PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Integer part of a plain decimal number, blanks around it allowed.
+_DECIMAL = r"^\s*([+-]?\d+)\.\d*\s*$"
 
 
 def trimmed(column: Column) -> Column:
-    """Text without surrounding blanks; empty text counts as missing."""
-    text = F.btrim(column.cast("string"), F.lit(_BLANKS))
-    return F.nullif(text, F.lit(""))
+    """Text without surrounding blanks. (Readers turn empty fields into nulls.)"""
+    return F.btrim(column.cast("string"), F.lit(_BLANKS))
+
+
+def matched(column: Column, pattern: str) -> Column:
+    """First group of a pattern, null where it does not match.
+
+    Null goes through a ``try_`` cast freely; unparsable text would cost it an exception
+    per row.
+    """
+    found = F.regexp_extract_all(column.cast("string"), F.lit(pattern), F.lit(1))
+    return F.get(found, F.lit(0))
 
 
 def missing_as(column: Column, default) -> Column:
@@ -56,20 +66,16 @@ def equals_flag(column: Column, value) -> Column:
 def whole_number(column: Column) -> Column:
     """Integer part of numeric text (``'1.0'`` and ``'1'`` both give 1), else null.
 
-    The pattern keeps out what the JVM would accept but a source file does not
-    mean as a number, such as a trailing ``d`` or ``f``.
+    Only text with a point meets the pattern; plain integers are cast straight away.
     """
-    text = trimmed(column)
-    return F.when(
-        text.rlike(_PLAIN_NUMBER),
-        F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")),
-    )
+    text = column.cast("string")
+    return F.when(text.contains("."), matched(text, _DECIMAL)).otherwise(text).try_cast("bigint")
 
 
 def zero_pad(column: Column, width: int) -> Column:
     """Left-pad with zeros; text already at or over the width stays whole."""
     text = column.cast("string")
-    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 def strip_footnote(column: Column) -> Column:
@@ -80,11 +86,10 @@ def strip_footnote(column: Column) -> Column:
 def locale_number(column: Column) -> Column:
     """``1.234,56`` to 1234. Numeric columns pass through; both cut to an integer."""
     text = F.replace(trimmed(column), F.lit("."), F.lit(""))
-    parsed = F.replace(text, F.lit(","), F.lit("."))
-    from_text = F.when(parsed.rlike(_PLAIN_NUMBER), parsed.try_cast("double"))
+    from_text = whole_number(F.replace(text, F.lit(","), F.lit(".")))
     # typeof() of a column is a constant, so the optimizer keeps one branch only.
     is_text = F.typeof(column) == F.lit("string")
-    return F.when(is_text, from_text).otherwise(column.try_cast("double")).try_cast("bigint")
+    return F.when(is_text, from_text).otherwise(column.try_cast("double").try_cast("bigint"))
 
 
 def stamp_now() -> datetime:

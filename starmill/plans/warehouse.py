@@ -42,6 +42,7 @@ from starmill.operators.lookups import Lookup, flag_lookup, join_spreading_heavy
 from starmill.operators.numbering import last_key, number_stored, with_unknown
 from starmill.plans import code_lists
 from starmill.plans.model import WAREHOUSE
+from starmill.session import split_generated_code
 from starmill.sources import (
     Tables,
     delivery_name,
@@ -272,109 +273,103 @@ def load_population(tables: Tables, paths: str | Sequence[str], stamp: datetime)
     tables.replace_deliveries("DWMV_POPULACAO", rows, DELIVERY)
 
 
-@dataclass(frozen=True)
-class EventLoad:
-    """What one delivery of events adds: new persons, new causes, and the movement."""
-
-    persons: DataFrame
-    causes: DataFrame
-    movement: DataFrame
-
-
 def clean_events(source: DataFrame) -> DataFrame:
-    """Event rows with a known circumstance, codes in canonical text, keys derived."""
+    """Event rows with a known circumstance, codes in canonical text, keys derived.
 
-    def code(name: str) -> Column:
-        return code_text(F.col(name))
-
-    born = zero_pad(whole_number(F.col("DTNASC")), 8)
-    basic = code_prefix(F.col("CAUSABAS"), 3)
-    chain = [F.col(f"LINHA{letter}") for letter in "ABCD"]
-    terminal = terminal_code(chain, F.col("CAUSABAS"))
-    person = [
-        code("RACACOR"),
-        code("SEXO"),
-        born,
-        code("ESCFALAGR1"),
-        code("ESTCIV"),
-        code("OCUP"),
-        code("CODMUNNATU"),
+    Two steps: the second names each cleaned code several times, and Spark evaluates
+    the first step's columns once.
+    """
+    codes = [
+        "SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU", "CODMUNOCOR",
+        "CIRCOBITO", "TPOBITOCOR",
     ]
-    return source.filter(F.col("CIRCOBITO").isNotNull()).select(
-        business_key(person).alias("CD_PESSOA"),
-        *[
-            code(name).alias(name)
-            for name in ("SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU")
-        ],
+    chain = [F.col(f"LINHA{letter}") for letter in "ABCD"]
+    cleaned = source.filter(F.col("CIRCOBITO").isNotNull()).select(
+        *[code_text(F.col(name)).alias(name) for name in codes],
+        whole_number(F.col("DTNASC")).alias("birth_number"),
         parse_day(F.col("DTNASC")).alias("DT_NASC"),
-        composite_code(basic, terminal).alias("CD_CAUSAOBITO"),
-        basic.alias("basic_code"),
-        terminal.alias("terminal_code"),
-        code("CODMUNOCOR").alias("CODMUNOCOR"),
-        code("CIRCOBITO").alias("CIRCOBITO"),
-        code("TPOBITOCOR").alias("TPOBITOCOR"),
+        parse_day(F.col("DTOBITO")).alias("DT_OBITO"),
+        code_prefix(F.col("CAUSABAS"), 3).alias("basic_code"),
+        terminal_code(chain, F.col("CAUSABAS")).alias("terminal_code"),
         equals_flag(recode(whole_number(F.col("ACIDTRAB")), 2, {9: 2}), 1).alias("ST_ACIDTRAB"),
         equals_flag(whole_number(F.col("TIPOBITO")), 1).alias("ST_FETAL"),
-        parse_day(F.col("DTOBITO")).alias("DT_OBITO"),
         delivery_name(F.col(SOURCE_PATH)).alias(DELIVERY),
     )
+    person = [
+        F.col("RACACOR"),
+        F.col("SEXO"),
+        zero_pad(F.col("birth_number"), 8),
+        F.col("ESCFALAGR1"),
+        F.col("ESTCIV"),
+        F.col("OCUP"),
+        F.col("CODMUNNATU"),
+    ]
+    return cleaned.select(
+        *[c for c in cleaned.columns if c != "birth_number"],
+        business_key(person).alias("CD_PESSOA"),
+        composite_code(F.col("basic_code"), F.col("terminal_code")).alias("CD_CAUSAOBITO"),
+    )
 
 
-def event_load(
-    source: DataFrame, read: Reader, stamp: datetime, after: int | None = None
-) -> EventLoad:
-    """One delivery of events against the warehouse that ``read`` gives.
+def _code_key(read: Reader, name: str, source: str) -> Lookup:
+    return Lookup(read(f"DWCD_{name}"), source, f"CD_{name}", f"SK_{name}", f"SK_{name}")
 
-    The cleaned events are written once: three steps use them, and their place in
-    those files numbers them without a shuffle.
-    """
-    events = written(clean_events(source), "events")
 
-    def code_key(name: str, source_column: str) -> Lookup:
-        return Lookup(
-            read(f"DWCD_{name}"), source_column, f"CD_{name}", f"SK_{name}", f"SK_{name}"
-        )
+def unseen_persons(events: DataFrame, read: Reader) -> DataFrame:
+    """Numbered persons of the events that the warehouse lacks."""
+    attributes = [
+        "CD_PESSOA", "SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU", "DT_NASC",
+    ]
+    return new_members(read("DWCD_PESSOA"), events.select(attributes), "CD_PESSOA", "SK_PESSOA")
 
-    known_persons = read("DWCD_PESSOA")
-    persons = new_members(
-        known_persons,
-        events.select(
-            "CD_PESSOA", "SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU", "DT_NASC"
-        ),
-        "CD_PESSOA",
-        "SK_PESSOA",
-    )
-    persons = resolve(
-        persons,
+
+def person_rows(unseen: DataFrame, read: Reader, stamp: datetime) -> DataFrame:
+    """New persons with the keys of their six attributes."""
+    keyed = resolve(
+        unseen,
         [
-            code_key("SEXO", "SEXO"),
-            code_key("RACACOR", "RACACOR"),
-            code_key("ESCFAL", "ESCFALAGR1"),
-            code_key("ESTCIV", "ESTCIV"),
-            code_key("MUNICIPIO", "CODMUNNATU"),
-            code_key("OCUP", "OCUP"),
+            _code_key(read, "SEXO", "SEXO"),
+            _code_key(read, "RACACOR", "RACACOR"),
+            _code_key(read, "ESCFAL", "ESCFALAGR1"),
+            _code_key(read, "ESTCIV", "ESTCIV"),
+            _code_key(read, "MUNICIPIO", "CODMUNNATU"),
+            _code_key(read, "OCUP", "OCUP"),
         ],
     )
-    persons = stamped(persons, stamp).select(*known_persons.columns)
-
-    known_causes, catalogue = read("DWCD_CAUSAOBITO"), read("DWCD_CIDS")
-    causes = new_members(
-        known_causes,
-        events.select("CD_CAUSAOBITO", "basic_code", "terminal_code"),
-        "CD_CAUSAOBITO",
-        "SK_CAUSAOBITO",
-    )
-    causes = resolve(
-        causes,
+    return stamped(keyed, stamp).select(*read("DWCD_PESSOA").columns)
+
+
+def unseen_causes(events: DataFrame, read: Reader) -> DataFrame:
+    """Numbered cause pairs of the events that the warehouse lacks."""
+    pairs = events.select("CD_CAUSAOBITO", "basic_code", "terminal_code")
+    return new_members(read("DWCD_CAUSAOBITO"), pairs, "CD_CAUSAOBITO", "SK_CAUSAOBITO")
+
+
+def cause_rows(unseen: DataFrame, read: Reader, stamp: datetime) -> DataFrame:
+    """New cause pairs with the keys of both causes in the one catalogue."""
+    catalogue = read("DWCD_CIDS")
+    keyed = resolve(
+        unseen,
         [
             Lookup(catalogue, "basic_code", "CD_CID_CAUSA", "SK_CID", "SK_CIDBAS"),
             Lookup(catalogue, "terminal_code", "CD_CID_LINHA", "SK_CID", "SK_CIDTERM"),
         ],
     )
-    causes = stamped(causes, stamp).select(*known_causes.columns)
+    return stamped(keyed, stamp).select(*read("DWCD_CAUSAOBITO").columns)
+
+
+def movement_rows(
+    events: DataFrame,
+    persons: DataFrame,
+    causes: DataFrame,
+    read: Reader,
+    stamp: datetime,
+    after: int,
+) -> DataFrame:
+    """Numbered events with all keys, the new members' among them.
 
-    if after is None:
-        after = _last_event(read("DWMV_OBITO"), events)
+    ``events`` must be stored: an event's number is its place in the stored files.
+    """
     keyed = number_stored(
         events.select(
             "CD_PESSOA", "CD_CAUSAOBITO", "CODMUNOCOR", "CIRCOBITO", "TPOBITOCOR",
@@ -383,24 +378,59 @@ def event_load(
         "CD_OBITO",
         after,
     )
-    everyone = known_persons.select("CD_PESSOA", "SK_PESSOA").unionByName(
-        persons.select("CD_PESSOA", "SK_PESSOA")
-    )
-    every_cause = known_causes.select("CD_CAUSAOBITO", "SK_CAUSAOBITO").unionByName(
-        causes.select("CD_CAUSAOBITO", "SK_CAUSAOBITO")
+
+    def every(name: str, added: DataFrame) -> DataFrame:
+        columns = [f"CD_{name}", f"SK_{name}"]
+        return read(f"DWCD_{name}").select(columns).unionByName(added.select(columns))
+
+    # Persons are as many as events, and the one without attributes has many events.
+    movement = join_spreading_heavy(
+        keyed, every("PESSOA", persons), "CD_PESSOA", "CD_PESSOA", ["CD_OBITO"]
     )
-    movement = join_spreading_heavy(keyed, everyone, "CD_PESSOA", "CD_PESSOA", ["CD_OBITO"])
     movement = resolve(
         movement.withColumn("SK_PESSOA", F.coalesce("SK_PESSOA", F.lit(UNKNOWN_KEY))),
         [
-            Lookup(every_cause, "CD_CAUSAOBITO", "CD_CAUSAOBITO", "SK_CAUSAOBITO", "SK_CAUSAOBITO"),
-            code_key("CIRCOBITO", "CIRCOBITO"),
-            code_key("TPLOCOR", "TPOBITOCOR"),
-            code_key("MUNICIPIO", "CODMUNOCOR"),
+            Lookup(
+                every("CAUSAOBITO", causes),
+                "CD_CAUSAOBITO", "CD_CAUSAOBITO", "SK_CAUSAOBITO", "SK_CAUSAOBITO",
+            ),
+            _code_key(read, "CIRCOBITO", "CIRCOBITO"),
+            _code_key(read, "TPLOCOR", "TPOBITOCOR"),
+            _code_key(read, "MUNICIPIO", "CODMUNOCOR"),
         ],
     )
     columns = [c.split()[0] for c in WAREHOUSE["DWMV_OBITO"].columns.split(", ")]
-    return EventLoad(persons, causes, stamped(movement, stamp).select(*columns))
+    return stamped(movement, stamp).select(*columns)
+
+
+@dataclass(frozen=True)
+class EventLoad:
+    """What one delivery of events adds: new persons, new causes, and the movement."""
+
+    persons: DataFrame
+    causes: DataFrame
+    movement: DataFrame
+
+
+def staged_events(source: DataFrame) -> DataFrame:
+    """Cleaned events, written once.
+
+    Three steps use them, and their place in the files numbers them without a shuffle.
+    """
+    with split_generated_code(source.sparkSession):
+        return written(clean_events(source), "events")
+
+
+def event_load(source: DataFrame, read: Reader, stamp: datetime) -> EventLoad:
+    """One delivery of events against the warehouse that ``read`` gives."""
+    events = staged_events(source)
+    persons, causes = unseen_persons(events, read), unseen_causes(events, read)
+    after = _last_event(read("DWMV_OBITO"), events)
+    return EventLoad(
+        person_rows(persons, read, stamp),
+        cause_rows(causes, read, stamp),
+        movement_rows(events, persons, causes, read, stamp, after),
+    )
 
 
 def _last_event(movement: DataFrame, events: DataFrame) -> int:

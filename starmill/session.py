@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Spark's own tools against skew and badly sized partitions, stated because the loads
@@ -24,5 +27,23 @@ def local_session(cores: int | str = 8, name: str = "starmill") -> SparkSession:
         builder.config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+@contextmanager
+def split_generated_code(spark: SparkSession) -> Iterator[None]:
+    """Run wide projections as several methods instead of one.
+
+    The JVM never compiles a method beyond 8000 bytecodes, and a projection that cleans
+    some twenty text columns is beyond that; interpreted, it takes more than twice as
+    long. The session's setting is put back afterwards.
+    """
+    setting = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

@@ -55,8 +55,9 @@ def period_of_path(path: Column) -> Column:
 def delivery_name(path: Column) -> Column:
     """Name of the delivery a row came from: its folder when Spark wrote part files,
     else its file. Loads replace whole deliveries by this name."""
-    folder = F.regexp_extract(path, r"([^/=]+)/part-[^/]*$", 1)
-    return F.coalesce(F.nullif(folder, F.lit("")), F.regexp_extract(path, r"([^/]+)$", 1))
+    file = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(file.startswith("part-"), F.substring_index(folder, "=", -1)).otherwise(file)
 
 
 def _present(name: str) -> Column:
