@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Call sites for error messages cost a stack walk per expression built in Python.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -13,18 +13,18 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """Fresh folder for one intermediate table, grouped by application.
 
-    The base is the session's ``spark.checkpoint.dir``. Only a local session, as in
-    tests, may go without it: on a cluster a machine-local folder would vanish with
-    its machine.
+    The base is the session's ``spark.checkpoint.dir``, or the checkpoint folder set on
+    its context. Only a local session, as in tests, may go without: on a cluster a
+    machine-local folder would vanish with its machine.
     """
-    base = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    base = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(_SETTING, base)
-    application = spark.conf.get("spark.app.id", "application")
-    return f"{base.rstrip('/')}/{application}/{label}-{uuid4().hex}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        base = context.getCheckpointDir()
+    return f"{base.rstrip('/')}/{context.applicationId}/{label}-{uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
