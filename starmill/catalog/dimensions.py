@@ -32,7 +32,7 @@ from starmill.operators.lookups import (
     resolve_or_drop,
 )
 from starmill.operators.numbering import number_rows, with_unknown
-from starmill.sources.tables import stamped
+from starmill.sources.tables import empty, stamped
 
 STAMP = datetime(2024, 5, 1, 12, 30)
 
@@ -324,7 +324,7 @@ def hierarchy_build(spark, folder):
     )
 
     def none(columns):
-        return spark.createDataFrame([], columns)
+        return empty(spark, columns)
 
     levels = [
         Level(

@@ -16,7 +16,7 @@ from starmill.operators.facts import (
     snapshot_load,
     snapshot_with_counts,
 )
-from starmill.operators.lookups import Lookup, join_spreading_heavy
+from starmill.operators.lookups import Lookup, join_large
 from starmill.operators.numbering import number_rows, number_stored
 from starmill.plans.model import WAREHOUSE
 from starmill.plans.warehouse import (
@@ -27,6 +27,7 @@ from starmill.plans.warehouse import (
     unseen_causes,
     unseen_persons,
 )
+from starmill.sources import empty, written
 
 STAMP = datetime(2024, 5, 1, 12, 30)
 
@@ -83,7 +84,7 @@ def _event_source(spark, folder):
     customers = table(spark, folder, "customer").select(
         "c_custkey", "c_mktsegment", "c_nationkey"
     )
-    joined = join_spreading_heavy(
+    joined = join_large(
         lines, orders, "l_orderkey", "o_orderkey", ["l_partkey", "l_suppkey", "l_linenumber"],
         "inner",
     ).join(customers, F.col("o_custkey") == F.col("c_custkey"))
@@ -167,7 +168,7 @@ def _stand_in_warehouse(spark, folder):
         columns = f"SK_{name} bigint, CD_{name} {kind}"
         tables[f"DWCD_{name}"] = code_list(spark, [(c,) for c in listed], columns)
     for name in ("DWCD_PESSOA", "DWCD_CAUSAOBITO", "DWMV_OBITO"):
-        tables[name] = spark.createDataFrame([], WAREHOUSE[name].columns)
+        tables[name] = empty(spark, WAREHOUSE[name].columns)
     return tables.__getitem__
 
 
@@ -355,12 +356,13 @@ def snapshot(spark, folder):
         "l_suppkey",
         "l_linenumber",
     )
-    events = join_spreading_heavy(
+    events = join_large(
         returned, placed.select("o_orderkey", F.col("c_nationkey").alias("place")),
         "l_orderkey", "o_orderkey", ["l_partkey", "l_suppkey", "l_linenumber"], "inner",
     )
     counts = count_events(events, F.year("day"), "place", "n_events")
-    years = year_dimension(base.select("year"), "year", "year_key")
+    base = written(base, "base")
+    years = year_dimension(base, "year", "year_key")
     return snapshot_with_counts(base, counts, years, "year_key", "place", "n_events")
 
 

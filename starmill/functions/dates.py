@@ -13,10 +13,16 @@ PRESENTED_DAY = "dd-MM-yyyy"
 PRESENTED_STAMP = "dd-MM-yyyy HH:mm"
 PRESENTED_UNKNOWN_DAY = "-1"
 
-# Day, month and year digits with lost or doubled leading zeros, maybe as a decimal.
-_DAY_DIGITS = (
-    r"^\s*0*((?:0?[1-9]|[12]\d|3[01])(?:0[1-9]|1[0-2])(?!0000)\d{4})(?:\.\d*)?\s*$"
+# Day, month and year digits with lost or doubled leading zeros, maybe as a decimal. Days
+# that no year has are left out here, where they cost nothing, so that only 29 February
+# is left for the date parser to refuse.
+_DAY_AND_MONTH = (
+    r"(?:0?[1-9]|1\d|2[0-8])(?:0[1-9]|1[0-2])"
+    r"|(?:29|30)(?:0[13-9]|1[0-2])"
+    r"|31(?:0[13578]|1[02])"
+    r"|2902"
 )
+_DAY_DIGITS = rf"^\s*0*((?:{_DAY_AND_MONTH})(?!0000)\d{{4}})(?:\.\d*)?\s*$"
 
 
 def parse_day(column: Column) -> Column:

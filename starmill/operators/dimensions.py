@@ -7,19 +7,30 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starmill.functions.dates import day_parts
 from starmill.functions.values import UNKNOWN_KEY, UNKNOWN_LABEL
 from starmill.operators.lookups import Lookup, members_flag, resolve
 from starmill.operators.numbering import last_key, number_rows
+from starmill.sources.scratch import written
 
 ACTION = "action"
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
 
 def code_list(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Fixed rows of a code list; the first column of the schema is the position."""
-    return spark.createDataFrame([(i, *row) for i, row in enumerate(rows, start=1)], schema)
+    """Fixed rows of a code list; the first column of the schema is the position.
+
+    The rows are literals of the plan, so Spark knows that they are few and broadcasts
+    them. (Of rows shipped from Python it assumes the worst.)
+    """
+    fields = StructType.fromDDL(schema).fields
+    literals = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip((i, *row), fields)])
+        for i, row in enumerate(rows, start=1)
+    ]
+    return spark.range(1).select(F.inline(F.array(*literals)))
 
 
 def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
@@ -67,7 +78,8 @@ def merge(
     differ takes them, and the ``carry`` columns such as the load stamp, from the
     source. All other target rows are kept, including those absent from the source.
     """
-    incoming = one_row_per_key(source.filter(F.col(code).isNotNull()), code)
+    # Written once: both branches below use it, and a source is a file scan or a join.
+    incoming = written(one_row_per_key(source.filter(F.col(code).isNotNull()), code), "incoming")
     taken = [*compare, *carry]
     new = incoming.select(
         F.col(code).alias("__code"), *[F.col(c).alias(f"__new_{c}") for c in taken]

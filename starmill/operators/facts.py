@@ -8,12 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.values import UNKNOWN_KEY
-from starmill.operators.lookups import (
-    Lookup,
-    join_spreading_heavy,
-    resolve,
-    resolve_or_drop,
-)
+from starmill.operators.lookups import Lookup, join_large, resolve, resolve_or_drop
 
 
 def event_fact(
@@ -31,12 +26,12 @@ def event_fact(
 ) -> DataFrame:
     """Event fact: attributes pulled from a large entity, calendar key, count of 1.
 
-    Movement and entity are both large, and one entity (say, the one with every
+    Movement and entity may both be large, and one entity (say, the one with every
     attribute missing) may hold a large share of the movement, hence the spread join.
     Events without an entity leave the fact; ``missing_entities`` counts them.
     """
     wanted = entities.select(entity_key, *pulled)
-    joined = join_spreading_heavy(movement, wanted, entity_key, entity_key, [row_id], "inner")
+    joined = join_large(movement, wanted, entity_key, entity_key, [row_id], "inner")
     dated = resolve(joined, [Lookup(days, day, calendar_day, calendar_key, day_key)])
     return dated.drop(day).withColumn(measure, F.lit(1).cast("bigint"))
 

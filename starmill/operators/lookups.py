@@ -1,8 +1,8 @@
 """Code-to-key resolution and the joins that pull attributes.
 
-No lookup is forced to broadcast. Spark compares the size of the lookup table with
-``spark.sql.autoBroadcastJoinThreshold``, before and again during the run, and joins
-by shuffle beyond it.
+A lookup table is broadcast only when Spark's size estimate allows it. Beyond that both
+sides are shuffled, with the rows of heavy keys spread over many tasks: dirty or missing
+codes put a large share of all facts on one key.
 """
 
 from __future__ import annotations
@@ -10,23 +10,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.values import UNKNOWN_KEY
 
-_CODE, _SALT, _MATCH = "__code", "__salt", "__match"
+_SOURCE, _CODE, _VALUE, _SALT = "__source", "__code", "__value", "__salt"
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """Resolve ``source`` of the facts against ``code`` of a table, giving ``key``."""
+    """Resolve ``source`` of the facts against ``code`` of a table, giving ``key``.
+
+    ``unique`` states that the load of the table keeps its codes unique, so that a large
+    table is not aggregated just to check it.
+    """
 
     table: DataFrame
     source: str
     code: str
     key: str
     name: str
+    unique: bool = False
 
 
 def one_per_code(table: DataFrame, code: str, value: str) -> DataFrame:
@@ -47,72 +52,96 @@ def one_per_code(table: DataFrame, code: str, value: str) -> DataFrame:
     )
 
 
-def _pairs(facts: DataFrame, lookup: Lookup) -> tuple[DataFrame, Column]:
-    pairs = one_per_code(lookup.table, lookup.code, lookup.key)
-    source, code = F.col(lookup.source), F.col(lookup.code)
-    if dict(facts.dtypes)[lookup.source] != dict(lookup.table.dtypes)[lookup.code]:
-        source, code = source.cast("string"), code.cast("string")
-    code_name = f"{_CODE}_{lookup.name}"
-    renamed = pairs.select(code.alias(code_name), F.col(lookup.key).alias(f"__{lookup.name}"))
-    return renamed, source == F.col(code_name)
+def _pairs(facts: DataFrame, lookup: Lookup) -> tuple[DataFrame, bool]:
+    """(code, value) pairs of a lookup, and whether the sides need one type: text."""
+    kinds = dict(facts.dtypes)[lookup.source], dict(lookup.table.dtypes)[lookup.code]
+    as_text = kinds[0] != kinds[1]
+    pairs = lookup.table.select(lookup.code, lookup.key)
+    if not lookup.unique:
+        pairs = one_per_code(pairs, lookup.code, lookup.key)
+    code = F.col(lookup.code).cast("string") if as_text else F.col(lookup.code)
+    return pairs.select(code.alias(_CODE), F.col(lookup.key).alias(_VALUE)), as_text
+
+
+def _resolved(facts: DataFrame, lookups: Sequence[Lookup], how: str, default) -> DataFrame:
+    prepared = [(lookup, *_pairs(facts, lookup)) for lookup in lookups]
+    large = [lookup.source for lookup, pairs, _ in prepared if not fits_broadcast(pairs)]
+    # One pass over the facts as they come, not one per join over the joins before it.
+    heavy = heavy_values(facts, large) if large else {}
+    for lookup, pairs, as_text in prepared:
+        source = F.col(lookup.source)
+        kept = [c for c in facts.columns if c != lookup.name]
+        keyed = facts.withColumn(_SOURCE, source.cast("string") if as_text else source)
+        listed = heavy.get(lookup.source)
+        if listed is None:
+            joined = keyed.join(pairs, F.col(_SOURCE) == F.col(_CODE), how)
+        else:
+            if as_text:
+                listed = [None if v is None else str(v) for v in listed]
+            joined = join_spreading_heavy(keyed, pairs, _SOURCE, _CODE, how=how, heavy=listed)
+        value = F.col(_VALUE) if default is None else F.coalesce(_VALUE, F.lit(default))
+        facts = joined.select(*kept, value.alias(lookup.name))
+    return facts
 
 
 def resolve(
     facts: DataFrame, lookups: Sequence[Lookup], default: int | None = UNKNOWN_KEY
 ) -> DataFrame:
     """Left-join each lookup; a miss gives the unknown key (or null for ``None``)."""
-    for lookup in lookups:
-        pairs, match = _pairs(facts, lookup)
-        found = F.col(f"__{lookup.name}")
-        value = found if default is None else F.coalesce(found, F.lit(default))
-        columns = [F.col(c) for c in facts.columns if c != lookup.name]
-        facts = facts.join(pairs, match, "left").select(*columns, value.alias(lookup.name))
-    return facts
+    return _resolved(facts, lookups, "left", default)
 
 
 def resolve_or_drop(facts: DataFrame, lookup: Lookup) -> DataFrame:
     """Inner lookup: rows whose code is unknown leave the result."""
-    pairs, match = _pairs(facts, lookup)
-    columns = [F.col(c) for c in facts.columns if c != lookup.name]
-    return facts.join(pairs, match, "inner").select(
-        *columns, F.col(f"__{lookup.name}").alias(lookup.name)
-    )
+    return _resolved(facts, [lookup], "inner", None)
 
 
 def flag_lookup(
     facts: DataFrame, source: str, flags: DataFrame, code: str, flag: str, name: str
 ) -> DataFrame:
     """1 where any row of the flag list marks the code, 0 where it is absent or unmarked."""
-    marked = flags.groupBy(F.col(code).alias(_CODE)).agg(
-        F.max(F.coalesce(F.col(flag) == 1, F.lit(False)).cast("int")).alias(_MATCH)
-    )
-    return facts.join(marked, F.col(source) == F.col(_CODE), "left").select(
-        *facts.columns, F.coalesce(_MATCH, F.lit(0)).alias(name)
+    marked = flags.groupBy(code).agg(
+        F.max(F.coalesce(F.col(flag) == 1, F.lit(False)).cast("int")).alias(_VALUE)
     )
+    return resolve(facts, [Lookup(marked, source, code, _VALUE, name, unique=True)], 0)
 
 
 def members_flag(df: DataFrame, column: str, members: DataFrame, name: str) -> DataFrame:
     """Boolean: the value occurs in a one-column table."""
     listed = members.select(F.col(members.columns[0]).alias(_CODE)).distinct()
-    return df.join(listed, F.col(column) == F.col(_CODE), "left").select(
-        *df.columns, F.col(_CODE).isNotNull().alias(name)
-    )
+    marked = listed.withColumn(_VALUE, F.lit(True))
+    lookup = Lookup(marked, column, _CODE, _VALUE, name, unique=True)
+    return resolve(df, [lookup], False)
+
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark, by its size estimate and threshold, would broadcast the frame."""
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= threshold
 
-def heavy_values(df: DataFrame, column: str, limit: int = 64) -> list:
-    """The values that hold the largest shares of the rows, at most ``limit``; null too.
 
-    A bounded frequency sketch per task, merged once: one pass over one column with no
-    shuffle of the values. It only steers the join below; no row depends on it.
+def heavy_values(df: DataFrame, columns: Sequence[str], limit: int = 64) -> dict[str, list]:
+    """Per column the values that hold the largest shares of the rows, null among them.
+
+    A bounded frequency sketch per task and column, merged once: one pass with no
+    shuffle of the values. It only steers a join; no row of a result depends on it.
     """
-    row = df.agg(
-        F.expr(f"approx_top_k({column}, {limit}, {limit * 64})").alias("top"),
-        F.count("*").alias("rows"),
-        F.count_if(F.col(column).isNull()).alias("nulls"),
-    ).first()
+    sketches = []
+    for number, column in enumerate(columns):
+        name = f"`{column}`"
+        sketches += [
+            F.expr(f"approx_top_k({name}, {limit}, {limit * 64})").alias(f"top_{number}"),
+            F.count_if(F.col(name).isNull()).alias(f"nulls_{number}"),
+        ]
+    row = df.agg(F.count("*").alias("rows"), *sketches).first()
     floor = row["rows"] / (limit * 4)
-    items = [t["item"] for t in row["top"] or [] if t["count"] >= floor and t["item"] is not None]
-    return items + ([None] if row["nulls"] > floor else [])
+    heavy = {}
+    for number, column in enumerate(columns):
+        top = row[f"top_{number}"] or []
+        items = [t["item"] for t in top if t["count"] >= floor and t["item"] is not None]
+        heavy[column] = items + ([None] if row[f"nulls_{number}"] > floor else [])
+    return heavy
 
 
 def join_spreading_heavy(
@@ -120,32 +149,53 @@ def join_spreading_heavy(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    spread_by: Sequence[str],
+    spread_by: Sequence[str] | None = None,
     how: str = "left",
+    heavy: Sequence | None = None,
 ) -> DataFrame:
     """Inner or left equi-join of two large tables in which a few keys hold many rows.
 
-    ``right`` holds one row per key. Rows of a heavy key are spread over salts, by a
-    hash of columns that differ within the key, and the key's single right row is
-    repeated once per salt. Other keys keep salt 0, so they are shuffled as usual.
-    The salt depends on row content only, so a retried task sends a row to the same
-    place.
+    ``right`` holds one row per key. Rows of a heavy key are spread over salts, and the
+    key's single right row is repeated once per salt. Other keys keep salt 0, so they
+    are shuffled as usual.
+
+    The salt is a hash of columns that differ within the key, by default of the task and
+    all columns. It does not depend on the order of rows, so a retried task sends each
+    row to the same place.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"join type {how!r} would repeat the salted right rows")
     values = [c for c in right.columns if c != right_key]
-    dim = right.withColumnRenamed(right_key, _CODE)
-    match = F.col(left_key) == F.col(_CODE)
-    heavy = heavy_values(left, left_key)
+    dim = right.withColumnRenamed(right_key, "__right_key")
+    match = F.col(left_key) == F.col("__right_key")
+    if heavy is None:
+        heavy = heavy_values(left, [left_key])[left_key]
     if not heavy:
         return left.join(dim, match, how).select(*left.columns, *values)
 
     listed = [v for v in heavy if v is not None]
     spread = F.col(left_key).isNull() | F.col(left_key).isin(listed)
     salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    spreading = spread_by or [F.spark_partition_id(), *left.columns]
+    salt = F.pmod(F.xxhash64(*spreading), F.lit(salts)).cast("int")
     facts = left.withColumn("__left_salt", F.when(spread, salt).otherwise(F.lit(0)))
-    repeated = F.when(F.col(_CODE).isin(listed), F.sequence(F.lit(0), F.lit(salts - 1)))
+    repeated = F.when(F.col("__right_key").isin(listed), F.sequence(F.lit(0), F.lit(salts - 1)))
     dim = dim.withColumn(_SALT, F.explode(F.coalesce(repeated, F.array(F.lit(0)))))
     match = match & (F.col("__left_salt") == F.col(_SALT))
     return facts.join(dim, match, how).select(*left.columns, *values)
+
+
+def join_large(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    spread_by: Sequence[str] | None = None,
+    how: str = "left",
+) -> DataFrame:
+    """Join to a table with one row per key that may be of any size.
+
+    Small by estimate: a plain join, which Spark broadcasts. Else the spreading join.
+    """
+    heavy = [] if fits_broadcast(right) else None
+    return join_spreading_heavy(left, right, left_key, right_key, spread_by, how, heavy)

@@ -38,7 +38,7 @@ from starmill.operators.dimensions import (
     upsert,
 )
 from starmill.operators.facts import snapshot_load
-from starmill.operators.lookups import Lookup, flag_lookup, join_spreading_heavy, resolve
+from starmill.operators.lookups import Lookup, flag_lookup, resolve
 from starmill.operators.numbering import last_key, number_stored, with_unknown
 from starmill.plans import code_lists
 from starmill.plans.model import WAREHOUSE
@@ -383,17 +383,15 @@ def movement_rows(
         columns = [f"CD_{name}", f"SK_{name}"]
         return read(f"DWCD_{name}").select(columns).unionByName(added.select(columns))
 
-    # Persons are as many as events, and the one without attributes has many events.
-    movement = join_spreading_heavy(
-        keyed, every("PESSOA", persons), "CD_PESSOA", "CD_PESSOA", ["CD_OBITO"]
-    )
+    def member(name: str, added: DataFrame) -> Lookup:
+        code, key = f"CD_{name}", f"SK_{name}"
+        return Lookup(every(name, added), code, code, key, key, unique=True)
+
     movement = resolve(
-        movement.withColumn("SK_PESSOA", F.coalesce("SK_PESSOA", F.lit(UNKNOWN_KEY))),
+        keyed,
         [
-            Lookup(
-                every("CAUSAOBITO", causes),
-                "CD_CAUSAOBITO", "CD_CAUSAOBITO", "SK_CAUSAOBITO", "SK_CAUSAOBITO",
-            ),
+            member("PESSOA", persons),
+            member("CAUSAOBITO", causes),
             _code_key(read, "CIRCOBITO", "CIRCOBITO"),
             _code_key(read, "TPLOCOR", "TPOBITOCOR"),
             _code_key(read, "MUNICIPIO", "CODMUNOCOR"),

@@ -9,8 +9,9 @@ from pyspark.sql.types import StructType
 
 
 def empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
-    """Table without rows."""
-    return spark.createDataFrame([], schema)
+    """Table without rows, which the optimizer knows to have none."""
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:

@@ -69,9 +69,9 @@ def test_join_spreading_heavy_equals_plain_join(spark, rows, how):
     )
     left = spark.range(9000).select("id", key.cast("bigint").alias("k"))
     right = spark.range(-1, 7000).select(F.col("id").alias("rk"), (F.col("id") * 2).alias("v"))
-    assert lookups.heavy_values(left, "k")[0] == -1
-    assert None in lookups.heavy_values(left, "k")
-    spread = lookups.join_spreading_heavy(left, right, "k", "rk", ["id"], how)
+    heavy = lookups.heavy_values(left, ["k", "id"])
+    assert heavy == {"k": [-1, None], "id": []}
+    spread = lookups.join_spreading_heavy(left, right, "k", "rk", how=how)
     plain = left.join(right, left.k == right.rk, how).select("id", "k", "v")
     assert rows(spread) == rows(plain)
 
@@ -87,7 +87,7 @@ def test_join_spreading_heavy_spreads(spark):
     for name, value in zip(names, ("-1", "false")):
         spark.conf.set(name, value)
     try:
-        joined = lookups.join_spreading_heavy(left, right, "k", "rk", ["id"])
+        joined = lookups.join_large(left, right, "k", "rk")
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert max(r["count"] for r in sizes) < 25000
         assert sum(r["count"] for r in sizes) == 80000
@@ -96,6 +96,33 @@ def test_join_spreading_heavy_spreads(spark):
             spark.conf.set(name, value)
 
 
+def test_resolve_beyond_broadcast_equals_resolve(spark, rows):
+    facts = spark.range(20000).select(
+        "id",
+        F.when(F.col("id") < 9000, "x").when(F.col("id") > 15000, F.col("id").cast("string")).alias("a"),
+        F.when(F.col("id") < 9000, "7.0").otherwise(F.col("id").cast("string")).alias("b"),
+    )
+    texts = spark.range(15000, 18000).select(
+        F.col("id").cast("string").alias("code"), (F.col("id") * 2).alias("sk")
+    )
+    numbers = spark.range(5, 12000).select(F.col("id").alias("code"), (F.col("id") + 1).alias("sk"))
+    wanted = [
+        lookups.Lookup(texts, "a", "code", "sk", "a_key"),
+        lookups.Lookup(numbers, "b", "code", "sk", "b_key", unique=True),
+    ]
+    small = rows(lookups.resolve(facts, wanted))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        assert not lookups.fits_broadcast(texts)
+        large = lookups.resolve(facts, wanted)
+        assert "BroadcastHashJoin" not in plan_of(large)
+        assert "__left_salt" in plan_of(large)
+        assert rows(large) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_insert_unseen_twice_is_once(spark, rows):
     existing = spark.createDataFrame([(5, "a", "A")], "sk bigint, code string, label string")
     listed = spark.createDataFrame([("b", "B"), ("a", "Z"), ("b", "B")], "code string, label string")
