@@ -92,6 +92,11 @@ def locale_number(column: Column) -> Column:
     return F.when(is_text, from_text).otherwise(column.try_cast("double").try_cast("bigint"))
 
 
+def constant(value) -> Column:
+    """Literal of a value; a stamp goes as text, so its wall clock holds in any zone."""
+    return F.lit(str(value) if isinstance(value, datetime) else value)
+
+
 def stamp_now() -> datetime:
     """Load stamp: minute precision, UTC-3 wall clock. Taken once per run."""
     return datetime.now(LOAD_ZONE).replace(tzinfo=None, second=0, microsecond=0)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.functions.values import UNKNOWN_KEY
+from starmill.functions.values import UNKNOWN_KEY, constant
 from starmill.sources.scratch import written
 
 _FILE, _ROW, _FIRST = "__file", "__row", "__first"
@@ -61,6 +61,6 @@ def with_unknown(df: DataFrame, key: str, row: Mapping) -> DataFrame:
     types = dict(df.dtypes)
     values = {key: UNKNOWN_KEY, **row}
     unknown = df.sparkSession.range(1).select(
-        *[F.lit(values.get(c)).cast(types[c]).alias(c) for c in df.columns]
+        *[constant(values.get(c)).cast(types[c]).alias(c) for c in df.columns]
     )
     return df.filter(F.col(key) != UNKNOWN_KEY).unionByName(unknown)

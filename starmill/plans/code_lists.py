@@ -71,32 +71,33 @@ REGIONS = [
     ("Sul",),
 ]
 
+# In the order of the official state codes.
 REGION_OF_STATE = {
+    "Rondônia": "Norte",
     "Acre": "Norte",
-    "Alagoas": "Nordeste",
-    "Amapá": "Norte",
     "Amazonas": "Norte",
-    "Bahia": "Nordeste",
-    "Ceará": "Nordeste",
-    "Distrito Federal": "Centro-Oeste",
-    "Espírito Santo": "Sudeste",
-    "Goiás": "Centro-Oeste",
-    "Maranhão": "Nordeste",
-    "Mato Grosso": "Centro-Oeste",
-    "Mato Grosso do Sul": "Centro-Oeste",
-    "Minas Gerais": "Sudeste",
-    "Paraná": "Sul",
-    "Paraíba": "Nordeste",
+    "Roraima": "Norte",
     "Pará": "Norte",
-    "Pernambuco": "Nordeste",
+    "Amapá": "Norte",
+    "Tocantins": "Norte",
+    "Maranhão": "Nordeste",
     "Piauí": "Nordeste",
+    "Ceará": "Nordeste",
     "Rio Grande do Norte": "Nordeste",
-    "Rio Grande do Sul": "Sul",
-    "Rio de Janeiro": "Sudeste",
-    "Rondônia": "Norte",
-    "Roraima": "Norte",
-    "Santa Catarina": "Sul",
+    "Paraíba": "Nordeste",
+    "Pernambuco": "Nordeste",
+    "Alagoas": "Nordeste",
     "Sergipe": "Nordeste",
+    "Bahia": "Nordeste",
+    "Minas Gerais": "Sudeste",
+    "Espírito Santo": "Sudeste",
+    "Rio de Janeiro": "Sudeste",
     "São Paulo": "Sudeste",
-    "Tocantins": "Norte",
+    "Paraná": "Sul",
+    "Santa Catarina": "Sul",
+    "Rio Grande do Sul": "Sul",
+    "Mato Grosso do Sul": "Centro-Oeste",
+    "Mato Grosso": "Centro-Oeste",
+    "Goiás": "Centro-Oeste",
+    "Distrito Federal": "Centro-Oeste",
 }

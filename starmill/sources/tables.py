@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starmill.functions.values import constant
+
 
 def empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
     """Table without rows, which the optimizer knows to have none."""
@@ -92,4 +94,4 @@ def appended(*frames: DataFrame) -> DataFrame:
 
 def stamped(df: DataFrame, stamp, name: str = "DT_CARGA") -> DataFrame:
     """Add the load stamp of the run, one constant for all rows."""
-    return df.withColumn(name, F.lit(stamp).cast("timestamp"))
+    return df.withColumn(name, constant(stamp).cast("timestamp"))

@@ -89,12 +89,12 @@ def delivered(tmp_path_factory):
             for c in ("DTNASC", "SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU"):
                 row[c] = ""
     paths = [
-        write_events(folder / f"Mortalidade_Geral_{year}.csv", rows, reverse=year == 2020)
+        write_events(folder / f"deaths_{year}.csv", rows, reverse=year == 2020)
         for year, rows in events.items()
     ]
     population = [
         write_lines(
-            folder / f"estimativa_dou_{year}.csv",
+            folder / f"estimate_{year}.csv",
             [
                 "ESTIMATIVAS;;",
                 "COD. UF;COD. MUNIC;POPULAÇÃO ESTIMADA",
@@ -383,7 +383,7 @@ def test_streamed_files_equal_batch_load(spark, delivered, built, tmp_path):
 
     names = {c: c for c in EVENT_COLUMNS}
     for year, rows in events.items():
-        write_events(folder / f"Mortalidade_Geral_{year}.csv", rows)
+        write_events(folder / f"deaths_{year}.csv", rows)
         load_new_files(spark, str(folder), names, load, str(tmp_path / "checkpoint"))
     load_new_files(spark, str(folder), names, load, str(tmp_path / "another"))
     assert movement_rows(tables) == movement_rows(built[0])
