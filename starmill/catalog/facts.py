@@ -194,7 +194,7 @@ def _staged(spark, folder):
 )
 def event_movement(spark, folder):
     """The whole event load: cleaning, new members, lookups, flags, event numbers."""
-    load = event_load(_event_source(spark, folder), _stand_in_warehouse(spark, folder), STAMP)
+    load = event_load(_staged(spark, folder), _stand_in_warehouse(spark, folder), STAMP)
     return load.movement.withColumn("is_numbered", F.col("CD_OBITO") > 0).drop(
         "CD_OBITO", "DT_CARGA", "ENTREGA"
     )

@@ -107,14 +107,17 @@ def audit(merged: DataFrame) -> DataFrame:
     return merged.groupBy(ACTION).agg(F.count("*").alias("n_rows"))
 
 
-def new_members(existing: DataFrame, source: DataFrame, code: str, key: str) -> DataFrame:
+def new_members(
+    existing: DataFrame, source: DataFrame, code: str, key: str, after: int | None = None
+) -> DataFrame:
     """Members of a delivery that the dimension lacks, keyed after its last key.
 
     ``source`` may hold millions of rows per member: they combine per task first.
+    ``after`` gives the last key where the caller knows it without a scan.
     """
     members = one_row_per_key(source.filter(F.col(code).isNotNull()), code)
     unseen = members.join(existing.select(code), code, "left_anti")
-    return number_rows(unseen, [code], key, last_key(existing, key))
+    return number_rows(unseen, [code], key, last_key(existing, key) if after is None else after)
 
 
 @dataclass(frozen=True)

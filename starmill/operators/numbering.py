@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.functions.values import UNKNOWN_KEY, constant
+from starmill.session import footer_aggregates
 from starmill.sources.scratch import written
+from starmill.sources.tables import Tables
 
 _FILE, _ROW, _FIRST = "__file", "__row", "__first"
 
@@ -18,6 +20,27 @@ def last_key(df: DataFrame, key: str) -> int:
     return df.agg(F.greatest(F.coalesce(F.max(key), F.lit(0)), F.lit(0)).cast("bigint")).first()[0]
 
 
+def last_stored_key(
+    tables: Tables,
+    name: str,
+    schema: str,
+    key: str,
+    by: str | None = None,
+    without: DataFrame | None = None,
+) -> int:
+    """``last_key`` of a stored table, taken from file footers whatever its size.
+
+    With ``by``, a partition column, the parts listed in ``without`` are left out: those
+    that the running load is about to replace.
+    """
+    with footer_aggregates(tables.spark):
+        df = tables.read(name, schema)
+        if without is not None:
+            parts = df.groupBy(by).agg(F.max(key).alias(key))
+            df = parts.join(without.select(by).distinct(), by, "left_anti")
+        return last_key(df, key)
+
+
 def number_stored(stored: DataFrame, key: str, after: int = 0) -> DataFrame:
     """Number the rows of a stored Parquet table after a given key, without a shuffle.
 

@@ -39,7 +39,7 @@ from starmill.operators.dimensions import (
 )
 from starmill.operators.facts import snapshot_load
 from starmill.operators.lookups import Lookup, flag_lookup, resolve
-from starmill.operators.numbering import last_key, number_stored, with_unknown
+from starmill.operators.numbering import last_stored_key, number_stored, with_unknown
 from starmill.plans import code_lists
 from starmill.plans.model import WAREHOUSE
 from starmill.session import split_generated_code
@@ -276,8 +276,8 @@ def load_population(tables: Tables, paths: str | Sequence[str], stamp: datetime)
 def clean_events(source: DataFrame) -> DataFrame:
     """Event rows with a known circumstance, codes in canonical text, keys derived.
 
-    Two steps: the second names each cleaned code several times, and Spark evaluates
-    the first step's columns once.
+    Two steps: the second names cleaned codes again, and Spark evaluates the columns of
+    the first step once. Birth days stay text here; only new persons need them parsed.
     """
     codes = [
         "SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU", "CODMUNOCOR",
@@ -286,8 +286,7 @@ def clean_events(source: DataFrame) -> DataFrame:
     chain = [F.col(f"LINHA{letter}") for letter in "ABCD"]
     cleaned = source.filter(F.col("CIRCOBITO").isNotNull()).select(
         *[code_text(F.col(name)).alias(name) for name in codes],
-        whole_number(F.col("DTNASC")).alias("birth_number"),
-        parse_day(F.col("DTNASC")).alias("DT_NASC"),
+        zero_pad(whole_number(F.col("DTNASC")), 8).alias("birth_text"),
         parse_day(F.col("DTOBITO")).alias("DT_OBITO"),
         code_prefix(F.col("CAUSABAS"), 3).alias("basic_code"),
         terminal_code(chain, F.col("CAUSABAS")).alias("terminal_code"),
@@ -298,14 +297,14 @@ def clean_events(source: DataFrame) -> DataFrame:
     person = [
         F.col("RACACOR"),
         F.col("SEXO"),
-        zero_pad(F.col("birth_number"), 8),
+        F.col("birth_text"),
         F.col("ESCFALAGR1"),
         F.col("ESTCIV"),
         F.col("OCUP"),
         F.col("CODMUNNATU"),
     ]
     return cleaned.select(
-        *[c for c in cleaned.columns if c != "birth_number"],
+        *cleaned.columns,
         business_key(person).alias("CD_PESSOA"),
         composite_code(F.col("basic_code"), F.col("terminal_code")).alias("CD_CAUSAOBITO"),
     )
@@ -315,18 +314,19 @@ def _code_key(read: Reader, name: str, source: str) -> Lookup:
     return Lookup(read(f"DWCD_{name}"), source, f"CD_{name}", f"SK_{name}", f"SK_{name}")
 
 
-def unseen_persons(events: DataFrame, read: Reader) -> DataFrame:
+def unseen_persons(events: DataFrame, read: Reader, after: int | None = None) -> DataFrame:
     """Numbered persons of the events that the warehouse lacks."""
     attributes = [
-        "CD_PESSOA", "SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU", "DT_NASC",
+        "CD_PESSOA", "SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU", "birth_text",
     ]
-    return new_members(read("DWCD_PESSOA"), events.select(attributes), "CD_PESSOA", "SK_PESSOA")
+    persons = events.select(attributes)
+    return new_members(read("DWCD_PESSOA"), persons, "CD_PESSOA", "SK_PESSOA", after)
 
 
 def person_rows(unseen: DataFrame, read: Reader, stamp: datetime) -> DataFrame:
     """New persons with the keys of their six attributes."""
     keyed = resolve(
-        unseen,
+        unseen.withColumn("DT_NASC", parse_day(F.col("birth_text"))),
         [
             _code_key(read, "SEXO", "SEXO"),
             _code_key(read, "RACACOR", "RACACOR"),
@@ -339,10 +339,11 @@ def person_rows(unseen: DataFrame, read: Reader, stamp: datetime) -> DataFrame:
     return stamped(keyed, stamp).select(*read("DWCD_PESSOA").columns)
 
 
-def unseen_causes(events: DataFrame, read: Reader) -> DataFrame:
+def unseen_causes(events: DataFrame, read: Reader, after: int | None = None) -> DataFrame:
     """Numbered cause pairs of the events that the warehouse lacks."""
     pairs = events.select("CD_CAUSAOBITO", "basic_code", "terminal_code")
-    return new_members(read("DWCD_CAUSAOBITO"), pairs, "CD_CAUSAOBITO", "SK_CAUSAOBITO")
+    known = read("DWCD_CAUSAOBITO")
+    return new_members(known, pairs, "CD_CAUSAOBITO", "SK_CAUSAOBITO", after)
 
 
 def cause_rows(unseen: DataFrame, read: Reader, stamp: datetime) -> DataFrame:
@@ -419,24 +420,41 @@ def staged_events(source: DataFrame) -> DataFrame:
         return written(clean_events(source), "events")
 
 
-def event_load(source: DataFrame, read: Reader, stamp: datetime) -> EventLoad:
-    """One delivery of events against the warehouse that ``read`` gives."""
-    events = staged_events(source)
-    persons, causes = unseen_persons(events, read), unseen_causes(events, read)
-    after = _last_event(read("DWMV_OBITO"), events)
+@dataclass(frozen=True)
+class LastKeys:
+    """Keys in use; an event's number excludes the deliveries about to be replaced."""
+
+    person: int = 0
+    cause: int = 0
+    event: int = 0
+
+
+def last_keys(tables: Tables, events: DataFrame) -> LastKeys:
+    """Keys in use, read from file footers: the movement is as large as all events."""
+
+    def last(name: str, key: str, **without) -> int:
+        return last_stored_key(tables, name, WAREHOUSE[name].columns, key, **without)
+
+    return LastKeys(
+        last("DWCD_PESSOA", "SK_PESSOA"),
+        last("DWCD_CAUSAOBITO", "SK_CAUSAOBITO"),
+        last("DWMV_OBITO", "CD_OBITO", by=DELIVERY, without=events),
+    )
+
+
+def event_load(
+    events: DataFrame, read: Reader, stamp: datetime, last: LastKeys = LastKeys()
+) -> EventLoad:
+    """Staged events against the warehouse that ``read`` gives."""
+    persons = unseen_persons(events, read, last.person)
+    causes = unseen_causes(events, read, last.cause)
     return EventLoad(
         person_rows(persons, read, stamp),
         cause_rows(causes, read, stamp),
-        movement_rows(events, persons, causes, read, stamp, after),
+        movement_rows(events, persons, causes, read, stamp, last.event),
     )
 
 
-def _last_event(movement: DataFrame, events: DataFrame) -> int:
-    """Last event number outside the deliveries that are about to be replaced."""
-    last = movement.groupBy(DELIVERY).agg(F.max("CD_OBITO").alias("CD_OBITO"))
-    return last_key(last.join(events.select(DELIVERY).distinct(), DELIVERY, "left_anti"), "CD_OBITO")
-
-
 def store_events(tables: Tables, load: EventLoad) -> None:
     """Members first, movement last: a failure between leaves members without events,
     which the next run finds and uses."""
@@ -469,14 +487,21 @@ def store_events(tables: Tables, load: EventLoad) -> None:
     tables.replace_deliveries("DWMV_OBITO", load.movement, DELIVERY)
 
 
-def load_events(tables: Tables, paths: str | Sequence[str], stamp: datetime) -> EventLoad:
-    """Deliveries of events; delivering a file again replaces its events."""
-    source = read_delimited(tables.spark, paths, EVENT_COLUMNS)
-    load = event_load(source, lambda name: _read(tables, name), stamp)
+def load_event_rows(tables: Tables, source: DataFrame, stamp: datetime) -> EventLoad:
+    """Delivered event rows, batch or micro-batch, into the warehouse."""
+    events = staged_events(source)
+    load = event_load(
+        events, lambda name: _read(tables, name), stamp, last_keys(tables, events)
+    )
     store_events(tables, load)
     return load
 
 
+def load_events(tables: Tables, paths: str | Sequence[str], stamp: datetime) -> EventLoad:
+    """Deliveries of events; delivering a file again replaces its events."""
+    return load_event_rows(tables, read_delimited(tables.spark, paths, EVENT_COLUMNS), stamp)
+
+
 @dataclass(frozen=True)
 class Deliveries:
     """Paths of all delivered files."""

@@ -35,17 +35,32 @@ def local_session(cores: int | str = 8, name: str = "starmill") -> SparkSession:
 
 
 @contextmanager
-def split_generated_code(spark: SparkSession) -> Iterator[None]:
-    """Run wide projections as several methods instead of one.
+def _with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def split_generated_code(spark: SparkSession):
+    """Run wide projections as several methods instead of one, inside a ``with`` block.
 
     The JVM never compiles a method beyond 8000 bytecodes, and a projection that cleans
     some twenty text columns is beyond that; interpreted, it takes more than twice as
     long. The session's setting is put back afterwards.
     """
-    setting = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "8000")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+    return _with_settings(spark, {"spark.sql.codegen.hugeMethodLimit": "8000"})
+
+
+def footer_aggregates(spark: SparkSession):
+    """Answer MIN, MAX and COUNT of Parquet tables read inside the ``with`` block from
+    file footers, without reading any column."""
+    settings = {
+        "spark.sql.sources.useV1SourceList": "",
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+    return _with_settings(spark, settings)

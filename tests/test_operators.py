@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from starmill.operators import checks, dimensions, lookups, numbering
+from starmill.session import footer_aggregates
 from starmill.sources import Tables, written
 from starmill.sources.tables import stamped
 
@@ -41,6 +42,23 @@ def test_last_key_ignores_the_unknown_member(spark):
     assert numbering.last_key(spark.createDataFrame([(-1,), (7,)], "sk bigint"), "sk") == 7
 
 
+def test_last_stored_key_comes_from_footers(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "tables"))
+    schema = "sk bigint, part string"
+    assert numbering.last_stored_key(tables, "t", schema, "sk") == 0
+    rows = spark.range(1, 101).select(
+        F.col("id").alias("sk"), F.when(F.col("id") <= 60, "a").otherwise("b").alias("part")
+    )
+    tables.replace_deliveries("t", rows, "part")
+    assert numbering.last_stored_key(tables, "t", schema, "sk") == 100
+    replaced = spark.createDataFrame([("b",), ("b",)], "part string")
+    assert numbering.last_stored_key(tables, "t", schema, "sk", "part", replaced) == 60
+    with footer_aggregates(spark):
+        plan = plan_of(tables.read("t", schema).agg(F.max("sk")))
+    assert "PushedAggregation: [MAX(sk)]" in plan
+    assert "BatchScan" not in plan_of(tables.read("t", schema))
+
+
 def test_with_unknown_twice_is_once(spark, rows):
     df = spark.createDataFrame([(1, "a")], "sk bigint, label string")
     once = numbering.with_unknown(df, "sk", {"label": "?"})

@@ -16,14 +16,13 @@ from starmill.plans.warehouse import (
     EVENT_COLUMNS,
     Deliveries,
     build_warehouse,
-    event_load,
     load_causes,
     load_code_lists,
+    load_event_rows,
     load_events,
     load_occupations,
     load_places,
     load_population,
-    store_events,
 )
 from starmill.sources import Tables
 from starmill.streaming import load_new_files
@@ -379,7 +378,7 @@ def test_streamed_files_equal_batch_load(spark, delivered, built, tmp_path):
     load_occupations(tables, deliveries.occupations, STAMP)
 
     def load(batch):
-        store_events(tables, event_load(batch, lambda n: read(tables, n), STAMP))
+        load_event_rows(tables, batch, STAMP)
 
     names = {c: c for c in EVENT_COLUMNS}
     for year, rows in events.items():
