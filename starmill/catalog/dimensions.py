@@ -27,6 +27,7 @@ from starmill.operators.dimensions import (
 from starmill.operators.lookups import (
     Lookup,
     flag_lookup,
+    join_large,
     join_spreading_heavy,
     resolve,
     resolve_or_drop,
@@ -464,11 +465,11 @@ def role_play(spark, folder):
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     # Lines per (order, supplier's nation) first: the join with orders then moves counts.
     sold = (
-        lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        join_large(lines, suppliers, "l_suppkey", "s_suppkey", how="inner")
         .groupBy("l_orderkey", "s_nationkey")
         .agg(F.count("*").alias("n"))
     )
-    buyers = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    buyers = join_large(orders, customers, "o_custkey", "c_custkey", ["o_orderkey"], "inner")
     pairs = (
         sold.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(

@@ -84,10 +84,8 @@ def _event_source(spark, folder):
     customers = table(spark, folder, "customer").select(
         "c_custkey", "c_mktsegment", "c_nationkey"
     )
-    joined = join_large(
-        lines, orders, "l_orderkey", "o_orderkey", ["l_partkey", "l_suppkey", "l_linenumber"],
-        "inner",
-    ).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    bought = join_large(orders, customers, "o_custkey", "c_custkey", ["o_orderkey"], "inner")
+    joined = join_large(lines, bought, "l_orderkey", "o_orderkey", how="inner")
 
     def text(column):
         return column.cast("string")
@@ -343,22 +341,20 @@ def snapshot(spark, folder):
     """Orders per year and nation as base measure, returned lines as events."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    placed = join_large(orders, customers, "o_custkey", "c_custkey", ["o_orderkey"], "inner")
     base = (
         placed.groupBy(F.year("o_orderdate").alias("year"), F.col("c_nationkey").alias("place"))
         .agg(F.count("*").alias("base"))
         .filter("year <> 1997")
     )
-    returned = table(spark, folder, "lineitem").filter("l_returnflag = 'R'").select(
-        "l_orderkey",
-        F.col("l_shipdate").cast("date").alias("day"),
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
+    returned = (
+        table(spark, folder, "lineitem")
+        .filter("l_returnflag = 'R'")
+        .select("l_orderkey", F.col("l_shipdate").cast("date").alias("day"))
     )
     events = join_large(
         returned, placed.select("o_orderkey", F.col("c_nationkey").alias("place")),
-        "l_orderkey", "o_orderkey", ["l_partkey", "l_suppkey", "l_linenumber"], "inner",
+        "l_orderkey", "o_orderkey", how="inner",
     )
     counts = count_events(events, F.year("day"), "place", "n_events")
     base = written(base, "base")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from starmill.functions.values import UNKNOWN_KEY, trimmed, whole_number, zero_pad
 
+# Text that may not be canonical yet; most codes are, and skip the rest.
+_UNCLEAN = r"^[0+]|[.\s\u00a0]"
 # An integer with leading zeros, or a decimal that only repeats an integer.
 _INTEGER = r"^\+?(-?)0*(\d+?)(?:\.0*)?$"
 
@@ -20,9 +22,9 @@ def code_text(column: Column) -> Column:
     Source files mix digits and letters in one column, and a blank turns an
     integer column into decimals; both sides of a lookup go through this.
     """
-    text = trimmed(column)
-    plain = ~(text.startswith("0") | text.startswith("+") | text.contains("."))
-    return F.when(plain, text).otherwise(F.regexp_replace(text, _INTEGER, "$1$2"))
+    text = column.cast("string")
+    cleaned = F.regexp_replace(trimmed(text), _INTEGER, "$1$2")
+    return F.when(text.rlike(_UNCLEAN), cleaned).otherwise(text)
 
 
 def code_prefix(column: Column, length: int) -> Column:

@@ -195,14 +195,17 @@ def flatten_star(base: DataFrame, roles: Sequence[tuple[str, DataFrame, str, dic
 
 
 def year_dimension(years: DataFrame, column: str, key: str) -> DataFrame:
-    """Distinct years, keyed from 1 in order.
+    """Distinct years, keyed from 1 in order; rows without a year have no member.
 
-    A year has four digits, so the one ordered task numbers at most 10,000 rows,
-    whatever the size of the source.
+    The one ordered task numbers at most 10,000 rows, whatever the size of the source: a
+    year of other than four digits fails the job.
     """
-    distinct = years.select(F.col(column).cast("int").alias(column)).distinct()
-    bounded = distinct.filter(F.col(column).between(0, 9999))
-    return bounded.select(
+    year = F.col(column).cast("int")
+    checked = F.when(year.between(0, 9999), year).otherwise(
+        F.raise_error(F.concat(F.lit("not a year: "), F.col(column).cast("string"))).cast("int")
+    )
+    distinct = years.filter(F.col(column).isNotNull()).select(checked.alias(column)).distinct()
+    return distinct.select(
         F.row_number().over(Window.orderBy(column)).cast("bigint").alias(key), column
     )
 

@@ -26,6 +26,23 @@ def test_query_equals_sql(spark, connection, name):
     assert compare.differences(spark, connection, QUERIES[name], ORACLES[name], FOLDER) is None
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["event_movement", "event_fact", "snapshot_with_counts", "lookup_unknown", "flag_lookup",
+     "role_play", "calendar", "merge_insert_update"],
+)
+def test_query_equals_sql_without_broadcast(spark, connection, name):
+    """With every lookup table too large to broadcast, as at scale."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        difference = compare.differences(spark, connection, QUERIES[name], ORACLES[name], FOLDER)
+    finally:
+        spark.conf.set(setting, before)
+    assert difference is None
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry_points
 
