@@ -16,8 +16,9 @@ from starmill.operators.facts import (
     snapshot_load,
     snapshot_with_counts,
 )
-from starmill.operators.lookups import Lookup, join_large
-from starmill.operators.numbering import number_rows, number_stored
+from starmill.operators.lookups import Lookup, join_large, resolve_or_drop
+from starmill.operators.numbering import number_rows, number_stored, with_unknown
+from starmill.plans.mart import death_fact, population_fact, year_table
 from starmill.plans.model import WAREHOUSE
 from starmill.plans.warehouse import (
     cause_rows,
@@ -192,12 +193,91 @@ def _staged(spark, folder):
 )
 def event_movement(spark, folder):
     """The whole event load: cleaning, new members, lookups, flags, event numbers."""
-    load = event_load(_staged(spark, folder), _stand_in_warehouse(spark, folder), STAMP)
-    return load.movement.withColumn("is_numbered", F.col("CD_OBITO") > 0).drop(
+    return _load(spark, folder).movement.withColumn("is_numbered", F.col("CD_OBITO") > 0).drop(
         "CD_OBITO", "DT_CARGA", "ENTREGA"
     )
 
 
+def _load(spark, folder):
+    return event_load(_staged(spark, folder), _stand_in_warehouse(spark, folder), STAMP)
+
+
+_MOVEMENT_SQL = (
+    _EVENTS_SQL
+    + """,
+    movement AS (
+      SELECT CAST(coalesce(place.sk, -1) AS BIGINT) AS town_key,
+             CAST(coalesce(birth.sk, -1) AS BIGINT) AS birth_key,
+             coalesce(causes.sk, -1) AS cause_key, persons.sk AS person_key, died, l_linenumber
+      FROM coded JOIN persons USING (person) LEFT JOIN causes USING (pair)
+      LEFT JOIN towns place ON place.code = l_linenumber + 110000
+      LEFT JOIN towns birth ON birth.code = coded.nation + 110000)
+"""
+)
+
+
+@query(
+    "death_fact",
+    _MOVEMENT_SQL
+    + """
+    SELECT person_key AS SK_PESSOA, town_key AS SK_LOCAL_OBITO, birth_key AS SK_LOCAL_NASC,
+           cause_key AS SK_CAUSA,
+           CAST(CASE WHEN died < DATE '2001-01-01'
+                THEN date_diff('day', DATE '1995-01-01', died) + 1 ELSE -1 END AS BIGINT)
+             AS SK_DT_OBITO,
+           l_linenumber = 1 AS ST_FETAL, CAST(1 AS BIGINT) AS QTD_OBITO
+    FROM movement
+    """,
+)
+def death_fact_query(spark, folder):
+    """Mart fact from loaded events: both place roles, days beyond the calendar."""
+    load = _load(spark, folder)
+    no_holidays = empty(spark, "day date")
+    days = calendar(spark, "1995-01-01", "2000-12-31", no_holidays, "SK_TEMPO_DIA")
+    persons = with_unknown(load.persons, "SK_PESSOA", {"SK_MUNICIPIO": -1})
+    fact = death_fact(load.movement, persons, days.withColumnRenamed("day", "DATA"))
+    return fact.drop("CD_OBITO", "SK_CIRCOBITO", "SK_TPLOCOR", "ST_ACIDTRAB")
+
+
+@query(
+    "population_fact",
+    _MOVEMENT_SQL
+    + """,
+    population AS (
+      SELECT CAST(year(l_shipdate) AS INTEGER) AS year, towns.sk AS town_key,
+             count(*) * 1000 AS people
+      FROM lineitem JOIN towns ON towns.code = l_linenumber + 110000
+      WHERE year(l_shipdate) <> 1997 GROUP BY ALL),
+    years AS (
+      SELECT year, row_number() OVER (ORDER BY year) AS sk
+      FROM (SELECT DISTINCT year FROM population)),
+    deaths AS (
+      SELECT year(died) AS year, town_key, count(*) AS n FROM movement
+      WHERE died IS NOT NULL GROUP BY ALL)
+    SELECT years.sk AS SK_TEMPO, CAST(town_key AS BIGINT) AS SK_LOCAL,
+           people AS QTD_POPULACAO, coalesce(n, 0) AS QTD_MORTES
+    FROM population JOIN years USING (year) LEFT JOIN deaths USING (year, town_key)
+    """,
+)
+def population_fact_query(spark, folder):
+    """Mart fact of people and deaths per year and place; one year has no estimate."""
+    towns = _stand_in_warehouse(spark, folder)("DWCD_MUNICIPIO")
+    lines = table(spark, folder, "lineitem").select(
+        F.year("l_shipdate").alias("ANO"), (F.col("l_linenumber") + 110000).alias("code")
+    )
+    # People per year and code first: the lookup then sees totals, not lines.
+    totals = lines.filter("ANO <> 1997").groupBy("ANO", "code").agg(
+        (F.count("*") * 1000).alias("QTD_POPULACAO")
+    )
+    population = written(
+        resolve_or_drop(totals, Lookup(towns, "code", "CD_MUNICIPIO", "SK_MUNICIPIO", "SK_MUNICIPIO"))
+        .drop("code"),
+        "population",
+    )
+    movement = _load(spark, folder).movement
+    return population_fact(population, movement, year_table(population))
+
+
 @query(
     "event_numbers",
     """

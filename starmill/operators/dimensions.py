@@ -40,19 +40,22 @@ def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
     over whole rows and then per key), so a key that holds a third of the source costs
     no task more than any other.
     """
-    others = [c for c in source.columns if c != key]
+    return _greatest_per_key(source.distinct(), key)
+
+
+def _greatest_per_key(rows: DataFrame, key: str) -> DataFrame:
+    others = [c for c in rows.columns if c != key]
     if not others:
-        return source.distinct()
-    chosen = source.distinct().groupBy(key).agg(F.max(F.struct(*others)).alias("__row"))
+        return rows.distinct()
+    chosen = rows.groupBy(key).agg(F.max(F.struct(*others)).alias("__row"))
     return chosen.select(
-        *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in source.columns]
+        *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in rows.columns]
     )
 
 
 def insert_unseen(existing: DataFrame, rows: DataFrame, code: str, key: str) -> DataFrame:
     """Domain load: add the codes the table lacks and change nothing else."""
-    unseen = one_row_per_key(rows, code).join(existing.select(code), code, "left_anti")
-    numbered = number_rows(unseen, [code], key, last_key(existing, key))
+    numbered = new_members(existing, rows, code, key)
     return existing.unionByName(numbered.select(*existing.columns))
 
 
@@ -115,8 +118,10 @@ def new_members(
     ``source`` may hold millions of rows per member: they combine per task first.
     ``after`` gives the last key where the caller knows it without a scan.
     """
-    members = one_row_per_key(source.filter(F.col(code).isNotNull()), code)
-    unseen = members.join(existing.select(code), code, "left_anti")
+    rows = source.filter(F.col(code).isNotNull()).distinct()
+    # One row per code comes after the anti-join, whose partitioning and order by code it
+    # then shares; before it, it would be one more shuffle.
+    unseen = _greatest_per_key(rows.join(existing.select(code), code, "left_anti"), code)
     return number_rows(unseen, [code], key, last_key(existing, key) if after is None else after)
 
 
