@@ -156,7 +156,9 @@ def compose_code_query(spark, folder):
     parent = (F.col("c_nationkey") + 11).cast("double").cast("string")
     child = F.col("c_custkey").cast("string")
     code = compose_code(parent, child, 5, 6)
-    return customers.select("c_custkey", code.alias("place_code"), code_prefix(code, 3).alias("prefix"))
+    return customers.select(
+        "c_custkey", code.alias("place_code"), code_prefix(code, 3).alias("prefix")
+    )
 
 
 @query(
@@ -173,8 +175,8 @@ def compose_code_query(spark, folder):
                      WHEN b IS NOT NULL THEN split_part(b, '*', 2) END AS found FROM chains)
     SELECT p_partkey, '*' || found AS first_code,
            substr('*' || coalesce(found, replace(p_brand, '#', '')), 1, 4) AS terminal,
-           replace(p_brand, '#', '') || substr('*' || coalesce(found, replace(p_brand, '#', '')), 1, 4)
-             AS pair
+           replace(p_brand, '#', '')
+             || substr('*' || coalesce(found, replace(p_brand, '#', '')), 1, 4) AS pair
     FROM firsts
     """,
 )

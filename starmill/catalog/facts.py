@@ -269,11 +269,8 @@ def population_fact_query(spark, folder):
     totals = lines.filter("ANO <> 1997").groupBy("ANO", "code").agg(
         (F.count("*") * 1000).alias("QTD_POPULACAO")
     )
-    population = written(
-        resolve_or_drop(totals, Lookup(towns, "code", "CD_MUNICIPIO", "SK_MUNICIPIO", "SK_MUNICIPIO"))
-        .drop("code"),
-        "population",
-    )
+    town = Lookup(towns, "code", "CD_MUNICIPIO", "SK_MUNICIPIO", "SK_MUNICIPIO")
+    population = written(resolve_or_drop(totals, town).drop("code"), "population")
     movement = _load(spark, folder).movement
     return population_fact(population, movement, year_table(population))
 

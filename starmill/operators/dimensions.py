@@ -36,20 +36,16 @@ def code_list(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFr
 def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
     """Source with one row per key; of repeated rows the greatest remains.
 
-    Repeated rows combine in each task before any shuffle (a hash aggregate, first
-    over whole rows and then per key), so a key that holds a third of the source costs
-    no task more than any other.
+    Repeated rows combine in each task before any shuffle, first whole rows and then
+    rows per key, so a key that holds a third of the source costs no task more than any
+    other.
     """
-    return _greatest_per_key(source.distinct(), key)
-
-
-def _greatest_per_key(rows: DataFrame, key: str) -> DataFrame:
-    others = [c for c in rows.columns if c != key]
+    others = [c for c in source.columns if c != key]
     if not others:
-        return rows.distinct()
-    chosen = rows.groupBy(key).agg(F.max(F.struct(*others)).alias("__row"))
+        return source.distinct()
+    chosen = source.distinct().groupBy(key).agg(F.max(F.struct(*others)).alias("__row"))
     return chosen.select(
-        *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in rows.columns]
+        *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in source.columns]
     )
 
 
@@ -118,10 +114,10 @@ def new_members(
     ``source`` may hold millions of rows per member: they combine per task first.
     ``after`` gives the last key where the caller knows it without a scan.
     """
-    rows = source.filter(F.col(code).isNotNull()).distinct()
-    # One row per code comes after the anti-join, whose partitioning and order by code it
-    # then shares; before it, it would be one more shuffle.
-    unseen = _greatest_per_key(rows.join(existing.select(code), code, "left_anti"), code)
+    # The aggregate leaves the members partitioned and sorted by code, as the anti-join
+    # needs them, so only the existing codes are shuffled for it.
+    members = one_row_per_key(source.filter(F.col(code).isNotNull()), code)
+    unseen = members.join(existing.select(code), code, "left_anti")
     return number_rows(unseen, [code], key, last_key(existing, key) if after is None else after)
 
 
@@ -242,11 +238,6 @@ def calendar_between(
     return members_flag(rows, "day", holidays, "is_holiday")
 
 
-def with_unknown_label(df: DataFrame, label: str) -> DataFrame:
-    """Fill missing labels with the unknown label."""
-    return df.withColumn(label, F.coalesce(F.col(label), F.lit(UNKNOWN_LABEL)))
-
-
 def unknown_values(codes: Sequence[str], labels: Sequence[str], **others) -> Mapping:
     """Values of an unknown member: unknown code, unknown label, and the rest as given."""
     return {

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions.values import UNKNOWN_KEY
 from starmill.operators.lookups import Lookup, join_large, resolve, resolve_or_drop
 
 
@@ -91,8 +90,3 @@ def snapshot_load(
         place.source, period.alias(period_name), quantity.alias(quantity_name), *keep
     )
     return resolve_or_drop(cleaned, place).select(place.name, period_name, quantity_name, *keep)
-
-
-def unknown_as_key(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill missing keys with the unknown key."""
-    return df.fillna(UNKNOWN_KEY, subset=list(columns))

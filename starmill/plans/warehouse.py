@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions import (
@@ -180,7 +180,9 @@ def load_places(
         stamped(code_list(spark, code_lists.REGIONS, "SK_REGIAO bigint, NM_REGIAO string"), stamp),
         "SK_REGIAO",
     )
-    regions = with_unknown(regions, "SK_REGIAO", unknown_values([], ["NM_REGIAO"], DT_CARGA=UNKNOWN_STAMP))
+    regions = with_unknown(
+        regions, "SK_REGIAO", unknown_values([], ["NM_REGIAO"], DT_CARGA=UNKNOWN_STAMP)
+    )
 
     state_rows = stamped(
         places.select(

@@ -98,7 +98,9 @@ def test_first_code_in_chain(spark):
 
 
 def test_compose_code(spark):
-    df = spark.createDataFrame([("11", "15"), ("11.0", "15.0"), ("35", "50308"), (None, "1")], "a string, b string")
+    df = spark.createDataFrame(
+        [("11", "15"), ("11.0", "15.0"), ("35", "50308"), (None, "1")], "a string, b string"
+    )
     codes = df.select(fn.compose_code(F.col("a"), F.col("b"), 5, 6)).collect()
     assert [r[0] for r in codes] == [110001, 110001, 355030, None]
 

@@ -228,3 +228,60 @@ def test_tables_versions_and_self_replacement(spark, rows, tmp_path):
 def test_written_keeps_schema(spark):
     df = stamped(spark.range(3), None)
     assert written(df, "x").dtypes == df.dtypes
+
+
+def test_one_row_per_key_keeps_the_greatest(spark, rows):
+    df = spark.createDataFrame(
+        [("a", "x", 1), ("a", "x", 1), ("a", "z", 0), ("b", None, 5)],
+        "code string, label string, n int",
+    )
+    assert rows(dimensions.one_row_per_key(df, "code")) == [("a", "z", 0), ("b", None, 5)]
+    assert rows(dimensions.one_row_per_key(df.select("code"), "code")) == [("a",), ("b",)]
+
+
+def test_hierarchy_keys_survive_a_reordered_delivery(spark, rows):
+    def build(names, states, towns):
+        return dimensions.hierarchy(
+            [
+                dimensions.Level(
+                    spark.createDataFrame(names, "state string, name string"),
+                    states, "state", "state_key", ["name"],
+                ),
+                dimensions.Level(
+                    spark.createDataFrame(
+                        [("t1", "One", "s1"), ("t2", "Two", "s9")],
+                        "town string, name string, state string",
+                    ),
+                    towns, "town", "town_key", ["name"], parent_code="state",
+                ),
+            ]
+        )
+
+    none = (
+        spark.createDataFrame([], "state_key bigint, state string, name string"),
+        spark.createDataFrame([], "town_key bigint, town string, name string, state_key bigint"),
+    )
+    first = build([("s1", "B"), ("s2", "A")], *none)
+    assert rows(first[0], "state_key", "state") == [(1, "s1"), (2, "s2")]
+    assert rows(first[1], "town_key", "town", "state_key") == [(1, "t1", 1), (2, "t2", -1)]
+    later = build([("s0", "C"), ("s2", "A"), ("s1", "B")], *first)
+    assert rows(later[0], "state_key", "state") == [(1, "s1"), (2, "s2"), (3, "s0")]
+    assert rows(later[1]) == rows(first[1])
+
+
+def test_year_dimension_refuses_what_is_no_year(spark, rows):
+    df = spark.createDataFrame([(2020,), (2018,), (2020,), (None,)], "year int")
+    assert rows(dimensions.year_dimension(df, "year", "k")) == [(1, 2018), (2, 2020)]
+    bad = spark.createDataFrame([(20201,)], "year int")
+    with pytest.raises(PySparkException, match="not a year"):
+        dimensions.year_dimension(bad, "year", "k").collect()
+
+
+def test_plans_stay_native(spark):
+    """No Python runs on rows, and lookups of code lists are broadcast."""
+    codes = dimensions.code_list(spark, [("a",), ("b",)], "sk bigint, code string")
+    facts = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    found = lookups.resolve(facts, [lookups.Lookup(codes, "event_type", "code", "sk", "k")])
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan
+    assert not any(word in plan for word in ("Python", "Pandas", "CartesianProduct"))

@@ -36,7 +36,12 @@ TOWNS = [
     ("35", "São Paulo", "3550308", "São Paulo"),
     ("99", "Atlântida", "9900001", "Nenhures"),
 ]
-CAUSES = [("V01", "Pedestre"), ("X95", "Disparo"), ("R09.2", "Parada respiratória"), ("J18", "Pneumonia")]
+CAUSES = [
+    ("V01", "Pedestre"),
+    ("X95", "Disparo"),
+    ("R09.2", "Parada respiratória"),
+    ("J18", "Pneumonia"),
+]
 OCCUPATIONS = [("10105", "Oficial"), ("999991", "Estudante")]
 
 
