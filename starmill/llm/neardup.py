@@ -30,9 +30,10 @@ from starmill.sources.scratch import written
 ROWS, GROUPS = 6, 32  # values in a band; groups of permutations, each giving two bands
 BANDS = 2 * GROUPS
 PERCENT = 75
-SKETCH = 6  # words of 64 bits, one bit per signature value
-# Bits in which two texts at similarity 0.75 differ: 48 of 384 expected, deviation 6.5.
-SKETCH_BITS = 81
+SKETCH = 6  # words of 64 bits, one bit per signature value; two such planes
+# Signature values whose two bits differ at similarity 0.75: 72 of 384 expected, with a
+# deviation of 7.7, so a link goes unseen with a chance of 3e-7.
+SKETCH_VALUES = 110
 
 _seeds = np.random.Generator(np.random.PCG64(8_675_309))
 _FACTOR = _seeds.integers(0, 1 << 32, ROWS * GROUPS, dtype=np.uint32) | np.uint32(1)
@@ -70,8 +71,9 @@ def _band_keys(signed: np.ndarray) -> np.ndarray:
 
 
 def _sketches(signed: np.ndarray) -> np.ndarray:
-    spread = mixed(signed.reshape(len(signed), -1).astype(np.uint64)) >> np.uint64(63)
-    return np.packbits(spread.astype(np.uint8), axis=1).view(np.uint64)
+    spread = (mixed(signed.reshape(len(signed), -1).astype(np.uint64)) >> np.uint64(62)).astype(np.uint8)
+    planes = [np.packbits(spread >> plane & 1, axis=1).view(np.uint64) for plane in (0, 1)]
+    return np.concatenate(planes, axis=1)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -86,7 +88,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = list(shingle_sets(batch.column(1)))
             full = [s for s in sets if len(s)]
             bands = np.zeros((len(sets), BANDS), np.uint64)
-            sketch = np.zeros((len(sets), SKETCH), np.uint64)
+            sketch = np.zeros((len(sets), 2 * SKETCH), np.uint64)
             if full:
                 some = np.array([len(s) > 0 for s in sets])
                 signed = signatures(full)
@@ -122,14 +124,18 @@ def _may_link(a: str, b: str) -> Column:
     """Whether set sizes and sketches leave the two texts a chance of a link."""
     sizes = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     near = 100 * F.least(*sizes) >= PERCENT * F.greatest(*sizes)
+
+    def differ(i: int) -> Column:
+        return F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])
+
     differing = sum(
         (
-            F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i]))
+            F.bit_count(differ(i).bitwiseOR(differ(i + SKETCH)))
             for i in range(SKETCH)
         ),
         F.lit(0),
     )
-    return near & (differing <= SKETCH_BITS)
+    return near & (differing <= SKETCH_VALUES)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -177,19 +183,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
     entries = reps.select("rep", F.explode("bands").alias("key"))
-    shared = (
-        entries.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep"), "rep")).alias("least"))
-        .filter("n > 1")
-        .select("key", F.col("least.rep").alias("pivot"))
-    )
-    buckets = written(entries.join(shared, "key"), "buckets")
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(entries.join(shared, "key"), "shared")
+    # The pivot is the member that meets most others over all buckets: in a group of near
+    # copies one of the most central, so few members stay unconnected with it.
+    degrees = shared.groupBy("rep").agg(F.sum("n").alias("degree"))
+    ranked = F.struct("degree", F.xxhash64("rep"), "rep")
+    pivots = shared.join(degrees, "rep").groupBy("key").agg(F.max(ranked).alias("most"))
+    pivots = pivots.select("key", F.col("most.rep").alias("pivot"))
+    buckets = written(shared.select("key", "rep").join(pivots, "key"), "buckets")
 
     met = buckets.select("rep").distinct()
     texts = rows.select(F.col("doc_id").alias("rep"), "text")
     sets = map_arrow(join_ids(texts, met, "rep", "left_semi"), _sets, "rep bigint, shingles array<bigint>")
     sets = written(sets.dropDuplicates(["rep"]), "sets")
-    known = reps.select("rep", "n_shingles", "sketch").join(met, "rep", "left_semi")
+    known = reps.select("rep", "n_shingles", "sketch", "bands").join(met, "rep", "left_semi")
     known = written(known, "sketches")
 
     def plausible(pairs: DataFrame) -> DataFrame:
@@ -206,22 +214,25 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         "rep", F.coalesce("component", "rep").alias("component")
     )
     labels = written(labels.join(known, "rep"), "labels")
-    pivots = labels.select(F.col("rep").alias("pivot"), F.col("component").alias("main"))
-    placed = buckets.join(labels.select("rep", "component"), "rep").join(pivots, "pivot")
+    mains = labels.select(F.col("rep").alias("pivot"), F.col("component").alias("main"))
+    placed = buckets.join(labels.select("rep", "component"), "rep").join(mains, "pivot")
     outside = written(placed.filter("component <> main").select("key", "rep"), "outside")
     mixed_keys = outside.select("key").distinct()
     inside = buckets.join(mixed_keys, "key", "left_semi").filter("rep <> pivot").select("key", "rep")
-    left = outside.join(labels, "rep").alias("x")
-    right = inside.join(labels, "rep").alias("y")
-    meeting = (
+    left = outside.join(labels, "rep").join(sets, "rep").alias("x")
+    right = inside.join(labels, "rep").join(sets, "rep").alias("y")
+    # Confirmed within the join, in one of the buckets that the two share: no pair leaves
+    # it but links.
+    common = F.size(F.array_intersect("x.shingles", "y.shingles"))
+    linked = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.component") != F.col("y.component"))
         & _may_link("x", "y")
+        & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key"))
+        & (100 * common >= PERCENT * (F.col("x.n_shingles") + F.col("y.n_shingles") - common))
     )
-    crossing = left.join(right, meeting).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
-    )
-    crossed = _confirmed(crossing.distinct(), sets)
+    crossed = left.join(right, linked).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    crossed = written(crossed, "crossing")
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     final = components(stars.unionByName(crossed))
 
