@@ -18,9 +18,7 @@ from collections.abc import Sequence
 
 import numpy as np
 
-_RUN = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 _LEADING = re.compile(r" (?=\S)")
-_WHITE = re.compile(r"\s")
 # Each of these is neither letter, digit nor white space to any of the pre-tokenizers.
 _ENDINGS = ".,;:!?#*$%&"
 _JOINED = 256
@@ -33,7 +31,7 @@ class WordEncoder:
     becomes the old one, and words still in use move over.
     """
 
-    def __init__(self, path: str, spaces: str, kept: int = 300_000):
+    def __init__(self, path: str, spaces: str, kept: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,10 +50,10 @@ class WordEncoder:
         with a line feed or, at the start of a text, with NUL."""
         if not self.lead:
             return text.replace("\n", " ").split(" ")
-        if _RUN.search(text):
-            parts = _LEADING.split(text)
-        else:
+        if " ".join(text.split()) == text.replace("\n", " "):
             parts = text.replace("\n", " \n").split(" ")
+        else:
+            parts = _LEADING.split(text)
         parts[0] = "\0" + parts[0]
         return parts
 
@@ -66,60 +64,67 @@ class WordEncoder:
             return key[1:]
         return key if key[0] == "\n" else " " + key
 
-    def _whole(self, key: str) -> str | None:
-        """Key of the word without the punctuation that ends it, where the tokenizer
-        parts the two."""
-        word = key.rstrip(_ENDINGS)
-        return word if len(word) < len(key) and word and word[-1].lower()[-1].isalnum() else None
-
-    def _known(self, key: str) -> bytes | None:
-        ids = self.young.get(key)
-        if ids is None:
-            ids = self.old.get(key)
-            if ids is not None:
-                self.young[key] = ids
-        return ids
-
     def _learn(self, keys: set[str]) -> None:
+        """Ids of new keys. The punctuation that ends a word is encoded apart from it, as
+        the pre-tokenizers part them behind a letter or digit."""
+        young, old = self.young, self.old.get
         ended, unknown = [], set()
         for key in keys:
-            if self._known(key) is None:
-                word = self._whole(key)
-                if word is None:
-                    unknown.add(key)
-                    continue
-                ended.append((key, word))
-                if self._known(word) is None:
+            ids = old(key)
+            if ids is not None:
+                young[key] = ids
+                continue
+            word = key.rstrip(_ENDINGS)
+            if len(word) == len(key) or not word or not word[-1].lower()[-1].isalnum():
+                unknown.add(key)
+                continue
+            ended.append((key, word))
+            if word not in young and word not in unknown:
+                ids = old(word)
+                if ids is None:
                     unknown.add(word)
-        endings = {key[len(word) :] for key, word in ended} - self.endings.keys()
-        for ending in endings:
-            self.endings[ending] = self._one(ending)
-        self._encode_words(sorted(unknown))
+                else:
+                    young[word] = ids
+        self._encode_words(unknown)
+        endings = self.endings
         for key, word in ended:
-            self.young[key] = self.young[word] + self.endings[key[len(word) :]]
-        if len(self.endings) > self.kept:
-            self.endings = {}
-
-    def _one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode_words(self, keys: list[str]) -> None:
-        """Encode many words as one text and part its ids again by their places."""
-        plain = [k for k in keys if k and k[0] != "\0" and not _WHITE.search(k, 1) and k[0] != " "]
-        if not self.lead:
-            plain = [k for k in plain if k[0] != "\n"]
-        for key in set(keys).difference(plain):
-            self.young[key] = self._one(self._source(key))
-        groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-        sources = [[self._source(k) if self.lead else k + " " for k in group] for group in groups]
-        encoded = self.tokenizer.encode_batch(["".join(s) for s in sources], add_special_tokens=False)
-        for group, source, encoding in zip(groups, sources, encoded):
-            ids = np.array(encoding.ids, "<u4")
-            places = np.array([place for place, _ in encoding.offsets], np.int64)
-            cuts = np.searchsorted(places, np.cumsum([0, *map(len, source)])) * 4
-            data = ids.tobytes()
-            for key, low, high in zip(group, cuts[:-1].tolist(), cuts[1:].tolist()):
-                self.young[key] = data[low:high]
+            ending = key[len(word) :]
+            if ending not in endings:
+                if len(endings) > self.kept:
+                    endings.clear()
+                endings[ending] = self._ids([ending])[0]
+            young[key] = young[word] + endings[ending]
+
+    def _ids(self, sources: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch(sources, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _encode_words(self, keys: set[str]) -> None:
+        """Encode many words of letters as one text, and part its ids again by the number
+        of their pre-tokens: one for a word, one for a line feed. Other keys go alone."""
+        plain, lines, others = [], [], []
+        for key in keys:
+            word = key[1:] if key[:1] == "\n" else key
+            if not word.isalpha() or "\u0130" in word:  # its small form is not all letters
+                others.append(key)
+            elif word is key:
+                plain.append(key)
+            else:
+                lines.append(key) if self.lead else others.append(key)
+        for key, ids in zip(others, self._ids([self._source(key) for key in others])):
+            self.young[key] = ids
+        for own, count in ((plain, 1), (lines, 2)):
+            groups = [own[i : i + _JOINED] for i in range(0, len(own), _JOINED)]
+            texts = [(" " if count == 1 else "") + (" " if count == 1 else "").join(g) for g in groups]
+            encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+            for group, encoding in zip(groups, encoded):
+                numbers = np.array(encoding.word_ids, np.int64)
+                cuts = np.searchsorted(numbers, np.arange(len(group) + 1) * count) * 4
+                data = np.array(encoding.ids, "<u4").tobytes()
+                low = 0
+                for key, high in zip(group, cuts[1:].tolist()):
+                    self.young[key] = data[low:high]
+                    low = high
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; a null text is an empty one."""
@@ -144,7 +149,7 @@ def encoder(path: str, spaces: str) -> WordEncoder:
     return _encoders[key]
 
 
-def slices(lengths: Sequence[int], most: int = 4_000_000) -> list[tuple[int, int]]:
+def slices(lengths: Sequence[int], most: int = 2_000_000) -> list[tuple[int, int]]:
     """Ranges of rows with about ``most`` characters in all, at least one row each."""
     out, low, total = [], 0, 0
     for i, length in enumerate(lengths):

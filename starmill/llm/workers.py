@@ -30,9 +30,25 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+# Rows and bytes of a batch that crosses to Python at once, where the session leaves
+# Spark's own limits (10,000 rows, 64 MiB): texts are long, and each task of an executor
+# holds a batch on both sides.
+BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "16777216"),
+}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    for name, (usual, bounded) in BATCH.items():
+        if spark.conf.get(name) == usual:
+            spark.conf.set(name, bounded)
+
+
 def map_arrow(
     df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """``mapInArrow`` with this package at hand on the workers."""
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
