@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from starmill.llm import html_text, licences, neardup, neighbours, packing, pieces, quality, rules, tokens, toxicity
+from starmill.llm import html_text, licences, neardup, neighbours, oracles, packing, pieces, quality, rules, tokens, toxicity
 from starmill.sources.scratch import scratch_folder, written
 
 WORD_TOKENIZER, WORD_END = "word_bpe_49k.json", 2
@@ -103,4 +103,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_host_rules": op9_host_rules,
     "op10_two_pass": op10_two_pass,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
