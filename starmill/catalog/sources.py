@@ -8,7 +8,6 @@ from starmill.catalog.registry import query, table
 from starmill.functions import locale_number, strip_footnote, whole_number
 from starmill.sources import (
     Tables,
-    delivery_name,
     period_of_path,
     read_delimited,
     read_table_export,
@@ -172,18 +171,18 @@ def incremental_replay(spark, folder):
     """,
 )
 def stream_new_files(spark, folder):
-    """Files of half a month streamed in, then the rest, then all under a new checkpoint."""
+    """Each day's folder arrives in two runs, then all its files under a new checkpoint."""
     tables = Tables(spark, scratch_folder(spark, "tables"))
     path = scratch_folder(spark, "arrived")
     events = table(spark, folder, "events").select(
         "event_id",
         "event_type",
-        F.date_format("ts", "dd").alias("day"),
+        (F.minute("ts") < 30).alias("early"),
         F.concat(F.lit("events_"), F.date_format("ts", "dd")).alias("delivery"),
     )
 
     def deliver(rows):
-        rows.drop("day").write.mode("append").partitionBy("delivery").csv(
+        rows.drop("early").write.mode("append").partitionBy("delivery").csv(
             path, sep=";", header=True
         )
 
@@ -191,7 +190,7 @@ def stream_new_files(spark, folder):
         rows = batch.select(
             whole_number(F.col("event_id")).alias("event_id"),
             "event_type",
-            delivery_name(F.col(SOURCE_PATH)).alias("delivery"),
+            F.col(SOURCE_PATH).alias("delivery"),
         )
         tables.replace_deliveries("events", rows, "delivery")
 
@@ -200,9 +199,11 @@ def stream_new_files(spark, folder):
         load_new_files(spark, path, columns, load, checkpoint)
 
     checkpoint = scratch_folder(spark, "stream")
-    deliver(events.filter("day <= '15'"))
+    deliver(events.filter("early"))
     run(checkpoint)
-    deliver(events.filter("day > '15'"))
+    deliver(events.filter("NOT early"))
     run(checkpoint)
     run(scratch_folder(spark, "stream"))
-    return tables.read("events", "event_id bigint, event_type string, delivery string")
+    stored = tables.read("events", "event_id bigint, event_type string, delivery string")
+    day = F.regexp_extract("delivery", r"delivery=([^/]*)/", 1)
+    return stored.withColumn("delivery", day)

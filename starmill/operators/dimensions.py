@@ -164,13 +164,29 @@ def hierarchy(levels: Sequence[Level], stamp_column: str | None = None) -> list[
     return tables
 
 
+def one_row_or_fail(table: DataFrame, key: str) -> DataFrame:
+    """Table whose key is checked by the job that reads it: a doubled key would multiply
+    the rows that it is joined to."""
+    others = [c for c in table.columns if c != key]
+    row = F.struct(*others) if others else F.struct(F.lit(None).cast("string").alias("none"))
+    doubled = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string")))
+    checked = table.groupBy(key).agg(F.count("*").alias("__n"), F.min(row).alias("__row"))
+    kind = dict(checked.dtypes)["__row"]
+    checked = checked.select(
+        key, F.when(F.col("__n") > 1, doubled.cast(kind)).otherwise(F.col("__row")).alias("__row")
+    )
+    return checked.select(
+        *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in table.columns]
+    )
+
+
 def flatten_chain(base: DataFrame, parents: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """Snowflake to one row per member: inner joins up the parent keys.
 
     The unknown members link to each other, so the unknown row survives.
     """
     for parent, key in parents:
-        base = base.join(parent, key, "inner")
+        base = base.join(one_row_or_fail(parent, key), key, "inner")
     return base
 
 
@@ -181,7 +197,8 @@ def flatten_star(base: DataFrame, roles: Sequence[tuple[str, DataFrame, str, dic
     The same table may serve several roles.
     """
     for number, (base_key, table, table_key, outputs) in enumerate(roles):
-        picked = table.select(
+        picked = one_row_or_fail(table.select(table_key, *{c for c, _ in outputs.values()} - {table_key}), table_key)
+        picked = picked.select(
             F.col(table_key).alias(f"__key_{number}"),
             *[F.col(c).alias(f"__{number}_{out}") for out, (c, _) in outputs.items()],
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -26,6 +26,7 @@ from starmill.functions import (
     zero_pad,
 )
 from starmill.functions.values import UNKNOWN_KEY, UNKNOWN_STAMP, strip_footnote
+from starmill.operators.checks import key_violations
 from starmill.operators.dimensions import (
     ACTION,
     Level,
@@ -46,6 +47,7 @@ from starmill.session import split_generated_code
 from starmill.sources import (
     Tables,
     delivery_name,
+    delivery_names,
     period_of_path,
     read_delimited,
     read_table_export,
@@ -269,15 +271,33 @@ def population_rows(source: DataFrame, towns: DataFrame, stamp: datetime) -> Dat
 
 
 def load_population(tables: Tables, paths: str | Sequence[str], stamp: datetime) -> None:
-    """Population estimates; delivering a year again replaces it."""
-    source = read_table_export(tables.spark, paths, POPULATION_COLUMNS)
-    rows = population_rows(source, _read(tables, "DWCD_MUNICIPIO"), stamp)
-    tables.replace_deliveries("DWMV_POPULACAO", rows, DELIVERY)
-
+    """Population estimates; delivering a file again replaces it.
 
-def clean_events(source: DataFrame) -> DataFrame:
+    Fails before anything is stored when a quantity or the year of a file cannot be read,
+    or when two files state the same town and year.
+    """
+    source = read_table_export(tables.spark, paths, POPULATION_COLUMNS)
+    delivered = delivery_names(source.inputFiles())
+    rows = written(population_rows(source, _read(tables, "DWCD_MUNICIPIO"), stamp), "population")
+    unread = rows.filter(F.col("ANO").isNull() | F.col("QTD_POPULACAO").isNull())
+    bad = unread.select(DELIVERY).first()
+    if bad:
+        raise ValueError(f"unreadable year or quantity in {bad[0]}")
+    replaced = tables.spark.createDataFrame([(d,) for d in sorted(delivered)], f"{DELIVERY} string")
+    stored = _read(tables, "DWMV_POPULACAO").join(replaced, DELIVERY, "left_anti")
+    key = ["SK_MUNICIPIO", "ANO"]
+    twice = key_violations(stored.select(key).unionByName(rows.select(key)), key).first()
+    if twice:
+        raise ValueError(f"town and year stated twice: {twice.asDict()}")
+    kept = {r[0] for r in rows.select(DELIVERY).distinct().collect()}  # one row per file
+    tables.replace_deliveries("DWMV_POPULACAO", rows, DELIVERY, delivered - kept)
+
+
+def clean_events(source: DataFrame, by_file: bool = False) -> DataFrame:
     """Event rows with a known circumstance, codes in canonical text, keys derived.
 
+    A row's delivery is its file or folder, or always its file with ``by_file``.
+
     Two steps: the second names cleaned codes again, and Spark evaluates the columns of
     the first step once. Birth days stay text here; only new persons need them parsed.
     """
@@ -294,7 +314,7 @@ def clean_events(source: DataFrame) -> DataFrame:
         terminal_code(chain, F.col("CAUSABAS")).alias("terminal_code"),
         equals_flag(recode(whole_number(F.col("ACIDTRAB")), 2, {9: 2}), 1).alias("ST_ACIDTRAB"),
         equals_flag(whole_number(F.col("TIPOBITO")), 1).alias("ST_FETAL"),
-        delivery_name(F.col(SOURCE_PATH)).alias(DELIVERY),
+        (F.col(SOURCE_PATH) if by_file else delivery_name(F.col(SOURCE_PATH))).alias(DELIVERY),
     )
     person = [
         F.col("RACACOR"),
@@ -413,13 +433,13 @@ class EventLoad:
     movement: DataFrame
 
 
-def staged_events(source: DataFrame) -> DataFrame:
+def staged_events(source: DataFrame, by_file: bool = False) -> DataFrame:
     """Cleaned events, written once.
 
     Three steps use them, and their place in the files numbers them without a shuffle.
     """
     with split_generated_code(source.sparkSession):
-        return written(clean_events(source), "events")
+        return written(clean_events(source, by_file), "events")
 
 
 @dataclass(frozen=True)
@@ -457,9 +477,9 @@ def event_load(
     )
 
 
-def store_events(tables: Tables, load: EventLoad) -> None:
+def store_events(tables: Tables, load: EventLoad, emptied: Iterable[str] = ()) -> None:
     """Members first, movement last: a failure between leaves members without events,
-    which the next run finds and uses."""
+    which the next run finds and uses. Stored events of ``emptied`` deliveries go."""
     for name, key, rows, unknown in (
         (
             "DWCD_PESSOA",
@@ -486,22 +506,37 @@ def store_events(tables: Tables, load: EventLoad) -> None:
     ):
         first_load = _read(tables, name).filter(F.col(key) == UNKNOWN_KEY).isEmpty()
         tables.append(name, with_unknown(rows, key, unknown) if first_load else rows)
-    tables.replace_deliveries("DWMV_OBITO", load.movement, DELIVERY)
+    tables.replace_deliveries("DWMV_OBITO", load.movement, DELIVERY, emptied)
 
 
-def load_event_rows(tables: Tables, source: DataFrame, stamp: datetime) -> EventLoad:
-    """Delivered event rows, batch or micro-batch, into the warehouse."""
-    events = staged_events(source)
+def load_event_rows(
+    tables: Tables,
+    source: DataFrame,
+    stamp: datetime,
+    by_file: bool = False,
+    delivered: Iterable[str] = (),
+) -> EventLoad:
+    """Delivered event rows, batch or micro-batch, into the warehouse.
+
+    ``delivered`` lists the deliveries, also those without rows, whose stored events then
+    go. A stream may get the files of a folder in several runs: it loads ``by_file``, so
+    that a later file does not replace an earlier one.
+    """
+    events = staged_events(source, by_file)
     load = event_load(
         events, lambda name: _read(tables, name), stamp, last_keys(tables, events)
     )
-    store_events(tables, load)
+    present = {r[0] for r in events.select(DELIVERY).distinct().collect()}  # one row per file
+    store_events(tables, load, set(delivered) - present)
     return load
 
 
 def load_events(tables: Tables, paths: str | Sequence[str], stamp: datetime) -> EventLoad:
-    """Deliveries of events; delivering a file again replaces its events."""
-    return load_event_rows(tables, read_delimited(tables.spark, paths, EVENT_COLUMNS), stamp)
+    """Deliveries of events; delivering a file again replaces its events, also when the
+    new file has none."""
+    source = read_delimited(tables.spark, paths, EVENT_COLUMNS)
+    delivered = delivery_names(source.inputFiles())
+    return load_event_rows(tables, source, stamp, delivered=delivered)
 
 
 @dataclass(frozen=True)

@@ -2,6 +2,7 @@
 
 from starmill.sources.delimited import (
     delivery_name,
+    delivery_names,
     period_of_path,
     read_delimited,
     read_table_export,
@@ -13,6 +14,7 @@ from starmill.sources.tables import Tables, empty, read_or_empty
 __all__ = [
     "Tables",
     "delivery_name",
+    "delivery_names",
     "empty",
     "period_of_path",
     "read_delimited",

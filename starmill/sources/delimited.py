@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,11 +55,20 @@ def period_of_path(path: Column) -> Column:
 
 
 def delivery_name(path: Column) -> Column:
-    """Name of the delivery a row came from: its folder when Spark wrote part files,
-    else its file. Loads replace whole deliveries by this name."""
-    file = F.substring_index(path, "/", -1)
-    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    return F.when(file.startswith("part-"), F.substring_index(folder, "=", -1)).otherwise(file)
+    """Delivery a row came from, as a full path: its folder when Spark wrote part files,
+    else its file. Loads replace whole deliveries by this name, so files of one name in
+    two folders are two deliveries."""
+    plain = F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:(?://)?", "")
+    return F.regexp_replace(plain, "/part-[^/]*$", "")
+
+
+def delivery_names(files: Iterable[str]) -> set[str]:
+    """The deliveries that a listing of files holds, named as by ``delivery_name``.
+
+    Taken from the listing, they include those without a single row.
+    """
+    plain = (re.sub("^[a-zA-Z][a-zA-Z0-9+.-]*:(?://)?", "", unquote(f)) for f in files)
+    return {re.sub("/part-[^/]*$", "", f) for f in plain}
 
 
 def _present(name: str) -> Column:
@@ -102,17 +113,52 @@ def read_table_export(
     sep: str = ";",
     encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Exported spreadsheet table: a title row, the header in row two, notes below.
+    """Named columns of exported spreadsheet tables: titles, a header row, data, notes.
 
-    Columns are positional. The title and the notes leave columns empty and the
-    header repeats the names, so both are told apart by content, wherever Spark
-    splits the file.
+    The header of a delivery (a file, or a folder of part files) is its line that holds all
+    the names; columns are taken by name, in whatever order and beside whatever others they
+    stand. A delivery without such a line fails the job. Lines that leave any column of the sheet empty, as titles
+    and notes do, and the header itself are not rows. One pass finds the headers of all
+    files, however many, and one reads the rows; cells do not span lines.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.schema(schema).csv(paths, sep=sep, header=False, encoding=encoding)
-    rows = raw.select(
-        *[_present(c).alias(c) for c in columns], F.col("_metadata.file_path").alias(SOURCE_PATH)
+    options = {"sep": sep, "mode": "PERMISSIVE"}
+    text = F.decode(F.col("value").cast("binary"), encoding).alias("line")
+    path = F.col("_metadata.file_path").alias(SOURCE_PATH)
+    lines = spark.read.text(paths).select(text, path)
+    lines = lines.withColumn("__delivery", delivery_name(F.col(SOURCE_PATH)))
+    wanted = F.array(*[F.lit(c) for c in columns])
+
+    def cells(line: Column, width: int) -> Column:
+        fields = [f"c{i}" for i in range(width)]
+        parsed = F.from_csv(line, ", ".join(f"{f} string" for f in fields), options)
+        return F.array(*[parsed[f] for f in fields])
+
+    widest = F.size(F.split(F.col("line"), re.escape(sep)))
+    named = F.forall(wanted, lambda name: F.contains(F.col("line"), name))
+    width = lines.filter(named).agg(F.max(widest)).first()[0] or len(columns)
+    clean = F.transform(
+        cells(F.col("line"), width), lambda c: F.trim(F.regexp_replace(c, "\\x{FEFF}", ""))
+    )
+    headers = lines.filter(named).select("__delivery", clean.alias("names"))
+    headers = headers.filter(F.forall(wanted, lambda name: F.array_contains("names", name)))
+    headers = headers.groupBy("__delivery").agg(F.min("names").alias("names"))
+    absent = F.raise_error(F.concat(F.lit("no header row in "), F.col(SOURCE_PATH)))
+    joined = lines.join(headers, "__delivery", "left").select(
+        SOURCE_PATH,
+        F.when(F.col("names").isNull(), absent.cast("array<string>")).otherwise(F.col("names")).alias("names"),
+        cells(F.col("line"), width).alias("values"),
+    )
+    missing = F.array(*[F.lit(m) for m in MISSING_TEXTS])
+    full = F.forall(
+        F.arrays_zip("names", "values"),
+        lambda x: x["names"].isNull() | (x["names"] == "")
+        | F.coalesce(~F.array_contains(missing, x["values"]), F.lit(False)),
+    )
+    rows = joined.filter(full & (F.transform("values", lambda v: F.trim(v)) != F.col("names")))
+    return rows.select(
+        *[
+            F.element_at("values", F.array_position("names", name).cast("int")).alias(name)
+            for name in columns
+        ],
+        SOURCE_PATH,
     )
-    for name in columns:
-        rows = rows.filter(F.col(f"`{name}`").isNotNull())
-    return rows.filter(F.col(f"`{columns[0]}`") != F.lit(columns[0]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,10 +57,30 @@ class Tables:
 
     def path(self, name: str) -> str:
         """Folder of the newest complete version."""
-        done = [number for number, complete in self._versions(name) if complete]
-        return f"{self.root}/{name}/v{max(done, default=1):06d}"
+        return self._folder(name, max(self._complete(name), default=1))
+
+    def _folder(self, name: str, number: int) -> str:
+        return f"{self.root}/{name}/v{number:06d}"
+
+    def _complete(self, name: str) -> list[int]:
+        return [number for number, complete in self._versions(name) if complete]
+
+    def _target(self, name: str) -> str:
+        """Folder to add to: the newest complete version, else a new one."""
+        unfinished = max([n for n, _ in self._versions(name)], default=0)
+        return self._folder(name, max(self._complete(name), default=unfinished + 1))
+
+    def _mark(self, folder: str) -> None:
+        """State that a version is complete, also where Spark writes no success marker."""
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+        files = marker.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(marker):
+            files.create(marker, True).close()
 
     def read(self, name: str, schema: StructType | str) -> DataFrame:
+        """Newest complete version; no rows while there is none."""
+        if not self._complete(name):
+            return empty(self.spark, schema)
         return read_or_empty(self.spark, self.path(name), schema)
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
@@ -66,22 +88,37 @@ class Tables:
         number = max([n for n, _ in self._versions(name)], default=0) + 1
         path = f"{self.root}/{name}/v{number:06d}"
         df.write.mode("overwrite").parquet(path)
+        self._mark(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows; the files already there stay untouched."""
-        df.write.mode("append").parquet(self.path(name))
+        folder = self._target(name)
+        df.write.mode("append").parquet(folder)
+        self._mark(folder)
 
-    def replace_deliveries(self, name: str, df: DataFrame, delivery: str) -> None:
+    def replace_deliveries(
+        self, name: str, df: DataFrame, delivery: str, emptied: Iterable[str] = ()
+    ) -> None:
         """Replace the rows of the deliveries in ``df`` and keep all others.
 
-        Loading a file again then leaves one copy of it.
+        Loading a file again then leaves one copy of it. ``emptied`` names delivered files
+        of which no row is left: their stored rows go, too.
         """
-        # One delivery may hold most rows; a repartition by delivery would put it in
-        # one task. Tasks keep their rows and write one file per delivery they hold.
-        df.write.mode("overwrite").partitionBy(delivery).option(
+        folder = self._target(name)
+        # Rebalancing brings a delivery's rows together and splits a large delivery over
+        # tasks, so files per delivery follow its size.
+        df.hint("rebalance", delivery).write.mode("overwrite").partitionBy(delivery).option(
             "partitionOverwriteMode", "dynamic"
-        ).parquet(self.path(name))
+        ).parquet(folder)
+        self._mark(folder)
+        jvm = self.spark._jvm
+        for value in sorted(emptied):
+            part = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+            stored = jvm.org.apache.hadoop.fs.Path(f"{folder}/{delivery}={part}")
+            files = stored.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if files.exists(stored):
+                files.delete(stored, True)
 
 
 def appended(*frames: DataFrame) -> DataFrame:

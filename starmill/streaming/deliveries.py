@@ -25,8 +25,9 @@ def load_new_files(
 
     The stream's checkpoint remembers which files were loaded. ``load`` is the batch
     function, and it replaces whole deliveries, so a batch that is retried after a
-    failure, or files read again under a new checkpoint, leave one copy. All new files
-    form one batch: a delivery split over two would replace its own first half.
+    failure, or files read again under a new checkpoint, leave one copy. The files of one
+    folder may come in several runs, so ``load`` takes the file (``source_path``) as the
+    delivery, not its folder.
     """
     reading = {"sep": sep, "encoding": encoding, "header": True, "enforceSchema": False}
     header = require_columns(spark.read.options(**reading).csv(folder), columns)
