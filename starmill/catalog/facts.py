@@ -46,7 +46,7 @@ _EVENTS_SQL = """
              o_orderstatus AS sex, substr(o_orderpriority, 1, 1) AS race,
              CAST(length(c_mktsegment) AS VARCHAR) AS school,
              CASE WHEN o_orderstatus <> 'P' THEN '1' END AS marital,
-             c_nationkey AS nation, l_linenumber,
+             c_nationkey AS nation, l_linenumber, year(l_shipdate) AS shipped,
              CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN NULL
                   WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'N' THEN 2
                   ELSE 3 END AS circumstance
@@ -186,16 +186,14 @@ def _staged(spark, folder):
            CAST(CASE WHEN l_linenumber <= 5 THEN l_linenumber ELSE -1 END AS BIGINT)
              AS SK_TPLOCOR,
            l_linenumber = 1 AS ST_ACIDTRAB, l_linenumber = 1 AS ST_FETAL, died AS DT_OBITO,
-           row_number() OVER () > 0 AS is_numbered
+           '/in/lines_' || shipped || '.csv' AS ENTREGA
     FROM coded JOIN persons USING (person) LEFT JOIN causes USING (pair)
     LEFT JOIN towns ON towns.code = l_linenumber + 110000
     """,
 )
 def event_movement(spark, folder):
     """The whole event load: cleaning, new members, lookups, flags, event numbers."""
-    return _load(spark, folder).movement.withColumn("is_numbered", F.col("CD_OBITO") > 0).drop(
-        "CD_OBITO", "DT_CARGA", "ENTREGA"
-    )
+    return _load(spark, folder).movement.drop("CD_OBITO", "DT_CARGA")
 
 
 def _load(spark, folder):
@@ -208,7 +206,8 @@ _MOVEMENT_SQL = (
     movement AS (
       SELECT CAST(coalesce(place.sk, -1) AS BIGINT) AS town_key,
              CAST(coalesce(birth.sk, -1) AS BIGINT) AS birth_key,
-             coalesce(causes.sk, -1) AS cause_key, persons.sk AS person_key, died, l_linenumber
+             coalesce(causes.sk, -1) AS cause_key, persons.sk AS person_key, died, l_linenumber,
+             circumstance
       FROM coded JOIN persons USING (person) LEFT JOIN causes USING (pair)
       LEFT JOIN towns place ON place.code = l_linenumber + 110000
       LEFT JOIN towns birth ON birth.code = coded.nation + 110000)
@@ -225,6 +224,11 @@ _MOVEMENT_SQL = (
            CAST(CASE WHEN died < DATE '2001-01-01'
                 THEN date_diff('day', DATE '1995-01-01', died) + 1 ELSE -1 END AS BIGINT)
              AS SK_DT_OBITO,
+           CAST(CASE WHEN circumstance < 3 THEN circumstance ELSE -1 END AS BIGINT)
+             AS SK_CIRCOBITO,
+           CAST(CASE WHEN l_linenumber <= 5 THEN l_linenumber ELSE -1 END AS BIGINT)
+             AS SK_TPLOCOR,
+           l_linenumber = 1 AS ST_ACIDTRAB,
            l_linenumber = 1 AS ST_FETAL, CAST(1 AS BIGINT) AS QTD_OBITO
     FROM movement
     """,
@@ -236,7 +240,7 @@ def death_fact_query(spark, folder):
     days = calendar(spark, "1995-01-01", "2000-12-31", no_holidays, "SK_TEMPO_DIA")
     persons = with_unknown(load.persons, "SK_PESSOA", {"SK_MUNICIPIO": -1})
     fact = death_fact(load.movement, persons, days.withColumnRenamed("day", "DATA"))
-    return fact.drop("CD_OBITO", "SK_CIRCOBITO", "SK_TPLOCOR", "ST_ACIDTRAB")
+    return fact.drop("CD_OBITO")
 
 
 @query(
@@ -390,8 +394,7 @@ def event_fact_query(spark, folder):
     )
     orders = table(spark, folder, "orders").filter("o_orderstatus <> 'P'")
     entities = orders.select(F.col("o_orderkey").alias("order_key"), "o_custkey")
-    holidays = orders.select(F.col("o_orderdate").cast("date").alias("holiday")).limit(0)
-    days = calendar(spark, "1995-01-01", "2000-12-31", holidays)
+    days = calendar(spark, "1995-01-01", "2000-12-31", empty(spark, "holiday date"))
     fact = event_fact(
         lines, entities, "order_key", ["o_custkey"], days.withColumnRenamed("day", "calendar_day"),
         "day", "event_day_key", "calendar_day", "day_key", "row_id", "n_events",

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from starmill.functions.dates import day_parts
 from starmill.functions.values import UNKNOWN_KEY, UNKNOWN_LABEL
-from starmill.operators.lookups import Lookup, members_flag, resolve
+from starmill.operators.lookups import Lookup, join_large, members_flag, resolve
 from starmill.operators.numbering import last_key, number_rows
 from starmill.sources.scratch import written
 
@@ -43,8 +43,13 @@ def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
     others = [c for c in source.columns if c != key]
     if not others:
         return source.distinct()
-    chosen = source.distinct().groupBy(key).agg(F.max(F.struct(*others)).alias("__row"))
-    return chosen.select(
+    variants = source.groupBy(key, *others).agg(F.count("*").alias("__n"))
+    # Without the count Spark would drop the first aggregate, and the maximum of structs
+    # would sort the raw rows of every task.
+    chosen = variants.groupBy(key).agg(
+        F.max(F.struct(*others)).alias("__row"), F.sum("__n").alias("__n")
+    )
+    return chosen.filter("__n > 0").select(
         *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in source.columns]
     )
 
@@ -186,7 +191,7 @@ def flatten_chain(base: DataFrame, parents: Sequence[tuple[DataFrame, str]]) ->
     The unknown members link to each other, so the unknown row survives.
     """
     for parent, key in parents:
-        base = base.join(one_row_or_fail(parent, key), key, "inner")
+        base = join_large(base, one_row_or_fail(parent, key), key, key, how="inner")
     return base
 
 
@@ -202,7 +207,7 @@ def flatten_star(base: DataFrame, roles: Sequence[tuple[str, DataFrame, str, dic
             F.col(table_key).alias(f"__key_{number}"),
             *[F.col(c).alias(f"__{number}_{out}") for out, (c, _) in outputs.items()],
         )
-        base = base.join(picked, F.col(base_key) == F.col(f"__key_{number}"), "left").select(
+        base = join_large(base, picked, base_key, f"__key_{number}").select(
             *base.columns,
             *[
                 F.coalesce(F.col(f"__{number}_{out}"), F.lit(default)).alias(out)

@@ -7,15 +7,17 @@ codes put a large share of all facts on one key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.values import UNKNOWN_KEY
 
 _SOURCE, _CODE, _VALUE, _SALT = "__source", "__code", "__value", "__salt"
+_TASK_GROUPS = 1024  # so many sketches at most meet in the last merge
 
 
 @dataclass(frozen=True)
@@ -67,7 +69,7 @@ def _resolved(facts: DataFrame, lookups: Sequence[Lookup], how: str, default) ->
     prepared = [(lookup, *_pairs(facts, lookup)) for lookup in lookups]
     large = [lookup.source for lookup, pairs, _ in prepared if not fits_broadcast(pairs)]
     # One pass over the facts as they come, not one per join over the joins before it.
-    heavy = heavy_values(facts, large) if large else {}
+    heavy = heavy_shares(facts, large) if large else {}
     for lookup, pairs, as_text in prepared:
         source = F.col(lookup.source)
         kept = [c for c in facts.columns if c != lookup.name]
@@ -77,7 +79,7 @@ def _resolved(facts: DataFrame, lookups: Sequence[Lookup], how: str, default) ->
             joined = keyed.join(pairs, F.col(_SOURCE) == F.col(_CODE), how)
         else:
             if as_text:
-                listed = [None if v is None else str(v) for v in listed]
+                listed = {None if v is None else str(v): share for v, share in listed.items()}
             joined = join_spreading_heavy(keyed, pairs, _SOURCE, _CODE, how=how, heavy=listed)
         value = F.col(_VALUE) if default is None else F.coalesce(_VALUE, F.lit(default))
         facts = joined.select(*kept, value.alias(lookup.name))
@@ -121,29 +123,69 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= threshold
 
 
-def heavy_values(df: DataFrame, columns: Sequence[str], limit: int = 64) -> dict[str, list]:
-    """Per column the values that hold the largest shares of the rows, null among them.
+def heavy_shares(df: DataFrame, columns: Sequence[str], limit: int = 64) -> dict[str, dict]:
+    """Per column the values that hold the largest shares of the rows, with their shares.
 
-    A bounded frequency sketch per task and column, merged once: one pass with no
-    shuffle of the values. It only steers a join; no row of a result depends on it.
+    A value is heavy from half the rows of an even shuffle partition on, or from one in
+    ``4 * limit`` rows where partitions are few; null counts as a value. Bounded frequency
+    sketches per task are merged in groups of tasks and then once, in one pass with no
+    shuffle of the values. The shares only steer a join; no row of a result depends on them.
     """
-    sketches = []
+    partitions = _partitions(df)
+    tracked = min(max(limit * 64, 16 * partitions), 1_000_000)
+    listed = min(max(limit, 2 * partitions), tracked)
+    sketches, merged = [], []
     for number, column in enumerate(columns):
         name = f"`{column}`"
         sketches += [
-            F.expr(f"approx_top_k({name}, {limit}, {limit * 64})").alias(f"top_{number}"),
+            F.expr(f"approx_top_k_accumulate({name}, {tracked})").alias(f"sketch_{number}"),
             F.count_if(F.col(name).isNull()).alias(f"nulls_{number}"),
         ]
-    row = df.agg(F.count("*").alias("rows"), *sketches).first()
-    floor = row["rows"] / (limit * 4)
-    heavy = {}
+        combined = f"approx_top_k_combine(sketch_{number}, {tracked})"
+        merged += [
+            F.expr(f"approx_top_k_estimate({combined}, {listed})").alias(f"top_{number}"),
+            F.sum(f"nulls_{number}").alias(f"nulls_{number}"),
+        ]
+    tasks = df.select(*columns, (F.spark_partition_id() % _TASK_GROUPS).alias("__tasks"))
+    grouped = tasks.groupBy("__tasks").agg(F.count("*").alias("rows"), *sketches)
+    # Grouped by a constant: sketches of nothing, as of empty partitions, do not merge.
+    row = grouped.groupBy(F.lit("all")).agg(F.sum("rows").alias("rows"), *merged).first()
+    if row is None:
+        return {column: {} for column in columns}
+    rows = row["rows"]
+    floor = min(rows / (limit * 4), rows / (2 * partitions))
+    heavy: dict[str, dict] = {}
     for number, column in enumerate(columns):
         top = row[f"top_{number}"] or []
-        items = [t["item"] for t in top if t["count"] >= floor and t["item"] is not None]
-        heavy[column] = items + ([None] if row[f"nulls_{number}"] > floor else [])
+        counts = {t["item"]: t["count"] for t in top if t["item"] is not None and t["count"] >= floor}
+        if (row[f"nulls_{number}"] or 0) > floor:
+            counts[None] = row[f"nulls_{number}"]
+        heavy[column] = {value: count / rows for value, count in counts.items()}
     return heavy
 
 
+def heavy_values(df: DataFrame, columns: Sequence[str], limit: int = 64) -> dict[str, list]:
+    """The values that ``heavy_shares`` finds, without their shares."""
+    return {column: list(shares) for column, shares in heavy_shares(df, columns, limit).items()}
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _salts(key: Column, shares: Mapping, partitions: int) -> Column:
+    """Number of salts of a key: a power of two by its share, 1 for keys not listed."""
+    groups: dict[int, list] = {}
+    for value, share in shares.items():
+        wanted = max(2.0, 4 * share * partitions)
+        if value is not None:
+            groups.setdefault(min(partitions, 2 ** math.ceil(math.log2(wanted))), []).append(value)
+    number = F.lit(1)
+    for salts, values in groups.items():
+        number = F.when(key.isin(values), salts).otherwise(number)
+    return number
+
+
 def join_spreading_heavy(
     left: DataFrame,
     right: DataFrame,
@@ -151,13 +193,15 @@ def join_spreading_heavy(
     right_key: str,
     spread_by: Sequence[str] | None = None,
     how: str = "left",
-    heavy: Sequence | None = None,
+    heavy: Mapping | Sequence | None = None,
 ) -> DataFrame:
     """Inner or left equi-join of two large tables in which a few keys hold many rows.
 
-    ``right`` holds one row per key. Rows of a heavy key are spread over salts, and the
-    key's single right row is repeated once per salt. Other keys keep salt 0, so they
-    are shuffled as usual.
+    ``right`` holds one row per key. Rows of a heavy key are spread over salts, as many
+    as its share of the rows asks for, and the key's single right row is repeated once per
+    salt. Other keys keep salt 0, so they are shuffled as usual. ``heavy`` gives the heavy
+    keys, with their shares where known; the plan lists them, at most two per shuffle
+    partition.
 
     The salt is a hash of columns that differ within the key, by default of the task and
     all columns. It does not depend on the order of rows, so a retried task sends each
@@ -169,18 +213,19 @@ def join_spreading_heavy(
     dim = right.withColumnRenamed(right_key, "__right_key")
     match = F.col(left_key) == F.col("__right_key")
     if heavy is None:
-        heavy = heavy_values(left, [left_key])[left_key]
+        heavy = heavy_shares(left, [left_key])[left_key]
     if not heavy:
         return left.join(dim, match, how).select(*left.columns, *values)
 
-    listed = [v for v in heavy if v is not None]
-    spread = F.col(left_key).isNull() | F.col(left_key).isin(listed)
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = heavy if isinstance(heavy, Mapping) else dict.fromkeys(heavy, 1.0)
+    partitions = _partitions(left)
     spreading = spread_by or [F.spark_partition_id(), *left.columns]
-    salt = F.pmod(F.xxhash64(*spreading), F.lit(salts)).cast("int")
-    facts = left.withColumn("__left_salt", F.when(spread, salt).otherwise(F.lit(0)))
-    repeated = F.when(F.col("__right_key").isin(listed), F.sequence(F.lit(0), F.lit(salts - 1)))
-    dim = dim.withColumn(_SALT, F.explode(F.coalesce(repeated, F.array(F.lit(0)))))
+    salts = F.when(F.col(left_key).isNull(), partitions).otherwise(
+        _salts(F.col(left_key), shares, partitions)
+    )
+    facts = left.withColumn("__left_salt", F.pmod(F.xxhash64(*spreading), salts).cast("int"))
+    repeated = F.sequence(F.lit(0), _salts(F.col("__right_key"), shares, partitions) - 1)
+    dim = dim.withColumn(_SALT, F.explode(repeated))
     match = match & (F.col("__left_salt") == F.col(_SALT))
     return facts.join(dim, match, how).select(*left.columns, *values)
 

@@ -13,6 +13,7 @@ from starmill.sources.scratch import written
 from starmill.sources.tables import Tables
 
 _FILE, _ROW, _FIRST = "__file", "__row", "__first"
+_BROADCAST_FILES = 1_000_000
 
 
 def last_key(df: DataFrame, key: str) -> int:
@@ -46,21 +47,27 @@ def number_stored(stored: DataFrame, key: str, after: int = 0) -> DataFrame:
 
     A row's key is the number of rows in the files before its own plus its place in
     the file. Both come from file metadata, so retried or speculative tasks give the
-    same keys. What is broadcast has one row per file written, never per data row.
+    same keys. A file is known by its task and its place among the task's files, as
+    Spark's writer names them. What is broadcast has two numbers per file, and only up
+    to a million files.
     """
+    name = F.col("_metadata.file_name")
+    task = F.split_part(name, F.lit("-"), F.lit(2)).cast("bigint")
+    place = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("bigint")
     spots = stored.select(
         "*",
-        F.col("_metadata.file_name").alias(_FILE),
+        (task * F.lit(1_000_000) + place).alias(_FILE),
         F.col("_metadata.row_index").alias(_ROW),
     )
-    part = F.split_part(F.col(_FILE), F.lit("-"), F.lit(2)).try_cast("bigint")
-    before = Window.orderBy(part, _FILE).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(_FILE).rowsBetween(Window.unboundedPreceding, -1)
     firsts = (
         spots.groupBy(_FILE)
         .agg(F.count("*").alias("n"))
         .select(_FILE, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_FIRST))
     )
-    return spots.join(F.broadcast(firsts), _FILE).select(
+    if len(stored.inputFiles()) <= _BROADCAST_FILES:
+        firsts = F.broadcast(firsts)
+    return spots.join(firsts, _FILE).select(
         *stored.columns,
         (F.lit(after) + F.col(_FIRST) + F.col(_ROW) + F.lit(1)).cast("bigint").alias(key),
     )

@@ -72,9 +72,22 @@ def cause_table(causes: DataFrame, catalogue: DataFrame) -> DataFrame:
     return flatten_star(causes, roles).withColumnRenamed("SK_CAUSAOBITO", "SK_CAUSA")
 
 
-def day_table(spark: SparkSession, holidays: DataFrame) -> DataFrame:
-    """Calendar with an unknown day, so that every fact has its day."""
-    days = calendar(spark, FIRST_DAY, LAST_DAY, holidays, "SK_TEMPO_DIA")
+def calendar_ends(deaths: DataFrame, first_day: date, last_day: date) -> tuple[date, date]:
+    """The given days, moved by whole years where deaths lie outside them."""
+    days = deaths.agg(F.min("DT_OBITO").alias("first"), F.max("DT_OBITO").alias("last")).first()
+    if days["first"] is None:
+        return first_day, last_day
+    return (
+        min(first_day, date(days["first"].year, 1, 1)),
+        max(last_day, date(days["last"].year, 12, 31)),
+    )
+
+
+def day_table(
+    spark: SparkSession, holidays: DataFrame, first_day: date = FIRST_DAY, last_day: date = LAST_DAY
+) -> DataFrame:
+    """Days of the calendar, both ends included."""
+    days = calendar(spark, first_day, last_day, holidays, "SK_TEMPO_DIA")
     return days.select(
         "SK_TEMPO_DIA",
         F.col("day").alias("DATA"),
@@ -123,9 +136,18 @@ def death_fact(deaths: DataFrame, persons: DataFrame, days: DataFrame) -> DataFr
 
 
 def refresh_mart(
-    warehouse: Tables, root: str, holidays: DataFrame, stamp: datetime
+    warehouse: Tables,
+    root: str,
+    holidays: DataFrame,
+    stamp: datetime,
+    first_day: date = FIRST_DAY,
+    last_day: date = LAST_DAY,
 ) -> Tables:
-    """Rebuild all mart tables. ``holidays`` is a one-column table of days."""
+    """Rebuild all mart tables. ``holidays`` is a one-column table of days.
+
+    The calendar runs from ``first_day`` to ``last_day``, and over the whole years of
+    deaths before and after them.
+    """
     spark = warehouse.spark
     mart = Tables(spark, root)
 
@@ -148,9 +170,8 @@ def refresh_mart(
     publish("DIME_PESSOA", person_table(source("DWCD_PESSOA"), domains))
     publish("DIME_CAUSA", cause_table(source("DWCD_CAUSAOBITO"), source("DWCD_CIDS")))
     unknown_day = {"ST_FERIADO": False, "DT_CARGA": UNKNOWN_STAMP}
-    days = publish(
-        "DIME_TEMPO_DIA", with_unknown(day_table(spark, holidays), "SK_TEMPO_DIA", unknown_day)
-    )
+    listed = day_table(spark, holidays, *calendar_ends(deaths, first_day, last_day))
+    days = publish("DIME_TEMPO_DIA", with_unknown(listed, "SK_TEMPO_DIA", unknown_day))
     publish("FATO_POPULACAO", population_fact(population, deaths, years))
     publish("FATO_OBITO", death_fact(deaths, source("DWCD_PESSOA"), days))
     return mart

@@ -114,6 +114,33 @@ def test_join_spreading_heavy_spreads(spark):
             spark.conf.set(name, value)
 
 
+def test_heavy_keys_follow_the_partitions(spark, rows):
+    """With many partitions a key of 0.1 % outweighs one of them and is spread."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    key = F.when(F.col("id") < 200, F.lit(-1)).otherwise(F.col("id"))
+    left = spark.range(200_000).select("id", key.alias("k"))
+    right = spark.range(-1, 200_000, 7).select(F.col("id").alias("rk"), F.lit(1).alias("v"))
+    assert lookups.heavy_values(left, ["k"]) == {"k": []}
+    spark.conf.set(setting, "600")
+    try:
+        shares = lookups.heavy_shares(left, ["k"])["k"]
+        assert -1 in shares and 0.0009 < shares[-1] < 0.002
+        spread = lookups.join_spreading_heavy(left, right, "k", "rk", how="inner", heavy=shares)
+        plain = left.join(right, left.k == right.rk)
+        summed = [F.count("*"), F.sum("id"), F.sum((F.col("k") == -1).cast("int"))]
+        assert spread.agg(*summed).first() == plain.agg(*summed).first()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_heavy_shares_of_no_rows_and_only_nulls(spark):
+    empty = spark.range(0).select("id", F.lit("x").alias("k"))
+    assert lookups.heavy_shares(empty, ["id", "k"]) == {"id": {}, "k": {}}
+    nulls = spark.range(10).select(F.lit(None).cast("bigint").alias("k"))
+    assert lookups.heavy_shares(nulls, ["k"]) == {"k": {None: 1.0}}
+
+
 def test_resolve_beyond_broadcast_equals_resolve(spark, rows):
     facts = spark.range(20000).select(
         "id",
@@ -285,3 +312,14 @@ def test_plans_stay_native(spark):
     plan = plan_of(found)
     assert "BroadcastHashJoin" in plan
     assert not any(word in plan for word in ("Python", "Pandas", "CartesianProduct"))
+
+
+def test_one_row_per_key_sorts_no_raw_rows(spark):
+    """Whole rows are combined by hashing before the first exchange."""
+    df = spark.range(1000).selectExpr("id % 7 AS code", "CAST(id % 3 AS STRING) AS label")
+    plan = dimensions.one_row_per_key(df, "code")._jdf.queryExecution().sparkPlan().toString()
+    lowest = [line for line in plan.splitlines() if "Aggregate" in line][-1]
+    assert "HashAggregate" in lowest and "code" in lowest
+    executed = dimensions.one_row_per_key(df, "code")._jdf.queryExecution().executedPlan().toString()
+    below = executed[executed.rindex("Exchange") :]
+    assert "HashAggregate" in below and "Sort" not in below

@@ -10,7 +10,7 @@ from datetime import date, datetime
 import pytest
 
 from starmill.plans import code_lists
-from starmill.plans.mart import refresh_mart
+from starmill.plans.mart import calendar_ends, refresh_mart
 from starmill.plans.model import MART, WAREHOUSE, presented, violations
 from starmill.plans.warehouse import (
     EVENT_COLUMNS,
@@ -391,3 +391,11 @@ def test_streamed_files_equal_batch_load(spark, delivered, built, tmp_path):
         load_new_files(spark, str(folder), names, load, str(tmp_path / "checkpoint"))
     load_new_files(spark, str(folder), names, load, str(tmp_path / "another"))
     assert movement_rows(tables) == movement_rows(built[0])
+
+
+def test_calendar_covers_days_outside_its_bounds(spark):
+    bounds = date(2018, 1, 1), date(2024, 12, 31)
+    deaths = spark.sql("SELECT explode(array(DATE '2017-05-01', DATE '2025-02-03', NULL)) AS DT_OBITO")
+    assert calendar_ends(deaths, *bounds) == (date(2017, 1, 1), date(2025, 12, 31))
+    inside = deaths.filter("DT_OBITO IS NULL")
+    assert calendar_ends(inside, *bounds) == bounds
