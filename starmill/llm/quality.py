@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.rules import bind, words_of
+from starmill.operators.lookups import join_large
 from starmill.sources.scratch import written
 
 BINS = 20
@@ -141,7 +142,13 @@ def classify(
         if model[f]:
             table = F.create_map(*[F.lit(x) for pair in sorted(model[f].items()) for x in pair])
             evidence = evidence + F.coalesce(F.element_at(table, F.col(f)), F.lit(0.0))
-    joined = narrow.join(hosts, "host", "left").join(paths, ["host", "path"], "left")
+    # A host may hold a third of all rows, so its rows are spread where a table of rates is
+    # beyond broadcast.
+    named = F.concat(F.length("host"), F.lit(":"), "host", "path")
+    paths = paths.select(named.alias("site_of"), "path_rate")
+    located = narrow.withColumn("site", named)
+    joined = join_large(located, hosts.withColumnRenamed("host", "host_of"), "host", "host_of", ["doc_id"])
+    joined = join_large(joined, paths, "site", "site_of", ["doc_id"])
     host_rate = F.coalesce("host_rate", F.lit(mean))
     path_rate = F.coalesce("path_rate", host_rate)
     odds = F.log(path_rate / (1 - path_rate)) + evidence
