@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm.rules import bind, words_of
+from starmill.operators.lookups import join_large
 from starmill.sources.scratch import written
 
 MIN_SCORE = 0.55
@@ -178,7 +179,8 @@ def scan(files: DataFrame, path: Column, id_column: str = "doc_id", text_column:
     nearest = climbed.join(declared, "above").groupBy("directory").agg(
         F.min(F.struct("distance", "above", "declared")).alias("near")
     )
-    joined = judged.join(nearest, "directory", "left")
+    # A directory may hold a third of all files; its files are spread.
+    joined = join_large(judged, nearest, "directory", "directory", ["doc_id", "path"])
     return joined.select(
         "doc_id",
         "path",
