@@ -1,7 +1,8 @@
 """Time the registered queries: prints one JSON line with seconds per query.
 
 Each query is built and run to the end with its result discarded, after one small
-query has started the session. Settings: BENCH_SF_DIR, BENCH_CPUS, BENCH_QUERIES.
+query has started the session. Settings: BENCH_SF_DIR, BENCH_CPUS, BENCH_QUERIES,
+BENCH_SCRATCH (folder of intermediate tables).
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import time
 
 from starmill.catalog import QUERIES
@@ -45,7 +47,8 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES")
     names = list(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
-    spark = local_session(cores, "bench")
+    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")
+    spark = local_session(cores, "bench", scratch)
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["copy_dimension"](spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}

@@ -1,6 +1,6 @@
 """Registered queries: each operator on the star tables, with its SQL counterpart."""
 
-from starmill.catalog import analyses, checks, cleaning, dimensions, facts, sources
+from starmill.catalog import analyses, checks, cleaning, dimensions, facts, loads, sources
 from starmill.catalog.registry import ORACLES, QUERIES
 
 __all__ = [
@@ -11,5 +11,6 @@ __all__ = [
     "cleaning",
     "dimensions",
     "facts",
+    "loads",
     "sources",
 ]

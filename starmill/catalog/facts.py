@@ -32,7 +32,7 @@ from starmill.sources import empty, written
 
 STAMP = datetime(2024, 5, 1, 12, 30)
 
-_EVENTS_SQL = """
+EVENTS_SQL = """
     WITH source AS (
       SELECT CAST(l_linenumber AS VARCHAR) AS number,
              CASE WHEN l_tax = 0.08 THEN NULL
@@ -76,7 +76,7 @@ _EVENTS_SQL = """
 """
 
 
-def _event_source(spark, folder):
+def event_source(spark, folder):
     """Lines as a delivered event file: all text, lost zeros, blanks, mixed codes."""
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders").select(
@@ -134,7 +134,7 @@ def _event_source(spark, folder):
     )
 
 
-def _stand_in_warehouse(spark, folder):
+def stand_in_warehouse(spark, folder):
     """Lookup tables for the event load, out of code lists and the given tables."""
     nations = table(spark, folder, "nation")
     lines = table(spark, folder, "lineitem")
@@ -172,12 +172,12 @@ def _stand_in_warehouse(spark, folder):
 
 
 def _staged(spark, folder):
-    return staged_events(_event_source(spark, folder))
+    return staged_events(event_source(spark, folder))
 
 
 @query(
     "event_movement",
-    _EVENTS_SQL
+    EVENTS_SQL
     + """
     SELECT CAST(coalesce(towns.sk, -1) AS BIGINT) AS SK_MUNICIPIO,
            coalesce(causes.sk, -1) AS SK_CAUSAOBITO, persons.sk AS SK_PESSOA,
@@ -193,15 +193,15 @@ def _staged(spark, folder):
 )
 def event_movement(spark, folder):
     """The whole event load: cleaning, new members, lookups, flags, event numbers."""
-    return _load(spark, folder).movement.drop("CD_OBITO", "DT_CARGA")
+    return load(spark, folder).movement.drop("CD_OBITO", "DT_CARGA")
 
 
-def _load(spark, folder):
-    return event_load(_staged(spark, folder), _stand_in_warehouse(spark, folder), STAMP)
+def load(spark, folder):
+    return event_load(_staged(spark, folder), stand_in_warehouse(spark, folder), STAMP)
 
 
 _MOVEMENT_SQL = (
-    _EVENTS_SQL
+    EVENTS_SQL
     + """,
     movement AS (
       SELECT CAST(coalesce(place.sk, -1) AS BIGINT) AS town_key,
@@ -235,11 +235,11 @@ _MOVEMENT_SQL = (
 )
 def death_fact_query(spark, folder):
     """Mart fact from loaded events: both place roles, days beyond the calendar."""
-    load = _load(spark, folder)
+    loaded = load(spark, folder)
     no_holidays = empty(spark, "day date")
     days = calendar(spark, "1995-01-01", "2000-12-31", no_holidays, "SK_TEMPO_DIA")
-    persons = with_unknown(load.persons, "SK_PESSOA", {"SK_MUNICIPIO": -1})
-    fact = death_fact(load.movement, persons, days.withColumnRenamed("day", "DATA"))
+    persons = with_unknown(loaded.persons, "SK_PESSOA", {"SK_MUNICIPIO": -1})
+    fact = death_fact(loaded.movement, persons, days.withColumnRenamed("day", "DATA"))
     return fact.drop("CD_OBITO")
 
 
@@ -265,7 +265,7 @@ def death_fact_query(spark, folder):
 )
 def population_fact_query(spark, folder):
     """Mart fact of people and deaths per year and place; one year has no estimate."""
-    towns = _stand_in_warehouse(spark, folder)("DWCD_MUNICIPIO")
+    towns = stand_in_warehouse(spark, folder)("DWCD_MUNICIPIO")
     lines = table(spark, folder, "lineitem").select(
         F.year("l_shipdate").alias("ANO"), (F.col("l_linenumber") + 110000).alias("code")
     )
@@ -275,7 +275,7 @@ def population_fact_query(spark, folder):
     )
     town = Lookup(towns, "code", "CD_MUNICIPIO", "SK_MUNICIPIO", "SK_MUNICIPIO")
     population = written(resolve_or_drop(totals, town).drop("code"), "population")
-    movement = _load(spark, folder).movement
+    movement = load(spark, folder).movement
     return population_fact(population, movement, year_table(population))
 
 
@@ -300,7 +300,7 @@ def event_numbers(spark, folder):
 
 @query(
     "event_persons",
-    _EVENTS_SQL
+    EVENTS_SQL
     + """
     SELECT persons.sk AS SK_PESSOA, person AS CD_PESSOA,
            CAST(CASE sex WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE -1 END AS BIGINT) AS SK_SEXO,
@@ -316,14 +316,14 @@ def event_numbers(spark, folder):
 )
 def event_persons(spark, folder):
     """New persons of the event load, with their six resolved keys."""
-    read = _stand_in_warehouse(spark, folder)
+    read = stand_in_warehouse(spark, folder)
     unseen = unseen_persons(_staged(spark, folder), read)
     return person_rows(unseen, read, STAMP).drop("DT_CARGA")
 
 
 @query(
     "event_causes",
-    _EVENTS_SQL
+    EVENTS_SQL
     + """
     SELECT causes.sk AS SK_CAUSAOBITO, pair AS CD_CAUSAOBITO,
            coalesce(a.sk, -1) AS SK_CIDBAS, coalesce(b.sk, -1) AS SK_CIDTERM
@@ -333,7 +333,7 @@ def event_persons(spark, folder):
 )
 def event_causes(spark, folder):
     """New cause pairs of the event load: one catalogue in two roles."""
-    read = _stand_in_warehouse(spark, folder)
+    read = stand_in_warehouse(spark, folder)
     unseen = unseen_causes(_staged(spark, folder), read)
     return cause_rows(unseen, read, STAMP).drop("DT_CARGA")
 

@@ -33,12 +33,13 @@ def code_list(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFr
     return spark.range(1).select(F.inline(F.array(*literals)))
 
 
-def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
+def one_row_per_key(source: DataFrame, key: str, alike: bool = False) -> DataFrame:
     """Source with one row per key; of repeated rows the greatest remains.
 
     Repeated rows combine in each task before any shuffle, first whole rows and then
     rows per key, so a key that holds a third of the source costs no task more than any
-    other.
+    other. With ``alike``, rows of one key that differ fail the job, as two members whose
+    hash keys collide would.
     """
     others = [c for c in source.columns if c != key]
     if not others:
@@ -46,9 +47,16 @@ def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
     variants = source.groupBy(key, *others).agg(F.count("*").alias("__n"))
     # Without the count Spark would drop the first aggregate, and the maximum of structs
     # would sort the raw rows of every task.
+    row = F.struct(*others)
+    least = [F.min(row).alias("__least")] if alike else []
     chosen = variants.groupBy(key).agg(
-        F.max(F.struct(*others)).alias("__row"), F.sum("__n").alias("__n")
+        F.max(row).alias("__row"), F.sum("__n").alias("__n"), *least
     )
+    if alike:
+        differ = F.raise_error(F.concat(F.lit(f"rows of one {key} differ: "), F.col(key).cast("string")))
+        kind = dict(chosen.dtypes)["__row"]
+        checked = F.when(F.col("__row") != F.col("__least"), differ.cast(kind)).otherwise(F.col("__row"))
+        chosen = chosen.withColumn("__row", checked)
     return chosen.filter("__n > 0").select(
         *[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in source.columns]
     )
@@ -82,25 +90,37 @@ def merge(
     differ takes them, and the ``carry`` columns such as the load stamp, from the
     source. All other target rows are kept, including those absent from the source.
     """
-    # Written once: both branches below use it, and a source is a file scan or a join.
-    incoming = written(one_row_per_key(source.filter(F.col(code).isNotNull()), code), "incoming")
-    taken = [*compare, *carry]
+    incoming = one_row_per_key(source.filter(F.col(code).isNotNull()), code)
+    others = [c for c in incoming.columns if c != code]
     new = incoming.select(
-        F.col(code).alias("__code"), *[F.col(c).alias(f"__new_{c}") for c in taken]
+        F.col(code).alias("__code"), *[F.col(c).alias(f"__new_{c}") for c in others]
     )
+    taken = [*compare, *carry]
     differs = F.lit(False)
     for column in compare:
         differs = differs | ~F.col(f"__new_{column}").eqNullSafe(F.col(column))
-    changed = F.col("__code").isNotNull() & differs
-    matched = target.join(new, F.col(code) == F.col("__code"), "left").select(
+    action = (
+        F.when(F.col("__stored").isNull(), F.lit(INSERT))
+        .when(F.col("__code").isNotNull() & differs, F.lit(UPDATE))
+        .otherwise(F.lit(KEEP))
+    )
+    # One join tells what becomes of every row. It is written once: inserts are numbered
+    # from it, after the last key found in it.
+    stored = target.withColumn("__stored", F.lit(True))
+    both = stored.join(new, F.col(code) == F.col("__code"), "full_outer")
+    both = written(both.withColumn(ACTION, action), "merging")
+    matched = both.filter(F.col(ACTION) != INSERT).select(
         *[
-            F.when(changed, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in taken else c
+            F.when(F.col(ACTION) == UPDATE, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
+            if c in taken else c
             for c in target.columns
         ],
-        F.when(changed, F.lit(UPDATE)).otherwise(F.lit(KEEP)).alias(ACTION),
+        ACTION,
+    )
+    unseen = both.filter(F.col(ACTION) == INSERT).select(
+        F.col("__code").alias(code), *[F.col(f"__new_{c}").alias(c) for c in others]
     )
-    unseen = incoming.join(target.select(code), code, "left_anti")
-    inserted = number_rows(unseen, list(order_by) or [code], key, last_key(target, key))
+    inserted = number_rows(unseen, list(order_by) or [code], key, last_key(both, key))
     return matched.unionByName(
         inserted.select(*target.columns, F.lit(INSERT).alias(ACTION))
     )
@@ -112,16 +132,22 @@ def audit(merged: DataFrame) -> DataFrame:
 
 
 def new_members(
-    existing: DataFrame, source: DataFrame, code: str, key: str, after: int | None = None
+    existing: DataFrame,
+    source: DataFrame,
+    code: str,
+    key: str,
+    after: int | None = None,
+    alike: bool = False,
 ) -> DataFrame:
     """Members of a delivery that the dimension lacks, keyed after its last key.
 
     ``source`` may hold millions of rows per member: they combine per task first.
-    ``after`` gives the last key where the caller knows it without a scan.
+    ``after`` gives the last key where the caller knows it without a scan. With ``alike``,
+    rows of one code that differ fail the job.
     """
     # The aggregate leaves the members partitioned and sorted by code, as the anti-join
     # needs them, so only the existing codes are shuffled for it.
-    members = one_row_per_key(source.filter(F.col(code).isNotNull()), code)
+    members = one_row_per_key(source.filter(F.col(code).isNotNull()), code, alike)
     unseen = members.join(existing.select(code), code, "left_anti")
     return number_rows(unseen, [code], key, last_key(existing, key) if after is None else after)
 

@@ -20,11 +20,16 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int | str = 8, name: str = "starmill") -> SparkSession:
-    """Single-machine session for tests and the benchmark."""
+def local_session(
+    cores: int | str = 8, name: str = "starmill", scratch: str | None = None
+) -> SparkSession:
+    """Single-machine session for tests and the benchmark; ``scratch`` is the folder of
+    intermediate tables."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     return (
         builder.config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "8g")

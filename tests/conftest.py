@@ -14,8 +14,8 @@ from starmill.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tests")
+def spark(tmp_path_factory):
+    session = local_session(8, "tests", str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -323,3 +323,15 @@ def test_one_row_per_key_sorts_no_raw_rows(spark):
     executed = dimensions.one_row_per_key(df, "code")._jdf.queryExecution().executedPlan().toString()
     below = executed[executed.rindex("Exchange") :]
     assert "HashAggregate" in below and "Sort" not in below
+
+
+def test_colliding_members_fail_the_load(spark):
+    from starmill.operators.dimensions import one_row_per_key
+
+    rows = "key string, name string"
+    same = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", None), ("b", None)], rows)
+    assert one_row_per_key(same, "key", alike=True).count() == 2
+    for other in ("y", None):
+        differing = spark.createDataFrame([("a", "x"), ("a", other)], rows)
+        with pytest.raises(Exception, match="rows of one key differ"):
+            one_row_per_key(differing, "key", alike=True).collect()
