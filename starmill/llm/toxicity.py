@@ -1,9 +1,9 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
 Terms are words and their first four, five and six letters, so that inflected forms of a
-word share terms. The terms that tell toxic examples from others best (by log-likelihood
-ratio over the training examples) form the space; their document frequencies are counted
-over all documents. The examples, a bounded number, are held in an inverted index: per
+word share terms. Every term of which most labelled examples that hold it are toxic, with
+confidence, is in the space, in any language and however many labels there are; document
+frequencies are counted over all documents. The examples, a bounded number, are held in an inverted index: per
 term a posting list in order of falling weight, cut into blocks with the greatest weight
 of each block. A search takes blocks in order of their greatest possible contribution and
 stops once no example outside can still reach the k-th best cosine, so it is exact.
@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from starmill.llm.workers import map_arrow, ship_package
 from starmill.sources.scratch import written
 
-# The bounds of the model: training examples, terms, and so entries of the index.
+# The bound of the model: training examples, and so the terms and entries of the index.
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 256
-# A term must be this unlikely to be spread evenly over toxic and other examples.
-MIN_RATIO = 30.0
+# The lower end of the 95 % interval of a term's share of toxic examples is at least this
+# (four of four are enough). It depends on the examples that hold the term, not on how
+# many labels there are.
+MIN_SHARE, DEVIATIONS = 0.5, 1.96
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.3
@@ -202,21 +203,13 @@ def _pick_terms(examples: DataFrame) -> list[str]:
     ones, every = int(totals[0] or 0), int(totals[1])
     if not ones or ones == every:
         return []
-    zeros, n = every - ones, F.col("a") + F.col("b")
-
-    def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    a, b = F.col("a"), F.col("b")
-    ratio = 2 * (
-        part(a, n * ones / every)
-        + part(b, n * zeros / every)
-        + part(ones - a, (every - n) * ones / every)
-        + part(zeros - b, (every - n) * zeros / every)
-    )
-    tells = counted.filter(a * zeros > b * ones).select("term", ratio.alias("ratio"))
-    best = tells.filter(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "term").limit(MAX_TERMS)
-    return sorted(r["term"] for r in best.collect())
+    a, n, z = F.col("a"), F.col("a") + F.col("b"), DEVIATIONS
+    share = a / n
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    least = (share + z * z / (2 * n) - spread) / (1 + z * z / n)
+    tells = counted.filter((share > ones / every) & (least >= max(MIN_SHARE, ones / every)))
+    # At most the terms of the examples.
+    return sorted(r["term"] for r in tells.select("term").collect())
 
 
 def score(
@@ -252,7 +245,7 @@ def score(
     vectors = written(vectors, "term_vectors")
 
     seen = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    frequency = {r["t"]: r["n"] for r in seen.collect()}  # at most MAX_TERMS rows
+    frequency = {r["t"]: r["n"] for r in seen.collect()}  # a row per chosen term
     total = vectors.count()
     idf = np.array([math.log((1 + total) / (1 + frequency.get(t, 0))) + 1 for t in range(len(terms))])
     known = vectors.join(F.broadcast(examples.select("doc_id", "toxic")), "doc_id")

@@ -224,6 +224,21 @@ def test_toxicity(spark, rows, none):
     assert {r["score"] for r in toxicity.score(docs, labels.limit(0), held_out).collect()} == {0.0}
 
 
+def test_toxic_terms_of_few_labels_and_without_a_cap(spark):
+    """Five toxic labels of 25 teach, also in a rarer language, and no term is cut off."""
+    letters = "abcdefghijklmnopqrst"
+    many = [f"{a}{b}q" for a in letters for b in letters]
+    rows = [(i, f"some{i} text{i} of{i} it", "en", None, None) for i in range(20)]
+    rows += [(100 + i, f"réeuxvi other{i} " + " ".join(many), "fr", None, None) for i in range(5)]
+    rows += [(200, "voilà réeuxvi", "fr", None, None), (201, "plus ttq", "fr", None, None), (202, "it is fine", "en", None, None)]
+    labels = spark.createDataFrame([(r[0], int(r[0] >= 100)) for r in rows[:25]], "doc_id bigint, toxic int")
+    scored = toxicity.score(fixtures.frame(spark, rows), labels, F.col("doc_id") >= 200)
+    found = {r["doc_id"]: r["predicted"] for r in scored.collect()}
+    assert [found[200], found[201], found[202]] == [1, 1, 0]
+    examples = fixtures.frame(spark, rows[:25]).join(labels, "doc_id")
+    assert set(many) <= set(toxicity._pick_terms(examples))
+
+
 def test_block_max_search_is_exact():
     draw = np.random.default_rng(4)
     vectors = []
