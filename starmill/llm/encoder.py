@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Sequence
 
 import numpy as np
@@ -24,6 +25,12 @@ _ENDINGS = ".,;:!?#*$%&"
 _JOINED = 256
 
 
+def _normal(word: str) -> str:
+    """A word as a vocabulary may normalise it. Some letters become a letter and a mark,
+    which are two pre-tokens."""
+    return word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+
+
 class WordEncoder:
     """Encode texts to little-endian unsigned 32-bit ids.
 
@@ -75,7 +82,7 @@ class WordEncoder:
                 young[key] = ids
                 continue
             word = key.rstrip(_ENDINGS)
-            if len(word) == len(key) or not word or not word[-1].lower()[-1].isalnum():
+            if len(word) == len(key) or not word or not _normal(word[-1])[-1].isalnum():
                 unknown.add(key)
                 continue
             ended.append((key, word))
@@ -101,30 +108,34 @@ class WordEncoder:
 
     def _encode_words(self, keys: set[str]) -> None:
         """Encode many words of letters as one text, and part its ids again by the number
-        of their pre-tokens: one for a word, one for a line feed. Other keys go alone."""
+        of their pre-tokens: one for a word, one for a line feed. Other keys go alone, and so
+        do those of a group with another number of pre-tokens, which can only be more."""
         plain, lines, others = [], [], []
         for key in keys:
             word = key[1:] if key[:1] == "\n" else key
-            if not word.isalpha() or "\u0130" in word:  # its small form is not all letters
+            if not word.isalpha() or not _normal(word).isalpha():
                 others.append(key)
             elif word is key:
                 plain.append(key)
             else:
                 lines.append(key) if self.lead else others.append(key)
-        for key, ids in zip(others, self._ids([self._source(key) for key in others])):
-            self.young[key] = ids
         for own, count in ((plain, 1), (lines, 2)):
             groups = [own[i : i + _JOINED] for i in range(0, len(own), _JOINED)]
             texts = [(" " if count == 1 else "") + (" " if count == 1 else "").join(g) for g in groups]
             encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             for group, encoding in zip(groups, encoded):
                 numbers = np.array(encoding.word_ids, np.int64)
+                if len(numbers) == 0 or numbers[-1] + 1 != len(group) * count:
+                    others += group
+                    continue
                 cuts = np.searchsorted(numbers, np.arange(len(group) + 1) * count) * 4
                 data = np.array(encoding.ids, "<u4").tobytes()
                 low = 0
                 for key, high in zip(group, cuts[1:].tolist()):
                     self.young[key] = data[low:high]
                     low = high
+        for key, ids in zip(others, self._ids([self._source(key) for key in others])):
+            self.young[key] = ids
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text; a null text is an empty one."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm import html_text, licences, neardup, neighbours, packing, pieces, quality, rules, tokens, toxicity
 from starmill.llm.components import components
+from starmill.llm.encoder import WordEncoder
 from starmill.llm.queries import BYTE_TOKENIZER, PIECE_MODEL, WORD_TOKENIZER, tokenizer_file
 from starmill.sources.scratch import scratch_folder, written
 
@@ -61,6 +62,30 @@ def test_token_files(spark, docs, rows, none):
     assert tokens.token_digest(spark, empty).isEmpty()
 
 
+@pytest.mark.parametrize("name, spaces", [(WORD_TOKENIZER, "drop"), (BYTE_TOKENIZER, "lead")])
+def test_letters_that_normalise_to_letter_and_mark(name, spaces):
+    import unicodedata
+
+    split = [c for c in map(chr, range(0x110000)) if c.isalpha() and not unicodedata.normalize("NFC", c).lower().isalpha()]
+    assert "\u0958" in split and "\u09df" in split and "\ufb4e" in split and "\u0130" in split
+    encode = as_is(name)
+    texts = [f"house {c}ab tree\n{c} ab{c}. \u09b9{c}!? end." for c in split]
+    own = WordEncoder(tokenizer_file(name), spaces)
+    for found in (own.encode(texts), own.encode(texts), own.encode(["house tree\nend ab"] * 2)):
+        texts = texts if len(found) == len(texts) else ["house tree\nend ab"] * 2
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == [encode(t) for t in texts]
+
+
+@pytest.mark.parametrize("name, spaces", [(WORD_TOKENIZER, "drop"), (BYTE_TOKENIZER, "lead")])
+def test_group_with_other_pre_tokens_is_encoded_alone(name, spaces, monkeypatch):
+    from starmill.llm import encoder
+
+    monkeypatch.setattr(encoder, "_normal", str.lower)  # as if the letter were unknown
+    text = "a house \u0958ab tree \u09b9\u09df of wood"
+    found = WordEncoder(tokenizer_file(name), spaces).encode([text])
+    assert np.frombuffer(found[0], "<u4").tolist() == as_is(name)(text)
+
+
 def test_token_files_of_repeated_rows(spark, docs, rows):
     path = scratch_folder(spark, "tokens")
     tokens.write_tokens(docs.unionByName(docs), path, tokenizer_file(WORD_TOKENIZER), 2)
