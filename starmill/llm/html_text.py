@@ -1,8 +1,10 @@
 """Main text of web pages by two passes over their blocks.
 
 First pass: each block is good or bad by where it stands, its share of linked text, its
-share of stop words and its length; short blocks without clear signs stay undecided.
-Second pass: undecided blocks take the label of their nearest decided neighbour.
+share of stop words and its length; short blocks without clear signs stay undecided. On a
+page whose stop words are of no known language, length decides without them.
+Second pass: undecided blocks take the label of their nearest decided neighbour outside
+of boilerplate.
 """
 
 from __future__ import annotations
@@ -49,8 +51,28 @@ RAW = frozenset(["script", "style", "textarea", "title"])
 SIDE = frozenset(["aside", "dialog", "footer", "form", "menu", "nav"])
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 MAIN = frozenset(["article", "main"])
-# Words of class, id and role names that mark boilerplate, and those that mark the text.
+# Words of class, id and role names that mark boilerplate.
+_SIDE_WORD = (
+    r"(?:ads?|advert\w*|banner\w*|breadcrumbs?|byline|comments?|commentlist|consent|"
+    r"cookies?|copyright|disclaimer|disqus|footer|gdpr|legal|masthead|menu\w*|modal|nav\w*|"
+    r"newsletter|notices?|overlay|pagination|popup|promo\w*|recommend\w*|related|respond|share|"
+    r"sharing|sidebar\w*|signup|social|sponsor\w*|subscribe|toolbar|widgets?|complementary|"
+    r"contentinfo|search)"
+)
+# Words that leave a compound with one of those what it is, as 'site-footer' or 'share-bar'
+# (unlike 'has-sidebar' or 'no-comments').
+_PLAIN_WORD = (
+    r"(?:area|articles?|bar|block|bottom|box|buttons?|container|footer|form|global|header|icons?|"
+    r"inner|items?|left|links?|list|main|page|panel|posts?|primary|right|secondary|section|"
+    r"site|slot|top|wrap|wrapper|\d+)"
+)
+# A whole name of a class, id or role.
 _SIDE_NAMES = re.compile(
+    rf"(?:^|\s)(?:{_PLAIN_WORD}[_-]+)*{_SIDE_WORD}(?:[_-]+(?:{_SIDE_WORD}|{_PLAIN_WORD}))*(?:$|\s)", re.IGNORECASE
+)
+# Texts of others, also where each of them is an article.
+_OTHERS_NAMES = re.compile(r"comment|disqus|respond|related|recommend", re.IGNORECASE)
+_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner\w*|breadcrumbs?|byline|comments?|commentlist|consent|"
     r"cookies?|copyright|disclaimer|disqus|footer|gdpr|legal|masthead|menu\w*|modal|nav\w*|"
     r"newsletter|notices?|overlay|pagination|popup|promo\w*|recommend\w*|related|respond|share|"
@@ -76,15 +98,23 @@ class Block:
     side: bool  # stands in boilerplate
     main: bool  # stands in the page's article
 
-    def first_label(self) -> bool | None:
-        """True: main text, False: boilerplate, None: undecided."""
-        if self.side or self.linked > MAX_LINK_SHARE * len(self.text):
-            return False
+    def linking(self) -> bool:
+        return self.linked > MAX_LINK_SHARE * len(self.text)
+
+    def stop_words(self) -> tuple[int, int]:
+        """Number of stop words and of words."""
         words = [w.lower() for w in _LETTERS.findall(self.text)]
-        share = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        return sum(w in STOP_WORDS for w in words), len(words)
+
+    def first_label(self, known: bool, stops: int, words: int) -> bool | None:
+        """True: main text, False: boilerplate, None: undecided. ``known``: the page is in
+        a language whose stop words are known."""
+        if self.side or self.linking():
+            return False
+        share = stops / words if words else 0.0
         if len(self.text) < LONG:
             return None
-        if self.main or share >= STOP_HIGH:
+        if self.main or not known or share >= STOP_HIGH:
             return True
         return None if share >= STOP_LOW else False
 
@@ -98,6 +128,7 @@ class _Reader:
         self.linked = 0
         # Open elements: name, and how many of the counted roles they open.
         self.open: list[tuple[str, int, int, int, int]] = []
+        self.named: list[int] = []  # per open element, 1 if a name alone makes it side
         self.skip = self.side = self.main = self.link = 0
         self.read(page)
 
@@ -125,12 +156,18 @@ class _Reader:
             return
         skip = name in SKIPPED or bool(attributes and _HIDDEN.search(attributes))
         side = name in SIDE or (name == "header" and not self.main)
-        if attributes and name not in ("html", "body") and name not in MAIN:
-            side = side or any(_SIDE_NAMES.search(m[1] or m[2] or m[3] or "") for m in _NAMES.finditer(attributes))
-        roles = (int(skip), int(side), int(name in MAIN), int(name == "a"))
+        named = 0
+        if attributes and not side and name not in ("html", "body") and name not in MAIN:
+            names = [m[1] or m[2] or m[3] or "" for m in _NAMES.finditer(attributes)]
+            side = any(_SIDE_NAMES.search(n) for n in names)
+            named = int(side and not any(_OTHERS_NAMES.search(n) for n in names))
+        # The page's article is no boilerplate for the names of what surrounds it.
+        lifted = sum(self.named) if name in MAIN and not self.main else 0
+        roles = (int(skip), int(side) - lifted, int(name in MAIN), int(name == "a"))
         if name == "a" and self.link:
             self.end("a")
         self.open.append((name, *roles))
+        self.named.append(named)
         self.count(roles, 1)
 
     def count(self, roles: tuple[int, ...], sign: int) -> None:
@@ -164,6 +201,7 @@ class _Reader:
         for _, *roles in self.open[at:]:
             self.count(tuple(roles), -1)
         del self.open[at:]
+        del self.named[at:]
 
     def read(self, page: str) -> None:
         at = 0
@@ -199,8 +237,12 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = _Reader(page).blocks
-    labels = [block.first_label() for block in blocks]
-    decided = [i for i, label in enumerate(labels) if label is not None]
+    counts = [(0, 0) if block.side or block.linking() else block.stop_words() for block in blocks]
+    known = sum(s for s, _ in counts) >= STOP_LOW * sum(w for _, w in counts)
+    labels = [block.first_label(known, *count) for block, count in zip(blocks, counts)]
+    decided = [i for i, label in enumerate(labels) if label is not None and not blocks[i].side]
+    # Boilerplate says nothing of what stands beside it, unless all else is undecided.
+    decided = decided or [i for i, label in enumerate(labels) if label is not None]
     at, kept = 0, []
     for i, block in enumerate(blocks):
         label = labels[i]

@@ -367,3 +367,30 @@ def test_main_text(spark):
     assert found[1] == found[2] == found[3] == found[6] == ("", 0)
     assert found[4][0] == TEXT[: TEXT.index("\n\nShort")] and found[5][0] == "plain"
     assert html_text.extract(df.limit(0)).isEmpty()
+
+
+LONG = "The text of the page is long enough to be of use to a reader, as it has many words that are in it."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='layout has-sidebar'><article><p>{LONG}</article></div>", LONG),
+    (f"<div class='no-sidebar'><p>{LONG}</div>", LONG),
+    (f"<div class='menu'><main><p>{LONG}</main></div><div class='menu'><p>{LONG} Not this.</div>", LONG),
+    (f"<article><p>{LONG}</article><section id='comments'><article><p>{LONG} Not this.</article></section>", LONG),
+    (f"<article><p>{LONG}</article><div class='related-posts'><p>{LONG} No.</div><aside><article>{LONG} No.</article></aside>", LONG),
+    (f"<p>{LONG}<div class='site-footer'><p>{LONG} Not this.</div>", LONG),
+])
+def test_names_of_whole_boilerplate_only(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_boilerplate_inside_an_article_decides_nothing_beside_it():
+    page = f"<div class='share-bar'>Share this</div><h1>Title</h1><p>Short one.<p>Another.<p>{LONG}"
+    expected = f"Title\n\nShort one.\n\nAnother.\n\n{LONG}"
+    assert html_text.main_text(f"<article>{page}</article>") == html_text.main_text(f"<div>{page}</div>") == expected
+
+
+def test_pages_of_languages_without_known_stop_words():
+    text = "Этот текст достаточно длинный, чтобы быть полезным читателю, и в нём много разных слов для проверки."
+    page = f"<nav>Меню</nav><p>{text}<p>Коротко.<ul><li><a href=x>{text}</a></ul><footer>{text}</footer>"
+    assert html_text.main_text(page).startswith(text) and html_text.main_text(page).count(text) == 1
