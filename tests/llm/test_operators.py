@@ -394,3 +394,57 @@ def test_pages_of_languages_without_known_stop_words():
     text = "Этот текст достаточно длинный, чтобы быть полезным читателю, и в нём много разных слов для проверки."
     page = f"<nav>Меню</nav><p>{text}<p>Коротко.<ul><li><a href=x>{text}</a></ul><footer>{text}</footer>"
     assert html_text.main_text(page).startswith(text) and html_text.main_text(page).count(text) == 1
+
+
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2031 Ada Example and the Example Team
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of
+this software and associated documentation files (the "Software"), to deal in
+the Software without restriction, including without limitation the rights to
+use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of
+the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS
+FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER
+IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+GPL_HEADER = """/*
+ * tool.c - does things
+ *
+ * This program is free software{}you can redistribute it and/or modify
+ * it under the terms of the GNU {}General Public License as published by
+ * the Free Software Foundation{} either version {} of the License, or
+ * (at your option) any later version.
+ */
+int main(void) {{ return many_things(of, code, that, follow, here); }}
+"""
+
+
+def test_whole_licence_files_and_wrapped_headers(spark):
+    import textwrap
+    from pathlib import Path
+
+    folder = Path(licences.__file__).parent / "licence_texts"
+    texts = {f.name.removesuffix(".txt"): f.read_text() for f in folder.iterdir()}
+    files = [(f"{n}/LICENSE", "Copyright 2031 Ada Example\n\n" + textwrap.fill(t, 61)) for n, t in texts.items()]
+    files += [("mit/LICENSE", MIT), ("mit/src/a", "plain words"), ("gpl/2", GPL_HEADER.format("; ", "", ";", 2))]
+    files += [("gpl/3", GPL_HEADER.format(": ", "", ",", 3)), ("gpl/a3", GPL_HEADER.format(": ", "Affero ", ",", 3)), ("gpl/x", "plain")]
+    files += [("code/mit.c", "\n".join(" * " + x for x in MIT.split("\n")) + "\nint x = call(y);" * 400), ("code/x", "plain")]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id bigint, path string, text string")
+    found = {r["path"]: r for r in licences.scan(df, F.col("path")).collect()}
+    assert len(found) == len(files)
+    for name in texts:
+        assert (found[f"{name}/LICENSE"]["own_licence"], found[f"{name}/LICENSE"]["licence_file"]) == (name, True)
+    assert found["mit/LICENSE"]["licence_file"] and found["mit/src/a"]["licence"] == "MIT" and found["mit/src/a"]["declared_in"] == "mit"
+    assert [found[f"gpl/{k}"]["own_licence"] for k in ("2", "3", "a3")] == ["GPL-2.0", "GPL-3.0", "AGPL-3.0"]
+    assert found["code/mit.c"]["own_licence"] == "MIT" and not found["code/mit.c"]["licence_file"]
+    assert found["code/x"]["licence"] is None
