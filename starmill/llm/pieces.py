@@ -212,8 +212,9 @@ def encode(
     return map_arrow(rows, run, "doc_id bigint, pieces array<int>")
 
 
-def decode(encoded: DataFrame, model: str) -> DataFrame:
-    """(doc_id, text) of (doc_id, pieces); no pieces give an empty text."""
+def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text) of (doc_id, pieces); no pieces give an empty text. Columns named in
+    ``keep`` follow, row by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
@@ -223,6 +224,12 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 lists = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
                 edges, ids = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
                 texts = [own.decode(ids[a:b]) for a, b in zip(edges[:-1], edges[1:])]
-                yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
-
-    return map_arrow(encoded.select("doc_id", "pieces"), run, "doc_id bigint, text string")
+                kept = [batch.column(1) if name == "pieces" else batch.column(2 + others.index(name)) for name in keep]
+                yield pa.record_batch(
+                    [batch.column(0), pa.array(texts, pa.string()), *kept], names=["doc_id", "text", *keep]
+                )
+
+    others = [name for name in keep if name != "pieces"]
+    kinds = dict(encoded.dtypes)
+    schema = "doc_id bigint, text string" + "".join(f", `{name}` {kinds[name]}" for name in keep)
+    return map_arrow(encoded.select("doc_id", "pieces", *[f"`{name}`" for name in others]), run, schema)

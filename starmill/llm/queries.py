@@ -58,15 +58,14 @@ def op6_piece_codec(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and the checksum of the text that they decode to."""
     model = tokenizer_file(PIECE_MODEL)
     encoded = written(pieces.encode(table(spark, folder, "documents"), model), "pieces")
-    decoded = pieces.decode(encoded, model).select(
-        F.col("doc_id").alias("id"), F.crc32("text").alias("text_crc32"), F.length("text").cast("bigint").alias("n_chars")
-    )
-    counted = tokens.checksums(encoded, "pieces")
-    sizes = encoded.select(F.col("doc_id").alias("of"), F.size("pieces").cast("bigint").alias("n_pieces"))
-    counted = counted.join(sizes, F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")
-    return counted.join(decoded, F.col("doc_id").eqNullSafe(F.col("id"))).select(
-        "doc_id", "n_pieces", "ids_crc32", "n_chars", "text_crc32"
+    decoded = pieces.decode(encoded, model, keep=("pieces",)).select(
+        "doc_id",
+        F.size("pieces").cast("bigint").alias("n_pieces"),
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.crc32("text").alias("text_crc32"),
+        "pieces",
     )
+    return tokens.checksums(decoded, "pieces").select("doc_id", "n_pieces", "ids_crc32", "n_chars", "text_crc32")
 
 
 def op7_best_fit(spark: SparkSession, folder: str) -> DataFrame:

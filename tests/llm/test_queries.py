@@ -76,3 +76,15 @@ def test_pipeline_keeps_one_of_repeated_rows(spark):
     once = corpus_pipeline.near_duplicates(spark, docs, FOLDER)
     twice = corpus_pipeline.near_duplicates(spark, docs.unionByName(docs), FOLDER)
     assert sorted(r["doc_id"] for r in once.collect()) == sorted(r["doc_id"] for r in twice.collect())
+
+
+def test_piece_codec_of_repeated_rows_and_rows_without_id(spark, tmp_path):
+    """Each row comes out once, with its own figures."""
+    import zlib
+
+    texts = [(1, "one text"), (1, "one text"), (1, "another one"), (None, "no id"), (None, ""), (None, None), (2, "two")]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op6_piece_codec"](spark, str(tmp_path)).collect()
+    assert all(r["n_pieces"] or not r["n_chars"] for r in found)
+    expected = [(i, len(t or ""), zlib.crc32((t or "").encode())) for i, t in texts]
+    assert sorted(((r["doc_id"], r["n_chars"], r["text_crc32"]) for r in found), key=str) == sorted(expected, key=str)
