@@ -12,66 +12,76 @@ its tokenizer never joins across, so that the ids of the parts are the ids of th
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
 from collections.abc import Sequence
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _LEADING = re.compile(r" (?=\S)")
 # Each of these is neither letter, digit nor white space to any of the pre-tokenizers.
 _ENDINGS = ".,;:!?#*$%&"
 _JOINED = 256
+# How the two kinds of vocabulary write the end of a word, a space and a line feed.
+_WORD_END, _SPACE, _LINE = "</w>", "\u0120", "\u010a"
 
 
 def _normal(word: str) -> str:
     """A word as a vocabulary may normalise it. Some letters become a letter and a mark,
     which are two pre-tokens."""
-    return word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
+    return unicodedata.normalize("NFC", word).lower()
 
 
 class WordEncoder:
     """Encode texts to little-endian unsigned 32-bit ids.
 
-    At most ``kept`` words are held in each of two generations; a full young generation
-    becomes the old one, and words still in use move over.
+    Ids of words are kept in two generations; once the young one holds ``kept`` words it
+    becomes the old one, and words still in use move over. The words of a call are
+    made unique first, so that each is looked up once, and the ids of the texts are
+    gathered from the unique words as arrays.
     """
 
-    def __init__(self, path: str, spaces: str, kept: int = 150_000):
+    def __init__(self, path: str, spaces: str, kept: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         if spaces not in ("drop", "lead"):
             raise ValueError(f"spaces must be 'drop' or 'lead', not {spaces!r}")
         self.tokenizer = Tokenizer.from_file(path)
-        # Names of special tokens within a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        vocabulary = json.loads(Path(path).read_text(encoding="utf-8"))
+        # A text that holds the name of such a token is encoded whole.
+        self.names = [t["content"] for t in vocabulary["added_tokens"]]
         self.lead, self.kept = spaces == "lead", kept
+        words = self.tokenizer.get_vocab(True)
+        self.edge = np.zeros(max(words.values()) + 1, bool)
+        for token, number in words.items():
+            self.edge[number] = token.startswith(_SPACE) if self.lead else token.endswith(_WORD_END)
+        self.line = words.get(_LINE, -1)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.endings: dict[str, bytes] = {}
 
+    def _words(self, texts: Sequence[str]) -> pa.ListArray:
+        """Keys of the parts where white space is dropped: words between spaces and lines."""
+        return pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+
     def _parts(self, text: str) -> list[str]:
-        """Keys of the parts: a key stands for a space and the word, unless it begins
-        with a line feed or, at the start of a text, with NUL."""
-        if not self.lead:
-            return text.replace("\n", " ").split(" ")
+        """Keys of the parts where spaces lead. The first is the text's beginning as it
+        stands; any other stands for a space and the word, unless it begins with a line feed."""
         if " ".join(text.split()) == text.replace("\n", " "):
-            parts = text.replace("\n", " \n").split(" ")
-        else:
-            parts = _LEADING.split(text)
-        parts[0] = "\0" + parts[0]
-        return parts
-
-    def _source(self, key: str) -> str:
-        if not self.lead:
-            return key
-        if key[0] == "\0":
-            return key[1:]
-        return key if key[0] == "\n" else " " + key
-
-    def _learn(self, keys: set[str]) -> None:
+            return text.replace("\n", " \n").split(" ")
+        return _LEADING.split(text)
+
+    def _ids(self, sources: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(sources, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def _learn(self, keys: list[str]) -> None:
         """Ids of new keys. The punctuation that ends a word is encoded apart from it, as
         the pre-tokenizers part them behind a letter or digit."""
         young, old = self.young, self.old.get
@@ -82,11 +92,15 @@ class WordEncoder:
                 young[key] = ids
                 continue
             word = key.rstrip(_ENDINGS)
-            if len(word) == len(key) or not word or not _normal(word[-1])[-1].isalnum():
+            if word is key or not word:
+                unknown.add(key)
+                continue
+            last = word[-1]
+            if not (last if last.isascii() else _normal(last)[-1]).isalnum():
                 unknown.add(key)
                 continue
             ended.append((key, word))
-            if word not in young and word not in unknown:
+            if word not in young:
                 ids = old(word)
                 if ids is None:
                     unknown.add(word)
@@ -102,51 +116,76 @@ class WordEncoder:
                 endings[ending] = self._ids([ending])[0]
             young[key] = young[word] + endings[ending]
 
-    def _ids(self, sources: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(sources, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
     def _encode_words(self, keys: set[str]) -> None:
-        """Encode many words of letters as one text, and part its ids again by the number
-        of their pre-tokens: one for a word, one for a line feed. Other keys go alone, and so
-        do those of a group with another number of pre-tokens, which can only be more."""
+        """Encode many words of letters as one text, and part its ids again where a word
+        ends or a space or line feed leads. Other keys go alone, and so do those of a group
+        that has another number of such places."""
         plain, lines, others = [], [], []
         for key in keys:
-            word = key[1:] if key[:1] == "\n" else key
-            if not word.isalpha() or not _normal(word).isalpha():
-                others.append(key)
-            elif word is key:
+            if key[:1] == "\n":
+                (lines if self.lead and key[1:].isalpha() else others).append(key)
+            elif key.isalpha() and (self.lead or key.isascii() or _normal(key).isalpha()):
                 plain.append(key)
             else:
-                lines.append(key) if self.lead else others.append(key)
-        for own, count in ((plain, 1), (lines, 2)):
+                others.append(key)
+        for own, joint in ((plain, " "), (lines, "")):
             groups = [own[i : i + _JOINED] for i in range(0, len(own), _JOINED)]
-            texts = [(" " if count == 1 else "") + (" " if count == 1 else "").join(g) for g in groups]
-            encoded = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+            texts = [joint + joint.join(g) for g in groups]
+            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             for group, encoding in zip(groups, encoded):
-                numbers = np.array(encoding.word_ids, np.int64)
-                if len(numbers) == 0 or numbers[-1] + 1 != len(group) * count:
+                ids = np.array(encoding.ids, "<u4")
+                places = np.flatnonzero(self.edge[ids] if joint else ids == self.line)
+                if len(places) != len(group):
                     others += group
                     continue
-                cuts = np.searchsorted(numbers, np.arange(len(group) + 1) * count) * 4
-                data = np.array(encoding.ids, "<u4").tobytes()
-                low = 0
-                for key, high in zip(group, cuts[1:].tolist()):
+                if self.lead:
+                    cuts = np.append(places, len(ids)) * 4
+                else:
+                    cuts = np.insert(places + 1, 0, 0) * 4
+                data, cuts = ids.tobytes(), cuts.tolist()
+                for key, low, high in zip(group, cuts, cuts[1:]):
                     self.young[key] = data[low:high]
-                    low = high
-        for key, ids in zip(others, self._ids([self._source(key) for key in others])):
-            self.young[key] = ids
+        sources = [" " + k if self.lead and k[:1] != "\n" else k for k in others]
+        self.young.update(zip(others, self._ids(sources)))
 
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Ids of each text; a null text is an empty one."""
-        parts = [self._parts(text) if text else [] for text in texts]
+    def _known(self, keys: list[str]) -> list[bytes]:
+        """Ids of unique keys."""
         if len(self.young) > self.kept:
             self.old, self.young = self.young, {}
-        missing = set().union(*parts) - self.young.keys()
+        young = self.young
+        missing = [key for key in keys if key not in young]
         if missing:
             self._learn(missing)
-        get = self.young.__getitem__
-        return [b"".join(map(get, own)) for own in parts]
+        return [young[key] for key in keys]
+
+    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Ids of each text; a null text is an empty one."""
+        whole = {i: t for i, t in enumerate(texts) if t and any(n in t for n in self.names)}
+        cut = ["" if i in whole else t or "" for i, t in enumerate(texts)]
+        firsts: list[bytes] = [b""] * len(cut)
+        if self.lead:
+            parts = [self._parts(t) for t in cut]
+            firsts = self._ids([own[0] for own in parts])
+            words = pa.array([key for own in parts for key in own[1:]], pa.string())
+            bounds = np.cumsum([0, *(len(own) - 1 for own in parts)])
+        else:
+            lists = self._words(cut)
+            words, bounds = lists.values, lists.offsets.to_numpy()
+        whole = dict(zip(whole, self._ids(list(whole.values()))))
+        flat = words.dictionary_encode()
+        coded = self._known(flat.dictionary.to_pylist())
+        lengths = np.array([len(x) for x in coded], np.int64) // 4
+        tokens = np.frombuffer(b"".join(coded), "<u4")
+        at = flat.indices.to_numpy()
+        counts = lengths[at]
+        ends = np.cumsum(counts)
+        shift = (np.cumsum(lengths) - lengths)[at] - (ends - counts)
+        data = tokens[np.repeat(shift, counts) + np.arange(int(ends[-1]) if len(ends) else 0)].tobytes()
+        cuts = (np.append(0, ends)[bounds] * 4).tolist()
+        return [
+            whole[i] if i in whole else firsts[i] + data[low:high]
+            for i, (low, high) in enumerate(zip(cuts, cuts[1:]))
+        ]
 
 
 _encoders: dict[tuple, WordEncoder] = {}
@@ -160,7 +199,7 @@ def encoder(path: str, spaces: str) -> WordEncoder:
     return _encoders[key]
 
 
-def slices(lengths: Sequence[int], most: int = 2_000_000) -> list[tuple[int, int]]:
+def slices(lengths: Sequence[int], most: int = 4_000_000) -> list[tuple[int, int]]:
     """Ranges of rows with about ``most`` characters in all, at least one row each."""
     out, low, total = [], 0, 0
     for i, length in enumerate(lengths):

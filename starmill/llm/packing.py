@@ -152,8 +152,10 @@ def pack(pieces: DataFrame, capacity: int, open_bins: int = OPEN_BINS) -> DataFr
     """
     total = pieces.agg(F.sum("length")).first()[0] or 0
     tasks = max(1, -(-int(total) // (capacity * TASK_SEQUENCES)))
-    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", "start"))
-    ordered = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece")
+    # Rows without an id, or of one id, differ by their content.
+    content = [c for c in ("ids_crc32",) if c in pieces.columns]
+    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", "start", "length", *content))
+    ordered = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece", *content)
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pieces.dtypes)
     placed = _pack(capacity, open_bins, pieces.columns)
     return map_arrow(ordered, placed, schema + ", sequence_id bigint, offset bigint")

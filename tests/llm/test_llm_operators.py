@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter
@@ -37,7 +38,6 @@ def as_is(name):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file(name))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -86,6 +86,19 @@ def test_group_with_other_pre_tokens_is_encoded_alone(name, spaces, monkeypatch)
     assert np.frombuffer(found[0], "<u4").tolist() == as_is(name)(text)
 
 
+@pytest.mark.parametrize("name, spaces", [(WORD_TOKENIZER, "drop"), (BYTE_TOKENIZER, "lead")])
+def test_random_strings_as_the_library(name, spaces):
+    """NUL, names of special tokens, contractions and odd white space, with a small cache."""
+    draw = random.Random(3)
+    parts = [*"abXY  \n\n\t.,!'sé\0", "\u00a0", "\u3000", "\u0958", "\u09df", "İ", "日本", "<|endoftext|>",
+             "<|startoftext|>", "'ll", "1", "23", "\u0301", "\r", "\x0b", "\x1c", "the", "house", "#$"]
+    encode, own = as_is(name), WordEncoder(tokenizer_file(name), spaces, kept=40)
+    for _ in range(30):
+        texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(100)]
+        found = own.encode([*texts, None, " \0"])
+        assert [np.frombuffer(x, "<u4").tolist() for x in found] == [encode(t) for t in [*texts, "", " \0"]]
+
+
 def test_token_files_of_repeated_rows(spark, docs, rows):
     path = scratch_folder(spark, "tokens")
     tokens.write_tokens(docs.unionByName(docs), path, tokenizer_file(WORD_TOKENIZER), 2)
