@@ -74,4 +74,111 @@ SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
 FROM sizes JOIN classes USING (doc_id)
 """
 
-ORACLES = {"op8_min_max": NEAR, "op9_host_rules": RULES}
+LINES = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS place FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+common AS (
+  SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT doc_id, line, place, last IS NOT NULL AND doc_id <> last AS gone
+  FROM keyed LEFT JOIN common USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+TRIE = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, max(place) AS n, conv_id - conv_id % 20 AS lender,
+         xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                         lambda c, x: list_reduce(
+                           [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0],
+                           lambda v, i: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END),
+                           xor(c, x)),
+                         CAST(4294967295 AS BIGINT)),
+             CAST(4294967295 AS BIGINT)) % 4 AS heads
+  FROM turns GROUP BY conv_id),
+rules AS (
+  SELECT c.*, least(c.heads, coalesce(l.n, 0)) AS borrowed
+  FROM convs c LEFT JOIN convs l ON l.conv_id = c.lender),
+rebuilt AS (
+  SELECT r.conv_id, t.place AS depth, role, text
+  FROM rules r JOIN turns t ON t.conv_id = r.lender AND t.place <= r.borrowed
+  UNION ALL
+  SELECT r.conv_id, t.place - r.heads + r.borrowed, role, text
+  FROM rules r JOIN turns t ON t.conv_id = r.conv_id AND t.place > r.heads),
+steps AS (
+  SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         string_agg(md5(md5(role) || md5(text)), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path
+  FROM rebuilt),
+members AS (
+  SELECT conv_id, 0 AS depth, 0 AS words, '' AS path FROM rules
+  UNION ALL SELECT conv_id, depth, words, path FROM steps),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words
+  FROM members GROUP BY path, depth),
+finished AS (SELECT conv_id, max_by(path, depth) AS path FROM members GROUP BY conv_id),
+ends AS (SELECT path, string_agg(conv_id, ',' ORDER BY conv_id) AS ids FROM finished GROUP BY path),
+children AS (
+  SELECT substr(path, 1, length(path) - 32) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (
+  SELECT path, depth, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * words AS saved
+  FROM nodes LEFT JOIN children c USING (path)),
+above AS (SELECT leaf, saved, substr(path, 1, 32 * unnest(range(0, depth + 1))) AS path FROM valued),
+sums AS (SELECT path, sum(leaf) AS leaves, sum(saved) AS saved FROM above GROUP BY path)
+SELECT CAST(n.conv_id AS BIGINT) AS conv_id, CAST(n.depth AS BIGINT) AS depth,
+       CAST(p.conv_id AS BIGINT) AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes n JOIN sums USING (path) LEFT JOIN children c USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = substr(n.path, 1, length(n.path) - 32)
+"""
+
+SEARCH = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+wanted AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+counts AS (
+  SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+held AS (SELECT term, count(*) AS df FROM counts GROUP BY term),
+valued AS (
+  SELECT doc_id, term,
+         CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+           * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))) AS value
+  FROM counts JOIN held USING (term) JOIN lengths USING (doc_id), total),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * value) AS BIGINT) AS score
+  FROM wanted JOIN valued USING (term) GROUP BY ALL HAVING sum(times * value) > 0),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+         doc_id, score
+  FROM scores)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {
+    "op8_min_max": NEAR,
+    "op9_host_rules": RULES,
+    "op11_line_bitmaps": LINES,
+    "op12_prefix_trie": TRIE,
+    "op13_shared_search": SEARCH,
+}

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from starmill.llm import html_text, licences, neardup, neighbours, oracles, packing, pieces, quality, rules, tokens, toxicity
+from starmill.llm import (
+    html_text, licences, line_dedup, neardup, neighbours, oracles, packing, pieces, prefix_trie,
+    quality, rules, search, tokens, toxicity,
+)
 from starmill.sources.scratch import scratch_folder, written
 
 WORD_TOKENIZER, WORD_END = "word_bpe_49k.json", 2
@@ -90,6 +93,25 @@ def op10_two_pass(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def op11_line_bitmaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the lines that other documents repeat; checksum of what stays."""
+    marked = line_dedup.keep_bitmaps(table(spark, folder, "documents"), keep=("doc_id", "text"))
+    text = line_dedup.kept_text(F.col("text"), F.col("kept"), F.col("n_dropped"))
+    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations that begin with up to three turns of the first of their twenty."""
+    turns = prefix_trie.ordered_turns(table(spark, folder, "conversations"))
+    conv = F.col("conv")
+    heads = F.crc32(conv.cast("string")) % 4
+    return prefix_trie.prefix_nodes(prefix_trie.with_borrowed_heads(turns, conv - conv % 20, heads, 3))
+
+
+def op13_shared_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_multiprobe": op2_multiprobe,
@@ -101,5 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_min_max": op8_min_max,
     "op9_host_rules": op9_host_rules,
     "op10_two_pass": op10_two_pass,
+    "op11_line_bitmaps": op11_line_bitmaps,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_shared_search": op13_shared_search,
 }
 ORACLES: dict[str, str] = oracles.ORACLES

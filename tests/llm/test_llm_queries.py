@@ -23,7 +23,7 @@ def test_entry_points_list_all():
     import __spark_entry__ as entry_points
 
     numbers = {n.split("_")[0] for n in entry_points.queries() if n.startswith("op")}
-    assert numbers == {f"op{k}" for k in range(1, 11)} and "pipeline" in entry_points.queries()
+    assert numbers == {f"op{k}" for k in range(1, 14)} and "pipeline" in entry_points.queries()
     assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
