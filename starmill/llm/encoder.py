@@ -27,6 +27,8 @@ _LEADING = re.compile(r" (?=\S)")
 # Each of these is neither letter, digit nor white space to any of the pre-tokenizers.
 _ENDINGS = ".,;:!?#*$%&"
 _JOINED = 256
+# Words of a generation; a word and its ids take about 200 bytes.
+KEPT_WORDS = 400_000
 # How the two kinds of vocabulary write the end of a word, a space and a line feed.
 _WORD_END, _SPACE, _LINE = "</w>", "\u0120", "\u010a"
 
@@ -46,7 +48,7 @@ class WordEncoder:
     gathered from the unique words as arrays.
     """
 
-    def __init__(self, path: str, spaces: str, kept: int = 400_000):
+    def __init__(self, path: str, spaces: str, kept: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -191,11 +193,11 @@ class WordEncoder:
 _encoders: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str, spaces: str) -> WordEncoder:
+def encoder(path: str, spaces: str, kept: int = KEPT_WORDS) -> WordEncoder:
     """One encoder per vocabulary and worker process, kept from task to task."""
-    key = (path, spaces)
+    key = (path, spaces, kept)
     if key not in _encoders:
-        _encoders[key] = WordEncoder(path, spaces)
+        _encoders[key] = WordEncoder(path, spaces, kept)
     return _encoders[key]
 
 

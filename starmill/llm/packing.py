@@ -27,6 +27,8 @@ from starmill.sources.scratch import written
 # opens fewer than twice as many bins, so bins close early only in a far larger task.
 TASK_SEQUENCES = 2048
 OPEN_BINS = 8192
+# Cutting holds little but words, so it may hold more of them: at most 320 MB a worker.
+KEPT_WORDS = 800_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -40,7 +42,7 @@ def _cut(path: str, spaces: str, end_id: int, capacity: int, with_tokens: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path, spaces)
+        words = encoder(path, spaces, KEPT_WORDS)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for low, high in slices(pc.utf8_length(texts).fill_null(0).to_pylist()):
