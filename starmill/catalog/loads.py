@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from starmill.catalog import facts
 from starmill.catalog.registry import query, table
+from starmill.operators.lookups import join_large
 from starmill.plans.mart import calendar_ends, cause_table, day_table, person_table, place_table
-from starmill.plans.model import WAREHOUSE
-from starmill.plans.warehouse import load_event_rows
-from starmill.sources import Tables, scratch_folder, written
+from starmill.plans.model import REJECTS, WAREHOUSE, Table, checker, rule_counts
+from starmill.plans.warehouse import POPULATION_COLUMNS, load_event_rows, load_population
+from starmill.sources import BrokenRules, Tables, scratch_folder, written
 
 _LOOKUPS = ("MUNICIPIO", "OCUP", "CIDS", "SEXO", "RACACOR", "ESCFAL", "ESTCIV", "CIRCOBITO", "TPLOCOR")
 
@@ -165,3 +166,153 @@ def day_dimension(spark, folder):
     holidays = orders.filter("o_totalprice > 300000").select(F.col("DT_OBITO").alias("holiday"))
     ends = calendar_ends(orders, date(1995, 1, 1), date(1995, 12, 31))
     return day_table(spark, holidays.distinct(), *ends)
+
+
+@query(
+    "event_load_report",
+    facts.EVENTS_SQL
+    + """,
+    movement AS (
+      SELECT towns.sk AS town, causes.sk AS cause, circumstance, l_linenumber
+      FROM coded LEFT JOIN causes USING (pair) LEFT JOIN towns ON towns.code = l_linenumber + 110000),
+    counts AS (
+      SELECT 'events read' AS step, 'rows' AS measure, count(*) AS n_rows FROM source
+      UNION ALL SELECT 'events read', 'no_circumstance', count(*) FROM source WHERE circumstance IS NULL
+      UNION ALL SELECT 'events read', 'surplus_fields', 0
+      UNION ALL SELECT 'events read', 'missing_fields', 0
+      UNION ALL SELECT 'events read', 'unread_day', count(*) FROM coded WHERE died IS NULL
+      UNION ALL SELECT 'DWCD_PESSOA added', 'rows', count(*) FROM persons
+      UNION ALL SELECT 'DWCD_CAUSAOBITO added', 'rows', count(*) FROM causes
+      UNION ALL SELECT 'DWMV_OBITO stored', 'rows', count(*) FROM movement
+      UNION ALL SELECT 'DWMV_OBITO stored', 'unknown_SK_MUNICIPIO', count(*) FROM movement WHERE town IS NULL
+      UNION ALL SELECT 'DWMV_OBITO stored', 'unknown_SK_CAUSAOBITO', count(*) FROM movement WHERE cause IS NULL
+      UNION ALL SELECT 'DWMV_OBITO stored', 'unknown_SK_PESSOA', 0
+      UNION ALL SELECT 'DWMV_OBITO stored', 'unknown_SK_CIRCOBITO', count(*) FROM movement WHERE circumstance = 3
+      UNION ALL SELECT 'DWMV_OBITO stored', 'unknown_SK_TPLOCOR', count(*) FROM movement WHERE l_linenumber > 5
+      UNION ALL SELECT 'events rejected', 'rows', count(*) FROM source WHERE circumstance IS NULL)
+    SELECT step, measure, CAST(n_rows AS BIGINT) AS n_rows FROM counts
+    """,
+)
+def event_load_report(spark, folder):
+    """Counts of an event load, all taken while its steps write their rows."""
+    tables = Tables(spark, scratch_folder(spark, "warehouse"))
+    read = facts.stand_in_warehouse(spark, folder)
+    for name in _LOOKUPS:
+        tables.replace(f"DWCD_{name}", read(f"DWCD_{name}"))
+    load = load_event_rows(tables, facts.event_source(spark, folder), facts.STAMP)
+    return load.report.frame()
+
+
+@query(
+    "population_rejects",
+    """
+    SELECT 'unknown town' AS reason,
+           '11;' || c_nationkey * 10 || ';' || format('{:t.}', n * 1000) || ' (1)' AS line,
+           CAST(year AS INTEGER) AS year
+    FROM (SELECT c_nationkey, year(o_orderdate) AS year, count(*) AS n
+          FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL)
+    WHERE c_nationkey % 5 = 0
+    """,
+)
+def population_rejects(spark, folder):
+    """Estimates per year and nation as towns of one state; a fifth of the towns are unknown."""
+    tables = Tables(spark, scratch_folder(spark, "warehouse"))
+    towns = table(spark, folder, "nation").filter("n_nationkey % 5 <> 0").selectExpr(
+        "n_nationkey + 1L AS SK_MUNICIPIO", "n_nationkey + 110000L AS CD_MUNICIPIO"
+    )
+    tables.replace("DWCD_MUNICIPIO", towns)
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    orders = table(spark, folder, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("year"))
+    counts = join_large(orders.agg(F.count("*").alias("n")), customers, "o_custkey", "c_custkey", how="inner")
+    counts = counts.groupBy("c_nationkey", "year").agg(
+        F.translate(F.format_number(F.sum("n") * 1000, 0), ",", ".").alias("shown")
+    )
+    path = scratch_folder(spark, "estimates")
+    # The last digit is a check digit, which the composed code leaves out.
+    columns = [F.lit("11"), (F.col("c_nationkey") * 10).cast("string"), F.concat("shown", F.lit(" (1)"))]
+    lines = counts.select(
+        *[c.alias(n) for c, n in zip(columns, POPULATION_COLUMNS)],
+        F.concat(F.lit("estimate_"), "year").alias("delivery"),
+    )
+    lines.write.partitionBy("delivery").csv(path, sep=";", header=True)
+    load_population(tables, path, facts.STAMP)
+    rejects = tables.read("DWRJ_POPULACAO", REJECTS["DWRJ_POPULACAO"])
+    year = F.regexp_extract("ENTREGA", r"_(\d{4})$", 1).cast("int")
+    return rejects.select(F.col("MOTIVO").alias("reason"), F.col("LINHA").alias("line"), year.alias("year"))
+
+
+# Lines as a table with declared rules, some of which it breaks.
+_LINE_TABLE = Table(
+    "", ("l_orderkey", "l_linenumber"),
+    {"l_orderkey": ("orders", "o_orderkey"), "l_partkey": ("part", "p_partkey")},
+)
+
+
+def _ruled_lines(spark, folder):
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.nullif("l_returnflag", F.lit("R")).alias("flag")
+    )
+    parents = {
+        "orders": table(spark, folder, "orders").filter("o_orderstatus <> 'P'"),
+        "part": table(spark, folder, "part"),
+    }
+    return lines, parents.__getitem__
+
+
+@query(
+    "rules_in_one_aggregate",
+    """
+    SELECT 'missing flag' AS rule, count(*) AS n_rows FROM lineitem WHERE l_returnflag = 'R'
+    UNION ALL
+    SELECT 'reference l_orderkey', count(*) FROM lineitem
+    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
+    UNION ALL
+    SELECT 'reference l_partkey', count(*) FROM lineitem
+    WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+    UNION ALL
+    SELECT 'key l_orderkey, l_linenumber',
+           (SELECT count(*) FROM lineitem)
+           - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
+    UNION ALL
+    SELECT unnest(['missing l_orderkey', 'missing l_linenumber', 'missing l_partkey']), 0
+    """,
+)
+def rules_in_one_aggregate(spark, folder):
+    """Rows that break each declared rule of a table, all counted in one aggregate."""
+    lines, read = _ruled_lines(spark, folder)
+    counts = rule_counts(_LINE_TABLE, lines, read)
+    return counts.unpivot([], list(counts.columns), "rule", "n_rows").select(
+        F.col("rule").cast("string").alias("rule"), "n_rows"
+    )
+
+
+@query(
+    "refused_version",
+    """
+    SELECT l_orderkey, CAST(min(l_linenumber) AS INTEGER) AS l_linenumber, min(l_partkey) AS l_partkey,
+           'x' AS flag
+    FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
+    GROUP BY l_orderkey
+    """,
+)
+def refused_version(spark, folder):
+    """A sound version is published; the whole lines, which break the rules, are refused after
+    they were written, and readers stay with the sound one."""
+    tables = Tables(spark, scratch_folder(spark, "tables"))
+    lines, read = _ruled_lines(spark, folder)
+    check = checker({"lines": _LINE_TABLE}, "lines", read)
+    known = read("orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    sound = lines.join(known, "l_orderkey", "left_semi").groupBy("l_orderkey").agg(
+        F.min("l_linenumber").cast("int").alias("l_linenumber"),
+        F.min("l_partkey").alias("l_partkey"),
+        F.lit("x").alias("flag"),
+    )
+    tables.replace("lines", sound, check)
+    try:
+        tables.replace("lines", lines, check)
+    except BrokenRules as refused:
+        if set(refused.broken) != {"missing flag", "reference l_orderkey", "key l_orderkey, l_linenumber"}:
+            raise
+    else:
+        raise AssertionError("a version that breaks its rules was published")
+    return tables.read("lines", "l_orderkey bigint, l_linenumber int, l_partkey bigint, flag string")

@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 from starmill.catalog.registry import query, table
 from starmill.functions import locale_number, strip_footnote, whole_number
 from starmill.sources import (
+    FileLedger,
     Tables,
     period_of_path,
     read_delimited,
     read_table_export,
     scratch_folder,
+    written,
 )
-from starmill.sources.delimited import SOURCE_PATH
+from starmill.sources.delimited import LINE, REASON, SOURCE_PATH
 from starmill.sources.tables import appended
-from starmill.streaming import load_new_files
+from starmill.streaming import load_arrived_files, load_new_files
 
 
 @query(
@@ -207,3 +209,123 @@ def stream_new_files(spark, folder):
     stored = tables.read("events", "event_id bigint, event_type string, delivery string")
     day = F.regexp_extract("delivery", r"delivery=([^/]*)/", 1)
     return stored.withColumn("delivery", day)
+
+
+def _deliver(spark, lines, name, folder):
+    """One file per name in a folder: written by Spark, then put in place under its own name,
+    over the file that may be there."""
+    path = scratch_folder(spark, "delivering")
+    lines.repartition(name).write.partitionBy(name).text(path)
+    jvm = spark._jvm
+    files = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/part-*")):
+        source = part.getPath()
+        target = jvm.org.apache.hadoop.fs.Path(f"{folder}/{source.getParent().getName().split('=')[1]}")
+        files.mkdirs(target.getParent())
+        files.delete(target, False)
+        files.rename(source, target)
+
+
+def _file_of(rows, header, line, name):
+    """One row per file, its text under a header. A file here holds one chunk of rows."""
+    lines = F.array_join(F.sort_array(F.collect_list(line)), "\n")
+    return rows.groupBy(name).agg(F.concat(F.lit(header + "\n"), lines).alias("value"))
+
+
+@query(
+    "read_ragged_rows",
+    """
+    WITH lines AS (
+      SELECT *, year(o_orderdate) % 2 = 1 AS odd, CAST(o_orderkey AS VARCHAR) AS code,
+             replace(o_orderpriority, '-', ';') AS spread
+      FROM orders)
+    SELECT o_orderkey AS code, o_orderstatus AS status,
+           CASE WHEN odd THEN o_orderpriority ELSE spread END AS priority,
+           CASE WHEN odd AND o_orderstatus = 'P' THEN 'missing fields'
+                WHEN odd AND o_orderpriority = '5-LOW' THEN 'surplus fields'
+                WHEN NOT odd AND o_orderstatus = 'F' THEN 'surplus fields' END AS reason,
+           CASE WHEN odd AND o_orderstatus = 'P'
+                THEN code || ';' || o_orderstatus || ';' || o_orderpriority
+                WHEN odd AND o_orderpriority = '5-LOW'
+                THEN code || ';' || o_orderstatus || ';' || o_orderpriority || ';' || o_custkey || ';x'
+                WHEN NOT odd AND o_orderstatus = 'F'
+                THEN '"' || spread || '";' || code || ';' || o_orderstatus || ';"a;b"' END AS line
+    FROM lines
+    """,
+)
+def read_ragged_rows(spark, folder):
+    """Files of two layouts in one scan; rows of too few or too many fields are told apart."""
+    path = scratch_folder(spark, "delivered")
+    orders = table(spark, folder, "orders").withColumn(
+        "file", F.concat(F.lit("orders_"), F.floor(F.col("o_orderkey") / 10_000), F.lit(".csv"))
+    )
+    odd = F.year("o_orderdate") % 2 == 1
+    code = F.col("o_orderkey").cast("string")
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    first = F.concat_ws(
+        ";", code, status, priority,
+        F.when(status != "P", F.col("o_custkey").cast("string")),
+        F.when((status != "P") & (priority == "5-LOW"), "x"),
+    )
+    quoted = F.concat(F.lit('"'), F.translate(priority, "-", ";"), F.lit('"'))
+    second = F.concat_ws(";", quoted, code, status, F.when(status == "F", '"a;b"'))
+    _deliver(spark, _file_of(orders.filter(odd), "code;status;priority;customer", first, "file"), "file", path + "/a")
+    _deliver(spark, _file_of(orders.filter(~odd), '"priority";code;status', second, "file"), "file", path + "/b")
+    names = ["code", "status", "priority"]
+    rows = read_delimited(spark, [path + "/a", path + "/b"], names, ragged="mark")
+    return rows.select(
+        whole_number(F.col("code")).alias("code"),
+        "status",
+        "priority",
+        F.col(REASON).alias("reason"),
+        F.col(LINE).alias("line"),
+    )
+
+
+@query(
+    "stream_corrected_file",
+    """
+    SELECT event_id, CASE WHEN day(ts) = 2 THEN upper(event_type) ELSE event_type END AS event_type,
+           strftime(ts, 'events_%d.csv') AS delivery
+    FROM events WHERE day(ts) <> 3 AND (day(ts) <> 2 OR user_id % 2 = 0)
+    """,
+)
+def stream_corrected_file(spark, folder):
+    """A file per day, in two column orders; then one is corrected and one emptied under
+    its path. Unchanged files are not read again."""
+    tables = Tables(spark, scratch_folder(spark, "tables"))
+    path = scratch_folder(spark, "arrived")
+    ledger = FileLedger(spark, scratch_folder(spark, "ledger"))
+    checkpoint = scratch_folder(spark, "stream")
+    events = table(spark, folder, "events").withColumn("day", F.dayofmonth("ts")).withColumn(
+        "file", F.date_format("ts", "'events_'dd'.csv'")
+    )
+    number, kind = F.col("event_id").cast("string"), F.col("event_type")
+
+    def load(rows, delivered):
+        typed = rows.select(
+            whole_number(F.col("event_id")).alias("event_id"),
+            "event_type",
+            F.col(SOURCE_PATH).alias("delivery"),
+        )
+        typed = written(typed, "typed")
+        left = {r[0] for r in typed.select("delivery").distinct().collect()}  # one row per file
+        tables.replace_deliveries("events", typed, "delivery", set(delivered) - left)
+
+    def run():
+        columns = {c: c for c in ("event_id", "event_type")}
+        return load_arrived_files(spark, path, columns, load, checkpoint, ledger)
+
+    odd = F.col("day") % 2 == 1
+    _deliver(spark, _file_of(events.filter(odd), "event_id;event_type", F.concat_ws(";", number, kind), "file"), "file", path)
+    _deliver(spark, _file_of(events.filter(~odd), "event_type;event_id", F.concat_ws(";", kind, number), "file"), "file", path)
+    run()
+    corrected = events.filter("day = 2 AND user_id % 2 = 0")
+    corrected = _file_of(corrected, "event_id;event_type", F.concat_ws(";", number, F.upper(kind)), "file")
+    emptied = events.filter("day = 3").select("file", F.lit("event_id;event_type").alias("value")).distinct()
+    _deliver(spark, corrected.unionByName(emptied), "file", path)
+    changed = run()
+    if len(changed) != 2 or run():
+        raise AssertionError(f"read again: {changed}")
+    stored = tables.read("events", "event_id bigint, event_type string, delivery string")
+    return stored.withColumn("delivery", F.regexp_extract("delivery", "[^/]*$", 0))

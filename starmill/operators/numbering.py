@@ -48,12 +48,12 @@ def number_stored(stored: DataFrame, key: str, after: int = 0) -> DataFrame:
     A row's key is the number of rows in the files before its own plus its place in
     the file. Both come from file metadata, so retried or speculative tasks give the
     same keys. A file is known by its task and its place among the task's files, as
-    Spark's writer names them. What is broadcast has two numbers per file, and only up
+    Spark's writer names them, in one folder or in one of several partitions. What is broadcast has two numbers per file, and only up
     to a million files.
     """
     name = F.col("_metadata.file_name")
     task = F.split_part(name, F.lit("-"), F.lit(2)).cast("bigint")
-    place = F.regexp_extract(name, r"-c(\d+)\.", 1).cast("bigint")
+    place = F.regexp_extract(name, r"[-.]c(\d+)\.", 1).cast("bigint")
     spots = stored.select(
         "*",
         (task * F.lit(1_000_000) + place).alias(_FILE),

@@ -16,7 +16,7 @@ from starmill.operators.dimensions import (
 )
 from starmill.operators.facts import count_events, event_fact, snapshot_with_counts
 from starmill.operators.numbering import with_unknown
-from starmill.plans.model import MART, WAREHOUSE
+from starmill.plans.model import MART, WAREHOUSE, checker
 from starmill.sources import Tables
 from starmill.sources.tables import stamped
 
@@ -143,7 +143,8 @@ def refresh_mart(
     first_day: date = FIRST_DAY,
     last_day: date = LAST_DAY,
 ) -> Tables:
-    """Rebuild all mart tables. ``holidays`` is a one-column table of days.
+    """Rebuild all mart tables. ``holidays`` is a one-column table of days. Each table is
+    published once its new version keeps its declared rules, dimensions before facts.
 
     The calendar runs from ``first_day`` to ``last_day``, and over the whole years of
     deaths before and after them.
@@ -156,7 +157,8 @@ def refresh_mart(
 
     def publish(name: str, df: DataFrame) -> DataFrame:
         columns = [c.split()[0] for c in MART[name].columns.split(", ")]
-        return mart.replace(name, stamped(df, stamp).select(*columns))
+        check = checker(MART, name, lambda parent: mart.read(parent, MART[parent].columns))
+        return mart.replace(name, stamped(df, stamp).select(*columns), check)
 
     population, deaths = source("DWMV_POPULACAO"), source("DWMV_OBITO")
     years = publish("DIME_TEMPO_ANO", year_table(population))

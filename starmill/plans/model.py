@@ -7,12 +7,14 @@ Days are dates and flags booleans inside; ``presented`` gives the text forms.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.dates import PRESENTED_STAMP, day_text
 from starmill.operators.checks import key_violations, null_counts, orphans
+from starmill.operators.lookups import join_large
 
 
 @dataclass(frozen=True)
@@ -142,6 +144,12 @@ MART = {
     ),
 }
 
+# Rows that a load left out, with the reason, kept per delivery like what it stored.
+REJECTS = {
+    "DWRJ_OBITO": "MOTIVO string, LINHA string, DT_CARGA timestamp, ENTREGA string",
+    "DWRJ_POPULACAO": "MOTIVO string, LINHA string, DT_CARGA timestamp, ENTREGA string",
+}
+
 # Columns where null is a value: an unknown day is null until it is presented.
 _MAY_BE_NULL = {"DT_NASC", "DT_OBITO", "DATA", "DIA", "MES", "ANO"}
 
@@ -190,6 +198,48 @@ def violations(model: dict[str, Table], read) -> DataFrame:
     return result
 
 
+def rule_counts(table: Table, df: DataFrame, read) -> DataFrame:
+    """One row: per declared rule of a table the number of rows that break it.
+
+    All rules are one aggregate over the table: missing values, rows beyond the first of a
+    key, and references, which a left join to the parents' keys marks before. ``read`` gives
+    the DataFrame of a parent by name.
+    """
+    counts = {}
+    required = [c for c in df.columns if c not in _MAY_BE_NULL]
+    for column in required:
+        counts[f"missing {column}"] = F.count_if(F.col(column).isNull())
+    for number, (column, (parent, parent_key)) in enumerate(table.references.items()):
+        parents = read(parent).select(F.col(parent_key).alias(f"__key_{number}")).distinct()
+        parents = parents.withColumn(f"__found_{number}", F.lit(True))
+        df = join_large(df, parents, column, f"__key_{number}")
+        lost = F.col(f"__found_{number}").isNull() & F.col(column).isNotNull()
+        counts[f"reference {column}"] = F.count_if(lost)
+    distinct = F.count_distinct(F.struct(*table.key))
+    counts[f"key {', '.join(table.key)}"] = F.count(F.lit(1)) - distinct
+    return df.agg(*[count.alias(rule) for rule, count in counts.items()])
+
+
+def checker(model: dict[str, Table], name: str, read):
+    """Check of a table's new version, for ``Tables.replace``: the rules that it breaks."""
+
+    def check(df: DataFrame) -> dict[str, int]:
+        found = rule_counts(model[name], df, read).first().asDict()
+        return {rule: count for rule, count in found.items() if count}
+
+    return check
+
+
+def guarded(df: DataFrame, name: str) -> DataFrame:
+    """Rows to add to a table; the write fails, and stores nothing, on a missing value in a
+    required column. For loads that add to a version instead of replacing it."""
+    required = [c for c in df.columns if c not in _MAY_BE_NULL]
+    lacking = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    stop = F.raise_error(F.concat(F.lit(f"{name} lacks "), F.concat_ws(", ", *lacking)))
+    broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
+    return df.filter(F.when(broken, stop.cast("boolean")).otherwise(True))
+
+
 def _finding(rows: DataFrame, table: str, rule: str, columns: str) -> DataFrame:
     return (
         rows.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))

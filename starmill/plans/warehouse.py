@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,25 +38,31 @@ from starmill.operators.dimensions import (
     unknown_values,
     upsert,
 )
-from starmill.operators.facts import snapshot_load
 from starmill.operators.lookups import Lookup, flag_lookup, resolve
 from starmill.operators.numbering import last_stored_key, number_stored, with_unknown
+from starmill.operators.reports import LoadReport
 from starmill.plans import code_lists
-from starmill.plans.model import WAREHOUSE
+from starmill.plans.model import REJECTS, WAREHOUSE, checker, guarded
 from starmill.session import split_generated_code
 from starmill.sources import (
+    FileLedger,
     Tables,
+    delivered_files,
     delivery_name,
     delivery_names,
     period_of_path,
     read_delimited,
     read_table_export,
     written,
+    written_apart,
 )
-from starmill.sources.delimited import SOURCE_PATH
+from starmill.sources.delimited import LINE, REASON, SHORT, SOURCE_PATH, SURPLUS
 from starmill.sources.tables import stamped
+from starmill.streaming import load_arrived_files
 
 DELIVERY = "ENTREGA"
+# Why a load leaves a row out.
+NO_CIRCUMSTANCE, UNKNOWN_TOWN = "no circumstance", "unknown town"
 
 # Column names of the delivered files.
 EVENT_COLUMNS = [
@@ -97,6 +103,11 @@ def _read(tables: Tables, name: str) -> DataFrame:
     return tables.read(name, WAREHOUSE[name].columns)
 
 
+def _publish(tables: Tables, name: str, df: DataFrame) -> None:
+    """Replace a table by a version that keeps all its declared rules."""
+    tables.replace(name, df, checker(WAREHOUSE, name, lambda parent: _read(tables, parent)))
+
+
 def _domain_unknown(name: str) -> Mapping:
     return unknown_values([f"CD_{name}"], [f"DS_{name}"], DT_CARGA=UNKNOWN_STAMP)
 
@@ -107,7 +118,7 @@ def load_code_list(tables: Tables, name: str, rows: Sequence[tuple], stamp: date
     listed = stamped(code_list(tables.spark, rows, columns), stamp).drop(f"SK_{name}")
     existing = _read(tables, f"DWCD_{name}")
     loaded = insert_unseen(existing, listed, f"CD_{name}", f"SK_{name}")
-    tables.replace(f"DWCD_{name}", with_unknown(loaded, f"SK_{name}", _domain_unknown(name)))
+    _publish(tables, f"DWCD_{name}", with_unknown(loaded, f"SK_{name}", _domain_unknown(name)))
 
 
 def upsert_code_list(tables: Tables, name: str, rows: Sequence[tuple], stamp: datetime) -> None:
@@ -115,7 +126,7 @@ def upsert_code_list(tables: Tables, name: str, rows: Sequence[tuple], stamp: da
     columns = WAREHOUSE[f"DWCD_{name}"].columns.split(", DT_CARGA")[0]
     listed = stamped(code_list(tables.spark, rows, columns), stamp)
     loaded = upsert(_read(tables, f"DWCD_{name}"), listed, f"SK_{name}")
-    tables.replace(f"DWCD_{name}", with_unknown(loaded, f"SK_{name}", _domain_unknown(name)))
+    _publish(tables, f"DWCD_{name}", with_unknown(loaded, f"SK_{name}", _domain_unknown(name)))
 
 
 def load_code_lists(tables: Tables, stamp: datetime) -> None:
@@ -160,7 +171,7 @@ def _merge_catalogue(tables, name, rows, code, key, label, unknown) -> DataFrame
     merged = written(
         merge(_read(tables, name), rows, code, key, [label], ["DT_CARGA"]), "merged"
     )
-    tables.replace(name, with_unknown(merged.drop(ACTION), key, unknown))
+    _publish(tables, name, with_unknown(merged.drop(ACTION), key, unknown))
     return merged
 
 
@@ -229,8 +240,9 @@ def load_places(
         ],
         "DT_CARGA",
     )
-    tables.replace("DWCD_REGIAO", regions)
-    tables.replace(
+    _publish(tables, "DWCD_REGIAO", regions)
+    _publish(
+        tables,
         "DWCD_ESTADO",
         with_unknown(
             states,
@@ -238,7 +250,8 @@ def load_places(
             unknown_values(["CD_ESTADO", "SK_REGIAO"], ["NM_ESTADO"], DT_CARGA=UNKNOWN_STAMP),
         ),
     )
-    tables.replace(
+    _publish(
+        tables,
         "DWCD_MUNICIPIO",
         with_unknown(
             towns,
@@ -254,31 +267,55 @@ def load_places(
 
 
 def population_rows(source: DataFrame, towns: DataFrame, stamp: datetime) -> DataFrame:
-    """Cleaned population per municipality and year of the delivery."""
+    """Population per municipality and year of the delivery; other rows have a ``MOTIVO``.
+
+    Rows without a known town are marked and keep what was delivered in ``LINHA``.
+    """
     state, town, quantity = (F.col(f"`{c}`") for c in POPULATION_COLUMNS)
     coded = source.select(
-        compose_code(state, town, 5, 6).alias("town_code"), quantity.alias("quantity"), SOURCE_PATH
+        compose_code(state, town, 5, 6).alias("town_code"),
+        locale_number(strip_footnote(quantity)).alias("QTD_POPULACAO"),
+        period_of_path(F.col(SOURCE_PATH)).alias("ANO"),
+        F.concat_ws(";", state, town, quantity).alias("line"),
+        delivery_name(F.col(SOURCE_PATH)).alias(DELIVERY),
     )
-    rows = snapshot_load(
-        coded.withColumn(DELIVERY, delivery_name(F.col(SOURCE_PATH))),
-        Lookup(towns, "town_code", "CD_MUNICIPIO", "SK_MUNICIPIO", "SK_MUNICIPIO"),
-        locale_number(strip_footnote(F.col("quantity"))),
-        period_of_path(F.col(SOURCE_PATH)),
-        ("ANO", "QTD_POPULACAO"),
-        keep=[DELIVERY],
+    town_key = Lookup(towns, "town_code", "CD_MUNICIPIO", "SK_MUNICIPIO", "SK_MUNICIPIO")
+    keyed = resolve(coded, [town_key], None)
+    lost = F.col("SK_MUNICIPIO").isNull()
+    return stamped(keyed, stamp).select(
+        "SK_MUNICIPIO", "ANO", "QTD_POPULACAO", "DT_CARGA", DELIVERY,
+        F.when(lost, F.lit(UNKNOWN_TOWN)).alias("MOTIVO"),
+        F.when(lost, F.col("line")).alias("LINHA"),
+    )
+
+
+def _store_rejects(
+    tables: Tables, name: str, rejects: DataFrame, report: LoadReport, step: str, delivered: Iterable[str]
+) -> None:
+    """Keep what a load left out, per delivery; those of a delivery loaded again go."""
+    columns = [c.split()[0] for c in REJECTS[name].split(", ")]
+    rejects = rejects.select(*columns)
+    left = {r[0] for r in rejects.select(DELIVERY).distinct().collect()}  # one row per file
+    tables.replace_deliveries(
+        name, report.counting(step, rejects), DELIVERY, set(delivered) - left
     )
-    return stamped(rows, stamp)
 
 
-def load_population(tables: Tables, paths: str | Sequence[str], stamp: datetime) -> None:
+def load_population(tables: Tables, paths: str | Sequence[str], stamp: datetime) -> LoadReport:
     """Population estimates; delivering a file again replaces it.
 
     Fails before anything is stored when a quantity or the year of a file cannot be read,
-    or when two files state the same town and year.
+    or when two files state the same town and year. Rows of unknown towns are stored
+    apart, with the reason. One pass over the files writes both and counts them.
     """
+    report = LoadReport(tables.spark)
     source = read_table_export(tables.spark, paths, POPULATION_COLUMNS)
     delivered = delivery_names(source.inputFiles())
-    rows = written(population_rows(source, _read(tables, "DWCD_MUNICIPIO"), stamp), "population")
+    rows = population_rows(source, _read(tables, "DWCD_MUNICIPIO"), stamp)
+    left_out = F.col("MOTIVO").isNotNull()
+    rows = report.counting("population read", rows, left_out=F.count_if(left_out))
+    rows, rejects = written_apart(rows.withColumn("left_out", left_out), "left_out", "population")
+    rows = rows.drop("MOTIVO", "LINHA")
     unread = rows.filter(F.col("ANO").isNull() | F.col("QTD_POPULACAO").isNull())
     bad = unread.select(DELIVERY).first()
     if bad:
@@ -290,13 +327,27 @@ def load_population(tables: Tables, paths: str | Sequence[str], stamp: datetime)
     if twice:
         raise ValueError(f"town and year stated twice: {twice.asDict()}")
     kept = {r[0] for r in rows.select(DELIVERY).distinct().collect()}  # one row per file
-    tables.replace_deliveries("DWMV_POPULACAO", rows, DELIVERY, delivered - kept)
+    counted = report.counting("population stored", guarded(rows, "DWMV_POPULACAO"))
+    tables.replace_deliveries("DWMV_POPULACAO", counted, DELIVERY, delivered - kept)
+    _store_rejects(tables, "DWRJ_POPULACAO", rejects, report, "population rejected", delivered)
+    return report
 
 
 def clean_events(source: DataFrame, by_file: bool = False) -> DataFrame:
     """Event rows with a known circumstance, codes in canonical text, keys derived.
 
     A row's delivery is its file or folder, or always its file with ``by_file``.
+    """
+    marked = marked_events(source, by_file)
+    return marked.filter(F.col("MOTIVO").isNull()).drop("MOTIVO", "LINHA", "unread_day")
+
+
+def marked_events(source: DataFrame, by_file: bool = False) -> DataFrame:
+    """All delivered event rows, cleaned; those to leave out have a ``MOTIVO`` and, in
+    ``LINHA``, what was delivered. ``unread_day`` marks a day of death that is no day.
+
+    Left out are rows that do not fit their header, where the reader marked them, and rows
+    without a circumstance.
 
     Two steps: the second names cleaned codes again, and Spark evaluates the columns of
     the first step once. Birth days stay text here; only new persons need them parsed.
@@ -306,7 +357,14 @@ def clean_events(source: DataFrame, by_file: bool = False) -> DataFrame:
         "CIRCOBITO", "TPOBITOCOR",
     ]
     chain = [F.col(f"LINHA{letter}") for letter in "ABCD"]
-    cleaned = source.filter(F.col("CIRCOBITO").isNotNull()).select(
+    ragged = F.col(REASON) if REASON in source.columns else F.lit(None).cast("string")
+    line = F.col(LINE) if LINE in source.columns else F.lit(None).cast("string")
+    reason = F.coalesce(ragged, F.when(F.col("CIRCOBITO").isNull(), F.lit(NO_CIRCUMSTANCE)))
+    delivered = F.to_json(F.struct(*EVENT_COLUMNS))
+    cleaned = source.select(
+        reason.alias("MOTIVO"),
+        F.when(reason.isNotNull(), F.coalesce(line, delivered)).alias("LINHA"),
+        F.col("DTOBITO").isNotNull().alias("has_day"),
         *[code_text(F.col(name)).alias(name) for name in codes],
         zero_pad(whole_number(F.col("DTNASC")), 8).alias("birth_text"),
         parse_day(F.col("DTOBITO")).alias("DT_OBITO"),
@@ -326,7 +384,8 @@ def clean_events(source: DataFrame, by_file: bool = False) -> DataFrame:
         F.col("CODMUNNATU"),
     ]
     return cleaned.select(
-        *cleaned.columns,
+        *[c for c in cleaned.columns if c != "has_day"],
+        (F.col("has_day") & F.col("DT_OBITO").isNull()).alias("unread_day"),
         business_key(person).alias("CD_PESSOA"),
         composite_code(F.col("basic_code"), F.col("terminal_code")).alias("CD_CAUSAOBITO"),
     )
@@ -434,15 +493,38 @@ class EventLoad:
     persons: DataFrame
     causes: DataFrame
     movement: DataFrame
+    report: LoadReport | None = None
 
 
-def staged_events(source: DataFrame, by_file: bool = False) -> DataFrame:
-    """Cleaned events, written once.
+@dataclass(frozen=True)
+class StagedEvents:
+    """Cleaned events, written once, and beside them the rows that were left out."""
+
+    events: DataFrame
+    rejects: DataFrame
 
-    Three steps use them, and their place in the files numbers them without a shuffle.
+
+def stage_events(source: DataFrame, report: LoadReport, by_file: bool = False) -> StagedEvents:
+    """Clean, count and write all delivered rows in one pass.
+
+    Three steps use the events, and their place in the files numbers them without a shuffle.
     """
+    marked = marked_events(source, by_file)
+    left_out = F.col("MOTIVO").isNotNull()
+    reasons = {
+        r.replace(" ", "_"): F.count_if(F.col("MOTIVO") == r) for r in (NO_CIRCUMSTANCE, SURPLUS, SHORT)
+    }
+    unread = F.count_if(F.col("unread_day") & ~left_out)
+    counted = report.counting("events read", marked, **reasons, unread_day=unread)
+    flagged = counted.drop("unread_day").withColumn("left_out", left_out)
     with split_generated_code(source.sparkSession):
-        return written(clean_events(source, by_file), "events")
+        events, rejects = written_apart(flagged, "left_out", "events")
+    return StagedEvents(events.drop("MOTIVO", "LINHA"), rejects.select("MOTIVO", "LINHA", DELIVERY))
+
+
+def staged_events(source: DataFrame, by_file: bool = False) -> DataFrame:
+    """The cleaned events of ``stage_events``."""
+    return stage_events(source, LoadReport(source.sparkSession), by_file).events
 
 
 @dataclass(frozen=True)
@@ -480,9 +562,13 @@ def event_load(
     )
 
 
-def store_events(tables: Tables, load: EventLoad, emptied: Iterable[str] = ()) -> None:
+def store_events(
+    tables: Tables, load: EventLoad, emptied: Iterable[str] = (), report: LoadReport | None = None
+) -> None:
     """Members first, movement last: a failure between leaves members without events,
-    which the next run finds and uses. Stored events of ``emptied`` deliveries go."""
+    which the next run finds and uses. Stored events of ``emptied`` deliveries go. Rows that
+    lack a required value fail their write, before any of them is stored."""
+    report = report or LoadReport(tables.spark)
     for name, key, rows, unknown in (
         (
             "DWCD_PESSOA",
@@ -508,8 +594,13 @@ def store_events(tables: Tables, load: EventLoad, emptied: Iterable[str] = ()) -
         ),
     ):
         first_load = _read(tables, name).filter(F.col(key) == UNKNOWN_KEY).isEmpty()
+        rows = report.counting(f"{name} added", guarded(rows, name))
         tables.append(name, with_unknown(rows, key, unknown) if first_load else rows)
-    tables.replace_deliveries("DWMV_OBITO", load.movement, DELIVERY, emptied)
+    keys = [c for c in load.movement.columns if c.startswith("SK_")]
+    unknown = {f"unknown_{c}": F.count_if(F.col(c) == UNKNOWN_KEY) for c in keys}
+    movement = guarded(load.movement, "DWMV_OBITO")
+    movement = report.counting("DWMV_OBITO stored", movement, **unknown)
+    tables.replace_deliveries("DWMV_OBITO", movement, DELIVERY, emptied)
 
 
 def load_event_rows(
@@ -521,27 +612,50 @@ def load_event_rows(
 ) -> EventLoad:
     """Delivered event rows, batch or micro-batch, into the warehouse.
 
+    The load's ``report`` has the rows read, left out by reason, added and stored, and the
+    unknown keys among them. Rows left out are kept in ``DWRJ_OBITO``.
+
     ``delivered`` lists the deliveries, also those without rows, whose stored events then
     go. A stream may get the files of a folder in several runs: it loads ``by_file``, so
     that a later file does not replace an earlier one.
     """
-    events = staged_events(source, by_file)
+    report = LoadReport(tables.spark)
+    staged = stage_events(source, report, by_file)
+    events = staged.events
     load = event_load(
         events, lambda name: _read(tables, name), stamp, last_keys(tables, events)
     )
     present = {r[0] for r in events.select(DELIVERY).distinct().collect()}  # one row per file
-    store_events(tables, load, set(delivered) - present)
-    return load
+    store_events(tables, load, set(delivered) - present, report)
+    rejects = stamped(staged.rejects, stamp)
+    _store_rejects(tables, "DWRJ_OBITO", rejects, report, "events rejected", set(delivered) | present)
+    return replace(load, report=report)
 
 
 def load_events(tables: Tables, paths: str | Sequence[str], stamp: datetime) -> EventLoad:
     """Deliveries of events; delivering a file again replaces its events, also when the
     new file has none."""
-    source = read_delimited(tables.spark, paths, EVENT_COLUMNS)
-    delivered = delivery_names(source.inputFiles())
+    source = read_delimited(tables.spark, paths, EVENT_COLUMNS, ragged="mark")
+    delivered = delivery_names(delivered_files(tables.spark, paths))
     return load_event_rows(tables, source, stamp, delivered=delivered)
 
 
+def load_arrived_events(tables: Tables, folder: str, stamp: datetime, checkpoint: str) -> list[str]:
+    """Event files that are new in a folder, then those corrected or emptied since.
+
+    Returns the names of the latter. The ledger of loaded files lies beside the tables.
+    """
+    ledger = FileLedger(tables.spark, f"{tables.root}/LEDGER_OBITO")
+
+    def load(rows: DataFrame, delivered: Sequence[str]) -> None:
+        load_event_rows(tables, rows, stamp, by_file=True, delivered=delivered)
+
+    columns = {c: c for c in EVENT_COLUMNS}
+    return load_arrived_files(
+        tables.spark, folder, columns, load, checkpoint, ledger, ragged="mark"
+    )
+
+
 @dataclass(frozen=True)
 class Deliveries:
     """Paths of all delivered files."""

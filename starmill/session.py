@@ -41,14 +41,14 @@ def local_session(
 
 @contextmanager
 def _with_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    before = {name: spark.conf.get(name) for name in settings}
+    before = {name: spark.conf.get(name, None) for name in settings}
     try:
         for name, value in settings.items():
             spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
-            spark.conf.set(name, value)
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def split_generated_code(spark: SparkSession):
@@ -69,3 +69,9 @@ def footer_aggregates(spark: SparkSession):
         "spark.sql.parquet.aggregatePushdown": "true",
     }
     return _with_settings(spark, settings)
+
+
+def two_writers(spark: SparkSession):
+    """Let a task hold several open files when it writes partitions, inside a ``with`` block,
+    so that its rows need not be sorted by partition first."""
+    return _with_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4"})

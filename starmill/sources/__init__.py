@@ -1,6 +1,7 @@
 """Readers of delivered files and the tables the loads write."""
 
 from starmill.sources.delimited import (
+    delivered_files,
     delivery_name,
     delivery_names,
     period_of_path,
@@ -8,11 +9,16 @@ from starmill.sources.delimited import (
     read_table_export,
     require_columns,
 )
-from starmill.sources.scratch import scratch_folder, written
-from starmill.sources.tables import Tables, empty, read_or_empty
+from starmill.sources.ledger import FileLedger
+from starmill.sources.scratch import clear_scratch, scratch_folder, written, written_apart
+from starmill.sources.tables import BrokenRules, Tables, empty, read_or_empty
 
 __all__ = [
+    "BrokenRules",
+    "FileLedger",
     "Tables",
+    "clear_scratch",
+    "delivered_files",
     "delivery_name",
     "delivery_names",
     "empty",
@@ -23,4 +29,5 @@ __all__ = [
     "require_columns",
     "scratch_folder",
     "written",
+    "written_apart",
 ]

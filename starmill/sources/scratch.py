@@ -6,6 +6,9 @@ import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from starmill.session import two_writers
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -37,3 +40,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_apart(df: DataFrame, flag: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """Write a frame once, its rows apart by a boolean column, and read both parts back.
+
+    Returns the rows where the flag is false, and those where it is true, both without it.
+    Tasks hold a writer for each part, so nothing is sorted for it.
+    """
+    spark = df.sparkSession
+    path = scratch_folder(spark, label)
+    with two_writers(spark):
+        df.write.partitionBy(flag).parquet(path)
+    whole = spark.read.schema(df.schema).parquet(path)
+    return whole.filter(~F.col(flag)).drop(flag), whole.filter(F.col(flag)).drop(flag)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once nothing reads them any more.
+
+    Results that are built lazily still read them, so only the caller knows when that is.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark, "none")).getParent()
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        files.delete(folder, True)

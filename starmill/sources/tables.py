@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
         return empty(spark, schema)
 
 
+class BrokenRules(ValueError):
+    """A new version breaks rules of its table; the version before it stays the newest."""
+
+    def __init__(self, name: str, broken: Mapping[str, int]):
+        self.name, self.broken = name, dict(broken)
+        listed = ", ".join(f"{rule}: {count} rows" for rule, count in self.broken.items())
+        super().__init__(f"{name} is not published; {listed}")
+
+
+Check = Callable[[DataFrame], Mapping[str, int]]
+
+
 class Tables:
     """Tables under one root folder.
 
@@ -83,13 +95,39 @@ class Tables:
             return empty(self.spark, schema)
         return read_or_empty(self.spark, self.path(name), schema)
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        """Full refresh: write the next version; readers move once it is complete."""
+    def replace(self, name: str, df: DataFrame, check: Check | None = None) -> DataFrame:
+        """Full refresh: write the next version, check it, then publish it.
+
+        Readers move to it once it is marked. ``check`` gets the version as it was written and
+        returns the rules that it breaks, with the number of rows: if any, ``BrokenRules`` is
+        raised and the version is never marked, so readers stay with the one before.
+        """
         number = max([n for n, _ in self._versions(name)], default=0) + 1
         path = f"{self.root}/{name}/v{number:06d}"
-        df.write.mode("overwrite").parquet(path)
+        unmarked = df.write.mode("overwrite").option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+        )
+        unmarked.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        broken = check(stored) if check else {}
+        if broken:
+            raise BrokenRules(name, broken)
         self._mark(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return stored
+
+    def clean(self, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` complete versions, and the unfinished ones before
+        the newest. Returns the deleted folders. Frames that still read them fail, so this
+        is a step of its own and not part of a load."""
+        complete = sorted(self._complete(name))[-keep:] if keep > 0 else []
+        if not complete:
+            return []
+        jvm = self.spark._jvm
+        gone = [n for n, _ in self._versions(name) if n not in complete and n < complete[-1]]
+        for number in gone:
+            folder = jvm.org.apache.hadoop.fs.Path(self._folder(name, number))
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return [self._folder(name, number) for number in gone]
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows; the files already there stay untouched."""

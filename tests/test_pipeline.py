@@ -8,14 +8,25 @@ from collections import Counter
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmill.plans import code_lists
 from starmill.plans.mart import calendar_ends, refresh_mart
-from starmill.plans.model import MART, WAREHOUSE, presented, violations
+from starmill.plans.model import (
+    MART,
+    REJECTS,
+    WAREHOUSE,
+    checker,
+    guarded,
+    presented,
+    rule_counts,
+    violations,
+)
 from starmill.plans.warehouse import (
     EVENT_COLUMNS,
     Deliveries,
     build_warehouse,
+    load_arrived_events,
     load_causes,
     load_code_lists,
     load_event_rows,
@@ -24,7 +35,7 @@ from starmill.plans.warehouse import (
     load_places,
     load_population,
 )
-from starmill.sources import Tables
+from starmill.sources import BrokenRules, Tables
 from starmill.streaming import load_new_files
 
 STAMP = datetime(2024, 5, 1, 12, 30)
@@ -399,3 +410,122 @@ def test_calendar_covers_days_outside_its_bounds(spark):
     assert calendar_ends(deaths, *bounds) == (date(2017, 1, 1), date(2025, 12, 31))
     inside = deaths.filter("DT_OBITO IS NULL")
     assert calendar_ends(inside, *bounds) == bounds
+
+
+def test_population_rejects_and_counts(spark, delivered, tmp_path):
+    deliveries, _ = delivered
+    tables = Tables(spark, str(tmp_path / "w"))
+    load_code_lists(tables, STAMP)
+    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
+    path = tmp_path / "estimate_2018.csv"
+    path.write_bytes(type(path)(deliveries.population[0]).read_bytes())
+    report = load_population(tables, str(path), STAMP)
+    counts = {(step, measure): n for step, measure, n in report.rows()}
+    assert counts == {
+        ("population read", "rows"): 4, ("population read", "left_out"): 2,
+        ("population stored", "rows"): 2, ("population rejected", "rows"): 2,
+    }
+
+    def rejects():
+        rows = tables.read("DWRJ_POPULACAO", REJECTS["DWRJ_POPULACAO"]).collect()
+        return sorted((r.MOTIVO, r.LINHA) for r in rows)
+
+    assert rejects() == [("unknown town", "12;40;1.234 (1)"), ("unknown town", "77;1;9")]
+    # The corrected delivery has no unknown town: its rejects go with its rows.
+    write_lines(path, ["COD. UF;COD. MUNIC;POPULAÇÃO ESTIMADA", "12;00013;7"])
+    load_population(tables, str(path), LATER)
+    assert rejects() == []
+
+
+def test_event_rejects_and_counts(spark, delivered, tmp_path):
+    deliveries, events = delivered
+    tables = Tables(spark, str(tmp_path / "w"))
+    load_code_lists(tables, STAMP)
+    load_causes(tables, deliveries.causes, STAMP)
+    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
+    load_occupations(tables, deliveries.occupations, STAMP)
+    path = tmp_path / "deaths_2019.csv"
+    write_events(path, events[2019])
+    with path.open("a", encoding="utf-8") as file:
+        file.write("1;2;3\n" + ";" * 40 + "\n")
+    load = load_events(tables, [str(path)], STAMP)
+    counts = {(step, measure): n for step, measure, n in load.report.rows()}
+    kept = expected_events({2019: events[2019]})
+    empty = sum(1 for r in events[2019] if not r["CIRCOBITO"])
+    assert counts["events read", "rows"] == len(events[2019]) + 2
+    assert counts["events read", "no_circumstance"] == empty
+    assert counts["events read", "surplus_fields"] == counts["events read", "missing_fields"] == 1
+    assert counts["events read", "unread_day"] == sum(
+        1 for r in events[2019] if r["CIRCOBITO"] and r["DTOBITO"] and not day_of(r["DTOBITO"])
+    )
+    assert counts["events rejected", "rows"] == empty + 2
+    assert counts["DWMV_OBITO stored", "rows"] == len(kept)
+    assert counts["DWMV_OBITO stored", "unknown_SK_MUNICIPIO"] == sum(1 for e in kept if e["town"] == -1)
+    assert counts["DWCD_PESSOA added", "rows"] == len({e["person"] for e in kept})
+    stored = tables.read("DWRJ_OBITO", REJECTS["DWRJ_OBITO"]).collect()
+    reasons = Counter(r.MOTIVO for r in stored)
+    assert reasons == {"no circumstance": empty, "surplus fields": 1, "missing fields": 1}
+    assert {r.LINHA for r in stored if r.MOTIVO == "missing fields"} == {"1;2;3"}
+    assert movement_rows(tables) == Counter(tuple(e[f] for f in FIELDS) for e in kept)
+    # Delivered again without a fault: nothing of it is left among the rejects.
+    write_events(path, [r for r in events[2019] if r["CIRCOBITO"]])
+    load_events(tables, [str(path)], LATER)
+    assert tables.read("DWRJ_OBITO", REJECTS["DWRJ_OBITO"]).isEmpty()
+    assert movement_rows(tables) == Counter(tuple(e[f] for f in FIELDS) for e in kept)
+
+
+def test_corrected_event_files_replace_what_they_held(spark, delivered, tmp_path):
+    deliveries, events = delivered
+    folder = tmp_path / "arriving"
+    folder.mkdir()
+    tables = Tables(spark, str(tmp_path / "w"))
+    load_code_lists(tables, STAMP)
+    load_causes(tables, deliveries.causes, STAMP)
+    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
+    load_occupations(tables, deliveries.occupations, STAMP)
+
+    def run():
+        return load_arrived_events(tables, str(folder), STAMP, str(tmp_path / "checkpoint"))
+
+    write_events(folder / "deaths_2019.csv", events[2019])
+    write_events(folder / "deaths_2020.csv", events[2020], reverse=True)
+    assert run() == []
+    write_events(folder / "deaths_2019.csv", events[2019][:60], reverse=True)
+    (folder / "deaths_2020.csv").write_text("")
+    assert sorted(name[-15:] for name in run()) == ["deaths_2019.csv", "deaths_2020.csv"]
+    assert run() == []
+    kept = expected_events({2019: events[2019][:60]})
+    assert movement_rows(tables) == Counter(tuple(e[f] for f in FIELDS) for e in kept)
+
+
+def test_broken_version_is_not_published(spark, built, delivered, tmp_path):
+    tables = Tables(spark, str(tmp_path / "w"))
+    load_code_lists(tables, STAMP)
+    load_places(tables, delivered[0].places, delivered[0].capitals, STAMP)
+    towns = read(tables, "DWCD_MUNICIPIO")
+    before = sorted(map(str, towns.collect()))
+    broken = towns.unionByName(towns.limit(1)).withColumn(
+        "SK_ESTADO", F.when(F.col("CD_MUNICIPIO") == 120040, 77).otherwise(F.col("SK_ESTADO"))
+    ).withColumn("NM_MUNICIPIO", F.nullif("NM_MUNICIPIO", F.lit("São Paulo")))
+    check = checker(WAREHOUSE, "DWCD_MUNICIPIO", lambda name: read(tables, name))
+    with pytest.raises(BrokenRules) as error:
+        tables.replace("DWCD_MUNICIPIO", broken, check)
+    assert error.value.broken == {
+        "missing NM_MUNICIPIO": 1, "reference SK_ESTADO": 1, "key SK_MUNICIPIO": 1,
+    }
+    assert sorted(map(str, read(tables, "DWCD_MUNICIPIO").collect())) == before
+    plan = rule_counts(WAREHOUSE["DWMV_OBITO"], read(built[0], "DWMV_OBITO"), lambda n: read(built[0], n))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("CD_OBITO#") and text.count("Aggregate [count") == 1
+    # The refused version is cleaned away once a sound one follows it.
+    tables.replace("DWCD_MUNICIPIO", towns, check)
+    assert len(tables.clean("DWCD_MUNICIPIO", keep=1)) == 2 and tables.clean("DWCD_MUNICIPIO", 1) == []
+    assert sorted(map(str, read(tables, "DWCD_MUNICIPIO").collect())) == before
+
+
+def test_rows_without_a_required_value_are_not_added(spark, built):
+    movement = read(built[0], "DWMV_OBITO")
+    assert guarded(movement, "DWMV_OBITO").count() == movement.count()
+    lacking = movement.withColumn("SK_PESSOA", F.lit(None).cast("bigint")).limit(1)
+    with pytest.raises(Exception, match="DWMV_OBITO lacks SK_PESSOA"):
+        guarded(lacking, "DWMV_OBITO").collect()
