@@ -48,7 +48,7 @@ SKIPPED = frozenset(
     """.split()
 )
 RAW = frozenset(["script", "style", "textarea", "title"])
-SIDE = frozenset(["aside", "dialog", "footer", "form", "menu", "nav"])
+SIDE = frozenset(["aside", "dialog", "footer", "menu", "nav"])
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 MAIN = frozenset(["article", "main"])
 # Words of class, id and role names that mark boilerplate.
@@ -72,16 +72,10 @@ _SIDE_NAMES = re.compile(
 )
 # Texts of others, also where each of them is an article.
 _OTHERS_NAMES = re.compile(r"comment|disqus|respond|related|recommend", re.IGNORECASE)
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner\w*|breadcrumbs?|byline|comments?|commentlist|consent|"
-    r"cookies?|copyright|disclaimer|disqus|footer|gdpr|legal|masthead|menu\w*|modal|nav\w*|"
-    r"newsletter|notices?|overlay|pagination|popup|promo\w*|recommend\w*|related|respond|share|"
-    r"sharing|sidebar\w*|signup|social|sponsor\w*|subscribe|toolbar|widgets?|complementary|"
-    r"contentinfo|search)(?:$|[\s_-])",
-    re.IGNORECASE,
-)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
-_HIDDEN = re.compile(r"""\bhidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_HIDING = re.compile(r"hidden|display", re.IGNORECASE)
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)"""
@@ -91,15 +85,36 @@ _TOKEN = re.compile(
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def hides(attributes: str) -> bool:
+    """Whether an element's attributes hide it. A name or text that holds 'hidden' is no such
+    attribute."""
+    if not _HIDING.search(attributes):
+        return False
+    for match in _ATTRIBUTE.finditer(attributes):
+        name, value = match[1].lower(), (match[2] or "").strip("\"'")
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
+            return True
+        if name == "style" and _NOT_SHOWN.search(value):
+            return True
+    return False
+
+
 @dataclass
 class Block:
     text: str
     linked: int  # characters within links
     side: bool  # stands in boilerplate
     main: bool  # stands in the page's article
+    form: bool = False  # is boilerplate for a form around it and nothing else
 
     def linking(self) -> bool:
-        return self.linked > MAX_LINK_SHARE * len(self.text)
+        if self.linked <= MAX_LINK_SHARE * len(self.text):
+            return False
+        if not self.main or self.side or len(self.text) < LONG:
+            return True
+        # A sentence of the article stays its text, though it be a link.
+        stops, words = self.stop_words()
+        return stops < STOP_LOW * words
 
     def stop_words(self) -> tuple[int, int]:
         """Number of stop words and of words."""
@@ -127,15 +142,18 @@ class _Reader:
         self.parts: list[str] = []
         self.linked = 0
         # Open elements: name, and how many of the counted roles they open.
-        self.open: list[tuple[str, int, int, int, int]] = []
+        self.open: list[tuple[str, int, int, int, int, int]] = []
         self.named: list[int] = []  # per open element, 1 if a name alone makes it side
-        self.skip = self.side = self.main = self.link = 0
+        self.places: dict[str, list[int]] = {}  # of the open elements of a name
+        self.open_blocks: list[int] = []
+        self.skip = self.side = self.main = self.link = self.form = 0
         self.read(page)
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append(Block(text, self.linked, self.side > 0, self.main > 0))
+            form = self.form > 0 and not self.main and self.side <= 0
+            self.blocks.append(Block(text, self.linked, self.side > 0 or self.form > 0, self.main > 0, form))
         self.parts, self.linked = [], 0
 
     def text(self, raw: str) -> None:
@@ -154,18 +172,22 @@ class _Reader:
             self.parts.append("\n")
         if name in VOID:
             return
-        skip = name in SKIPPED or bool(attributes and _HIDDEN.search(attributes))
+        skip = name in SKIPPED or bool(attributes and hides(attributes))
         side = name in SIDE or (name == "header" and not self.main)
         named = 0
-        if attributes and not side and name not in ("html", "body") and name not in MAIN:
+        if attributes and not side and name not in ("html", "body", "form") and name not in MAIN:
             names = [m[1] or m[2] or m[3] or "" for m in _NAMES.finditer(attributes)]
             side = any(_SIDE_NAMES.search(n) for n in names)
             named = int(side and not any(_OTHERS_NAMES.search(n) for n in names))
         # The page's article is no boilerplate for the names of what surrounds it.
-        lifted = sum(self.named) if name in MAIN and not self.main else 0
-        roles = (int(skip), int(side) - lifted, int(name in MAIN), int(name == "a"))
+        outer = name in MAIN and not self.main
+        lifted, forms = (sum(self.named), self.form) if outer else (0, 0)
         if name == "a" and self.link:
             self.end("a")
+        roles = (int(skip), int(side) - lifted, int(name in MAIN), int(name == "a"), int(name == "form") - forms)
+        self.places.setdefault(name, []).append(len(self.open))
+        if name in BLOCKS:
+            self.open_blocks.append(len(self.open))
         self.open.append((name, *roles))
         self.named.append(named)
         self.count(roles, 1)
@@ -175,6 +197,7 @@ class _Reader:
         self.side += sign * roles[1]
         self.main += sign * roles[2]
         self.link += sign * roles[3]
+        self.form += sign * roles[4]
 
     def close_implied(self, name: str) -> None:
         """A block ends an open paragraph; list items and cells end their like."""
@@ -191,15 +214,18 @@ class _Reader:
     def end(self, name: str) -> None:
         if name in BLOCKS or name == "p":
             self.flush()
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == name), None)
-        if at is None:
+        places = self.places.get(name)
+        if not places:
+            return
+        at = places[-1]
+        # A stray end of inline markup does not end the blocks around it.
+        if name not in BLOCKS and self.open_blocks and self.open_blocks[-1] > at:
             return
-        if name not in BLOCKS:
-            # A stray end of inline markup does not end the blocks around it.
-            if any(o[0] in BLOCKS for o in self.open[at + 1 :]):
-                return
-        for _, *roles in self.open[at:]:
+        for other, *roles in self.open[at:]:
             self.count(tuple(roles), -1)
+            self.places[other].pop()
+        while self.open_blocks and self.open_blocks[-1] >= at:
+            self.open_blocks.pop()
         del self.open[at:]
         del self.named[at:]
 
@@ -237,6 +263,11 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     blocks = _Reader(page).blocks
+    # A form that holds most of the page's prose is how the page was built, not a form to fill in.
+    prose = [(len(b.text), b.form) for b in blocks if b.form or not b.side if len(b.text) >= LONG and not b.linking()]
+    if 2 * sum(n for n, form in prose if form) > sum(n for n, _ in prose):
+        for block in blocks:
+            block.side = block.side and not block.form
     counts = [(0, 0) if block.side or block.linking() else block.stop_words() for block in blocks]
     known = sum(s for s, _ in counts) >= STOP_LOW * sum(w for _, w in counts)
     labels = [block.first_label(known, *count) for block, count in zip(blocks, counts)]
