@@ -133,6 +133,10 @@ def _search(count: int):
             classes, names = index["class"].to_numpy(), queries["class"].to_numpy()
             for q in range(len(asked)):
                 at = np.flatnonzero(met[q])
+                if len(at) < count:
+                    # Too few to choose from: the whole block, so that no query gets fewer
+                    # rows than there are.
+                    at = np.arange(len(vectors))
                 scores = vectors[at] @ asked[q]
                 scores /= np.sqrt((vectors[at] ** 2).sum(axis=1)) * np.sqrt((asked[q] ** 2).sum())
                 best = np.lexsort((classes[at], -scores))[:count]
@@ -157,8 +161,8 @@ def nearest(
     """Per query its ``count`` nearest other rows: query_id, rank, vec_id, score.
 
     ``is_query`` is a condition on ``vec_id``. The score is the cosine in double precision;
-    ties go to the smaller id. Fewer than ``count`` rows come back only when fewer were
-    met. Vectors that are null, zero or hold null or non-finite components take no part,
+    ties go to the smaller id. Where a query meets too few vectors of a block, it is compared
+    with all of that block, so fewer than ``count`` rows come back only when there are fewer. Vectors that are null, zero or hold null or non-finite components take no part,
     nor do rows without an id. Vectors of another dimension are searched among their like.
     Rows with equal vectors form one class, of which the ``count + 1`` smallest ids can
     matter; each class is searched once. Rows of one id and vector count once.
