@@ -219,7 +219,7 @@ def score(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score, predicted, evidence, evidence_votes.
+    """Per row of ``docs``: doc_id, held_out, score, predicted, evidence, evidence_vote.
 
     ``labels`` has ``doc_id`` and ``toxic``; only rows with 0 or 1 for which the column
     ``held_out`` (of ``doc_id``) is false teach. At most 20,000 of them, those of the
@@ -233,13 +233,18 @@ def score(
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    marked = labels.select("doc_id", F.col("toxic").cast("int")).filter("toxic IN (0, 1)")
-    marked = marked.filter(~held_out).dropDuplicates(["doc_id"])
+    rows = docs.select(
+        F.col(f"`{id_column}`").cast("bigint").alias("doc_id"),
+        F.col(f"`{text_column}`").cast("string").alias("text"),
+    )
+    marked = labels.select(F.col("doc_id").cast("bigint"), F.col("toxic").cast("int"))
+    marked = marked.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~held_out)
+    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_EXAMPLES)
     # At most MAX_EXAMPLES ids and labels, hence the broadcast.
     examples = rows.join(F.broadcast(chosen), "doc_id")
-    examples = written(examples, "examples").dropDuplicates(["text", "toxic"])
+    # Of equal texts the smallest id is the evidence, however often this is computed.
+    examples = written(examples, "examples").groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id"))
     terms = _pick_terms(examples)
     vectors = map_arrow(rows, _document_terms(terms), "doc_id bigint, terms array<int>, counts array<int>")
     vectors = written(vectors, "term_vectors")
@@ -289,4 +294,5 @@ def score(
         run,
         "doc_id bigint, score double, predicted int, evidence array<bigint>, evidence_vote double",
     )
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence", "evidence_vote")
+    held = F.coalesce(held_out, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted", "evidence", "evidence_vote")
