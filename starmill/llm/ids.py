@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 BROADCAST_IDS = 1_000_000
 
 
-def join_ids(docs: DataFrame, ids: DataFrame, column: str, how: str) -> DataFrame:
-    """Semi or anti join of ``docs`` to stored ids, by a column of the same name."""
+def join_ids(docs: DataFrame, ids: DataFrame, column: str | list[str], how: str) -> DataFrame:
+    """Semi or anti join of ``docs`` to stored ids, by columns of the same names."""
     if how not in ("left_semi", "left_anti"):
         raise ValueError(f"join type {how!r} would need one row per id")
     small = ids.count() <= BROADCAST_IDS

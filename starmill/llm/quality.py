@@ -114,8 +114,10 @@ def classify(
     path: str = "lang",
     id_column: str = "doc_id",
     text_column: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, host, path, evidence, host_rate, path_rate, score, kept.
+    """Per row of ``docs``: doc_id, host, path, evidence, host_rate, path_rate, score, kept,
+    and the columns ``keep``.
 
     ``labels`` has ``doc_id`` and ``quality``; rows without a 0 or 1 there teach nothing.
     ``score`` is the posterior probability of good quality: the log odds of the path rate
@@ -130,8 +132,10 @@ def classify(
         site(host).alias("host"),
         site(path).alias("path"),
         features(F.col(f"`{text_column}`")).alias("f"),
+        *[F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep)],
     )
-    narrow = written(narrow.select("doc_id", "host", "path", "f.*"), "features")
+    kept = [f"__keep_{i}" for i in range(len(keep))]
+    narrow = written(narrow.select("doc_id", "host", "path", "f.*", *kept), "features")
     marked = labels.select("doc_id", F.col("quality").cast("int")).filter("quality IN (0, 1)")
     labelled = written(narrow.join(marked, "doc_id"), "labelled")
     model = _evidence(labelled)
@@ -162,4 +166,5 @@ def classify(
         path_rate.alias("path_rate"),
         score.alias("score"),
         (score >= THRESHOLD).alias("kept"),
+        *[F.col(name).alias(c) for name, c in zip(kept, keep)],
     )
