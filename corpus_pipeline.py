@@ -13,32 +13,45 @@ from pyspark.sql import functions as F
 from starmill.llm import neardup, packing, quality, rules
 from starmill.llm.ids import join_ids
 from starmill.llm.queries import BYTE_END, BYTE_TOKENIZER, CAPACITY, table, tokenizer_file
+from starmill.operators.numbering import number_rows
 from starmill.sources.scratch import written
 
 
+ROW = ["__row_a", "__row_b"]
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules of texts and hosts, with all their columns."""
-    return _kept(docs, rules.judge(docs))
+    """Documents that pass the rules of texts and hosts, with all their columns.
+
+    Rows without an id, and rows that share one, are judged each on its own.
+    """
+    rows = _with_row(docs)
+    return _kept(rows, rules.judge(rows, keep=tuple(ROW)), ROW).drop(*ROW)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose posterior quality is at least one half, with all their columns."""
-    return _kept(docs, quality.classify(docs, table(spark, sf_dir, "labels")))
+    """Documents whose posterior quality is at least one half, with all their columns.
+
+    Rows without an id, and rows that share one, are judged each on its own.
+    """
+    rows = _with_row(docs)
+    judged = quality.classify(rows, table(spark, sf_dir, "labels"), keep=tuple(ROW))
+    return _kept(rows, judged, ROW).drop(*ROW)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id.
 
-    Of repeated rows of that document one stays, too.
+    Where rows share an id or have none, they are numbered in the order of their ids, those
+    without one last, and the row of the smallest number stays.
     """
-    judged = written(neardup.near_duplicates(docs), "near-duplicates-judged")
-    kept = _kept(docs, judged)
-    counted = judged.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    repeated = written(counted.filter("n > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = join_ids(kept, repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return join_ids(kept, repeated, "doc_id", "left_anti").unionByName(once)
+    ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if ids[0] == ids[1]:
+        return _kept(docs, neardup.near_duplicates(docs), ["doc_id"])
+    rows = _with_row(docs).withColumn("__none", F.col("doc_id").isNull())
+    numbered = written(number_rows(rows, ["__none", "doc_id", *ROW], "__number"), "numbered")
+    judged = neardup.near_duplicates(numbered, id_column="__number").withColumnRenamed("doc_id", "__number")
+    return _kept(numbered, judged, ["__number"]).drop("__none", "__number", *ROW)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +67,18 @@ STAGES = [
 ]
 
 
-def _kept(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The documents that a stage rejects, by id, leave; all others stay."""
-    rejected = written(judged.filter(~F.col("kept")).select("doc_id").distinct(), "rejected")
-    return join_ids(docs, rejected, "doc_id", "left_anti").select(*docs.columns)
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Documents with a 128-bit key of all that a judgement reads; equal rows share it."""
+    read = [F.col(c).cast("string") for c in ("doc_id", "text", "source", "lang")]
+    parts = [x for c in read for x in (c.isNull(), c)]
+    keys = [F.xxhash64(*parts).alias(ROW[0]), F.xxhash64(F.lit(7), *parts).alias(ROW[1])]
+    return docs.select("*", *keys)
+
+
+def _kept(docs: DataFrame, judged: DataFrame, key: list[str]) -> DataFrame:
+    """The documents that a stage rejects, by key, leave; all others stay."""
+    rejected = written(judged.filter(~F.col("kept")).select(*key).distinct(), "rejected")
+    return join_ids(docs, rejected, key, "left_anti").select(*docs.columns)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +89,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# Best-fit packing has a state that SQL cannot express; tests/llm compares run() with a
-# plain Python version.
+# Best-fit packing has a state that SQL cannot express.
 ORACLE_SQL = None
