@@ -318,7 +318,7 @@ def event_persons(spark, folder):
     """New persons of the event load, with their six resolved keys."""
     read = stand_in_warehouse(spark, folder)
     unseen = unseen_persons(_staged(spark, folder), read)
-    return person_rows(unseen, read, STAMP).drop("DT_CARGA")
+    return person_rows(unseen, read, STAMP).drop("DT_CARGA", "CD_CONFERE")
 
 
 @query(

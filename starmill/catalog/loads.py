@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from starmill.catalog import facts
 from starmill.catalog.registry import query, table
+from starmill.operators.checks import key_collisions
+from starmill.operators.dimensions import unseen_members, without_strangers
 from starmill.operators.lookups import join_large
 from starmill.plans.mart import calendar_ends, cause_table, day_table, person_table, place_table
 from starmill.plans.model import REJECTS, WAREHOUSE, Table, checker, rule_counts
@@ -88,7 +90,7 @@ def person_dimension(spark, folder):
         for name in ("SEXO", "RACACOR", "ESTCIV", "OCUP", "ESCFAL")
     }
     flat = person_table(facts.load(spark, folder).persons, domains)
-    return flat.drop("DT_CARGA", *[f"SK_{name}" for name in domains])
+    return flat.drop("DT_CARGA", "CD_CONFERE", *[f"SK_{name}" for name in domains])
 
 
 @query(
@@ -316,3 +318,48 @@ def refused_version(spark, folder):
     else:
         raise AssertionError("a version that breaks its rules was published")
     return tables.read("lines", "l_orderkey bigint, l_linenumber int, l_partkey bigint, flag string")
+
+
+@query(
+    "person_collisions",
+    """
+    WITH stored AS (
+      SELECT c_custkey % 97 AS code, arg_min(c_mktsegment, c_custkey) AS segment,
+             CAST(arg_min(c_nationkey, c_custkey) AS INTEGER) AS nation
+      FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1)
+    SELECT c_custkey AS member, c_custkey % 97 AS code, c_mktsegment AS segment,
+           CAST(c_nationkey AS INTEGER) AS nation
+    FROM customer JOIN stored ON code = c_custkey % 97
+    WHERE c_custkey % 2 = 1 AND (segment <> c_mktsegment OR nation <> c_nationkey)
+    """,
+)
+def person_collisions(spark, folder):
+    """Delivered members whose (here much too short) hash key is stored for another member."""
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("member"),
+        (F.col("c_custkey") % 97).alias("code"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").cast("int").alias("nation"),
+    )
+    attributes = ["segment", "nation"]
+    first = F.min_by(F.struct(*attributes), "member").alias("first")
+    stored = customers.filter("member % 2 = 0").groupBy("code").agg(first).select("code", "first.*")
+    return key_collisions(customers.filter("member % 2 = 1"), stored, "code", attributes)
+
+
+@query(
+    "unseen_without_shuffle",
+    """
+    SELECT o_custkey AS code, count(*) AS n_orders FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING') GROUP BY 1
+    """,
+)
+def unseen_without_shuffle(spark, folder):
+    """Codes of a delivery that a large stored table lacks: a filter of the delivery's key hashes
+    leaves most stored rows where they are, before the anti-join."""
+    delivered = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("code")).agg(
+        F.count("*").alias("n_orders")
+    )
+    stored = table(spark, folder, "customer").filter("c_mktsegment <> 'BUILDING'")
+    members, known = without_strangers(delivered, stored.select(F.col("c_custkey").alias("code")), "code")
+    return unseen_members(members, known, "code")

@@ -24,6 +24,21 @@ def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Data
     return counts.join(parents, F.col(key) == F.col("__parent"), "left_anti")
 
 
+def key_collisions(
+    members: DataFrame, stored: DataFrame, key: str, attributes: Sequence[str]
+) -> DataFrame:
+    """Members whose key is stored for other attributes: two members under one hash key.
+
+    Both sides are compared by a hash of the attributes that is independent of the key, so
+    one number a row joins. Missing attributes agree with each other only.
+    """
+    parts = [x for c in attributes for x in (F.col(c).isNull(), F.col(c))]
+    own = members.withColumn("__own", F.xxhash64(*parts))
+    other = stored.select(F.col(key).alias("__key"), F.xxhash64(*parts).alias("__other")).distinct()
+    joined = own.join(other, (F.col(key) == F.col("__key")) & (F.col("__own") != F.col("__other")), "left_semi")
+    return joined.select(*members.columns)
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing values per column, counted in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -11,7 +11,8 @@ from pyspark.sql.types import StructType
 
 from starmill.functions.dates import day_parts
 from starmill.functions.values import UNKNOWN_KEY, UNKNOWN_LABEL
-from starmill.operators.lookups import Lookup, join_large, members_flag, resolve
+from starmill.operators.filters import filter_bits, key_filter, may_be_in
+from starmill.operators.lookups import Lookup, fits_broadcast, join_large, members_flag, resolve
 from starmill.operators.numbering import last_key, number_rows
 from starmill.sources.scratch import written
 
@@ -138,20 +139,51 @@ def new_members(
     key: str,
     after: int | None = None,
     alike: bool = False,
+    fingerprint: str | None = None,
 ) -> DataFrame:
     """Members of a delivery that the dimension lacks, keyed after its last key.
 
     ``source`` may hold millions of rows per member: they combine per task first.
     ``after`` gives the last key where the caller knows it without a scan. With ``alike``,
-    rows of one code that differ fail the job.
+    rows of one code that differ fail the job. ``fingerprint`` names a column of both sides, a
+    second hash of what the code is a hash of: a member that is stored under its code with
+    another fingerprint fails the job, as the code would stand for two members.
     """
     # The aggregate leaves the members partitioned and sorted by code, as the anti-join
     # needs them, so only the existing codes are shuffled for it.
     members = one_row_per_key(source.filter(F.col(code).isNotNull()), code, alike)
-    unseen = members.join(existing.select(code), code, "left_anti")
+    known = existing.select(code, *([fingerprint] if fingerprint else []))
+    if not fits_broadcast(known):
+        members, known = without_strangers(members, known, code)
+    unseen = unseen_members(members, known, code, fingerprint)
     return number_rows(unseen, [code], key, last_key(existing, key) if after is None else after)
 
 
+def without_strangers(members: DataFrame, known: DataFrame, code: str) -> tuple[DataFrame, DataFrame]:
+    """A delivery's members, written once, and those stored members that may be among them.
+
+    A stored table of any size is then read but not shuffled: what crosses the network is
+    the delivery's members and about as many stored ones.
+    """
+    members = written(members, "members")
+    bits = filter_bits(members.count())
+    return members, may_be_in(known, code, key_filter(members, code, bits), bits)
+
+
+def unseen_members(
+    members: DataFrame, known: DataFrame, code: str, fingerprint: str | None = None
+) -> DataFrame:
+    """Members whose code is not known; of a known code, the fingerprint must agree."""
+    if fingerprint is None:
+        return members.join(known.select(code), code, "left_anti")
+    stored = known.select(F.col(code).alias("__code"), F.col(fingerprint).alias("__stored"))
+    joined = members.join(stored, F.col(code) == F.col("__code"), "left")
+    stop = F.raise_error(F.concat(F.lit(f"two members under one {code}: "), F.col(code).cast("string")))
+    collides = F.col("__code").isNotNull() & (F.col("__stored") != F.col(fingerprint))
+    unseen = F.when(collides, stop.cast("boolean")).otherwise(F.col("__code").isNull())
+    return joined.filter(unseen).select(*members.columns)
+
+
 @dataclass(frozen=True)
 class Level:
     """One level of a hierarchy, listed top first.

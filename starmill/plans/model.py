@@ -73,7 +73,7 @@ WAREHOUSE = {
     "DWCD_PESSOA": Table(
         "SK_PESSOA bigint, CD_PESSOA string, SK_SEXO bigint, SK_RACACOR bigint,"
         " SK_ESCFAL bigint, SK_ESTCIV bigint, SK_MUNICIPIO bigint, SK_OCUP bigint,"
-        " DT_NASC date, DT_CARGA timestamp",
+        " DT_NASC date, CD_CONFERE bigint, DT_CARGA timestamp",
         ("SK_PESSOA",),
         {
             f"SK_{name}": (f"DWCD_{name}", f"SK_{name}")
@@ -150,8 +150,9 @@ REJECTS = {
     "DWRJ_POPULACAO": "MOTIVO string, LINHA string, DT_CARGA timestamp, ENTREGA string",
 }
 
-# Columns where null is a value: an unknown day is null until it is presented.
-_MAY_BE_NULL = {"DT_NASC", "DT_OBITO", "DATA", "DIA", "MES", "ANO"}
+# Columns where null is a value: an unknown day is null until it is presented, and the
+# unknown person has no fingerprint.
+_MAY_BE_NULL = {"DT_NASC", "DT_OBITO", "DATA", "DIA", "MES", "ANO", "CD_CONFERE"}
 
 
 def presented(df: DataFrame) -> DataFrame:

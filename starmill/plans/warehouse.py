@@ -398,13 +398,18 @@ def _code_key(read: Reader, name: str, source: str) -> Lookup:
 def unseen_persons(events: DataFrame, read: Reader, after: int | None = None) -> DataFrame:
     """Numbered persons of the events that the warehouse lacks.
 
-    Two persons under one hash key fail the job. The text ``-1`` and a missing value are
-    one value to the key, so they are one here.
+    Two persons under one hash key fail the job, be they of this delivery or one of them
+    stored: ``CD_CONFERE`` is a second hash of their attributes. The text ``-1`` and a missing
+    value are one value to the key, so they are one here.
     """
     attributes = ["SEXO", "RACACOR", "ESCFALAGR1", "ESTCIV", "OCUP", "CODMUNNATU", "birth_text"]
     unknown = F.lit(str(UNKNOWN_KEY))
     persons = events.select("CD_PESSOA", *[F.nullif(F.col(c), unknown).alias(c) for c in attributes])
-    return new_members(read("DWCD_PESSOA"), persons, "CD_PESSOA", "SK_PESSOA", after, alike=True)
+    parts = [F.coalesce(F.col(c), unknown) for c in attributes]
+    persons = persons.withColumn("CD_CONFERE", F.xxhash64(*parts))
+    return new_members(
+        read("DWCD_PESSOA"), persons, "CD_PESSOA", "SK_PESSOA", after, alike=True, fingerprint="CD_CONFERE"
+    )
 
 
 def person_rows(unseen: DataFrame, read: Reader, stamp: datetime) -> DataFrame:
