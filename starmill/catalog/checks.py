@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from starmill.catalog.registry import query, table
 from starmill.operators.checks import (
+    first_rows,
     key_violations,
     load_report,
     null_counts,
@@ -75,6 +76,25 @@ def top_keys(spark, folder):
     return top_by_key(orders, "o_orderkey")
 
 
+@query(
+    "preview",
+    """
+    SELECT count(*) AS n_rows, count(*) AS n_known, count(DISTINCT o_orderkey) AS n_keys
+    FROM (SELECT o_orderkey FROM orders LIMIT 5)
+    """,
+)
+def preview(spark, folder):
+    """A look at a table: which rows it shows is open, so it is counted that they are its own."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    shown = first_rows(orders, 5).groupBy("o_orderkey", "o_custkey").agg(F.count("*").alias("n"))
+    known = shown.join(orders.withColumn("known", F.lit(1)), ["o_orderkey", "o_custkey"], "left")
+    return known.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("known").cast("bigint").alias("n_known"),
+        F.count_distinct("o_orderkey").alias("n_keys"),
+    )
+
+
 @query(
     "load_report",
     """

@@ -29,6 +29,7 @@ from starmill.plans.warehouse import (
     unseen_persons,
 )
 from starmill.sources import empty, written
+from starmill.sources.tables import dealt_evenly
 
 STAMP = datetime(2024, 5, 1, 12, 30)
 
@@ -78,7 +79,7 @@ EVENTS_SQL = """
 
 def event_source(spark, folder):
     """Lines as a delivered event file: all text, lost zeros, blanks, mixed codes."""
-    lines = table(spark, folder, "lineitem")
+    lines = dealt_evenly(table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber")
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
     )

@@ -12,7 +12,15 @@ from starmill.catalog.registry import query, table
 from starmill.operators.checks import key_collisions
 from starmill.operators.dimensions import unseen_members, without_strangers
 from starmill.operators.lookups import join_large
-from starmill.plans.mart import calendar_ends, cause_table, day_table, person_table, place_table
+from starmill.plans.mart import (
+    calendar_ends,
+    cause_table,
+    day_table,
+    person_table,
+    place_table,
+    refresh_deaths_of,
+    year_table,
+)
 from starmill.plans.model import REJECTS, WAREHOUSE, Table, checker, rule_counts
 from starmill.plans.warehouse import POPULATION_COLUMNS, load_event_rows, load_population
 from starmill.sources import BrokenRules, Tables, scratch_folder, written
@@ -363,3 +371,52 @@ def unseen_without_shuffle(spark, folder):
     stored = table(spark, folder, "customer").filter("c_mktsegment <> 'BUILDING'")
     members, known = without_strangers(delivered, stored.select(F.col("c_custkey").alias("code")), "code")
     return unseen_members(members, known, "code")
+
+
+@query(
+    "refresh_by_delivery",
+    """
+    WITH people AS (
+      SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_linenumber AS BIGINT) AS place,
+             count(*) * 1000 AS people
+      FROM lineitem WHERE year(l_shipdate) <> 1997 GROUP BY ALL),
+    years AS (SELECT year, row_number() OVER (ORDER BY year) AS sk FROM (SELECT DISTINCT year FROM people)),
+    deaths AS (
+      SELECT year(l_shipdate) AS year, CAST(l_linenumber AS BIGINT) AS place, count(*) AS n
+      FROM lineitem
+      WHERE (year(l_shipdate) <> 1996 OR l_returnflag = 'R') AND l_linestatus = 'F'
+        AND year(l_shipdate) <> 1998
+      GROUP BY ALL)
+    SELECT sk AS SK_TEMPO, place AS SK_LOCAL, CAST(people AS BIGINT) AS QTD_POPULACAO, coalesce(n, 0) AS QTD_MORTES
+    FROM people JOIN years USING (year) LEFT JOIN deaths USING (year, place)
+    """,
+)
+def refresh_by_delivery(spark, folder):
+    """Lines as deaths, a delivery per year. One delivery is corrected and one emptied; the
+    counts are refreshed from these two deliveries and the stored totals of the others."""
+    warehouse, mart = (Tables(spark, scratch_folder(spark, n)) for n in ("warehouse", "mart"))
+    year = F.year("l_shipdate")
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_linenumber").cast("bigint").alias("SK_MUNICIPIO"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_shipdate").cast("date")).alias("DT_OBITO"),
+        F.concat(F.lit("/in/lines_"), year, F.lit(".csv")).alias("ENTREGA"),
+        "l_returnflag",
+        year.alias("ANO"),
+    )
+    population = lines.filter("ANO <> 1997").groupBy("SK_MUNICIPIO", "ANO").agg(
+        (F.count("*") * 1000).alias("QTD_POPULACAO")
+    )
+    warehouse.replace_deliveries(
+        "DWMV_POPULACAO", population.withColumn("ENTREGA", F.lit("/in/all")), "ENTREGA"
+    )
+    years = year_table(population).withColumn("DT_CARGA", F.lit(facts.STAMP))
+    mart.replace("DIME_TEMPO_ANO", years)
+    mart.replace("DIME_LOCAL", population.select(F.col("SK_MUNICIPIO").alias("SK_LOCAL")).distinct())
+    deaths = lines.drop("l_returnflag", "ANO")
+    warehouse.replace_deliveries("DWMV_OBITO", deaths, "ENTREGA")
+    every = [f"/in/lines_{y}.csv" for y in range(1990, 2010)]
+    refresh_deaths_of(warehouse, mart, every, facts.STAMP)
+    corrected = lines.filter("ANO = 1996 AND l_returnflag = 'R'").select(*deaths.columns)
+    changed = ["/in/lines_1996.csv", "/in/lines_1998.csv"]
+    warehouse.replace_deliveries("DWMV_OBITO", corrected, "ENTREGA", changed[1:])
+    return refresh_deaths_of(warehouse, mart, changed, facts.STAMP).drop("DT_CARGA")

@@ -9,6 +9,7 @@ from starmill.functions import locale_number, strip_footnote, whole_number
 from starmill.sources import (
     FileLedger,
     Tables,
+    absent_columns,
     period_of_path,
     read_delimited,
     read_table_export,
@@ -329,3 +330,27 @@ def stream_corrected_file(spark, folder):
         raise AssertionError(f"read again: {changed}")
     stored = tables.read("events", "event_id bigint, event_type string, delivery string")
     return stored.withColumn("delivery", F.regexp_extract("delivery", "[^/]*$", 0))
+
+
+@query(
+    "required_columns",
+    """
+    SELECT DISTINCT 'orders_' || year(o_orderdate) || '.csv' AS file,
+           unnest(CASE WHEN year(o_orderdate) % 3 = 0 THEN ['status', 'priority']
+                       WHEN year(o_orderdate) % 3 = 1 THEN ['status'] ELSE [] END) AS column_name
+    FROM orders
+    """,
+)
+def required_columns(spark, folder):
+    """Columns that the header of each yearly file lacks; reading such a file would stop."""
+    path = scratch_folder(spark, "delivered")
+    orders = table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    orders = orders.withColumn("file", F.concat(F.lit("orders_"), "year", F.lit(".csv")))
+    code, priority = F.col("o_orderkey").cast("string"), F.col("o_orderpriority")
+    headers = {0: "code", 1: "priority;code", 2: "code;status;priority"}
+    values = {0: [code], 1: [priority, code], 2: [code, F.col("o_orderstatus"), priority]}
+    for kind, header in headers.items():
+        rows = orders.filter(F.col("year") % 3 == kind)
+        _deliver(spark, _file_of(rows, header, F.concat_ws(";", *values[kind]), "file"), "file", path)
+    lacking = absent_columns(spark, path, ["code", "status", "priority"])
+    return lacking.select(F.regexp_extract(SOURCE_PATH, "[^/]*$", 0).alias("file"), "column_name")

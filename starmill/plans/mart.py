@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,13 @@ from starmill.operators.dimensions import (
 from starmill.operators.facts import count_events, event_fact, snapshot_with_counts
 from starmill.operators.numbering import with_unknown
 from starmill.plans.model import MART, WAREHOUSE, checker
-from starmill.sources import Tables
+from starmill.sources import Tables, written
 from starmill.sources.tables import stamped
 
+# Deaths per delivery, year and place, kept beside the mart.
+PARTIALS, PARTIALS_COLUMNS = "PARC_MORTES", "ANO int, SK_LOCAL bigint, QTD_MORTES bigint, ENTREGA string"
+DELIVERY = "ENTREGA"
+
 # The days the calendar covers.
 FIRST_DAY = date(2018, 1, 1)
 LAST_DAY = date(2024, 12, 31)
@@ -98,21 +103,46 @@ def day_table(
     )
 
 
-def population_fact(population: DataFrame, deaths: DataFrame, years: DataFrame) -> DataFrame:
-    base = population.select(
-        F.col("ANO").alias("year"), F.col("SK_MUNICIPIO").alias("SK_LOCAL"), "QTD_POPULACAO"
+def death_partials(deaths: DataFrame) -> DataFrame:
+    """Deaths per delivery, year and place: totals that add up over deliveries. Deaths on an
+    unknown day have no year and no part."""
+    return (
+        deaths.select(
+            F.year("DT_OBITO").alias("ANO"), F.col("SK_MUNICIPIO").alias("SK_LOCAL"), DELIVERY
+        )
+        .filter("ANO IS NOT NULL")
+        .groupBy("ANO", "SK_LOCAL", DELIVERY)
+        .agg(F.count("*").alias("QTD_MORTES"))
+        .select(*[c.split()[0] for c in PARTIALS_COLUMNS.split(", ")])
     )
+
+
+def population_fact(population: DataFrame, deaths: DataFrame, years: DataFrame) -> DataFrame:
     counts = count_events(
         deaths.withColumnRenamed("SK_MUNICIPIO", "SK_LOCAL"),
         F.year("DT_OBITO"),
         "SK_LOCAL",
         "QTD_MORTES",
     )
-    return snapshot_with_counts(
-        base, counts, years.withColumnRenamed("ANO", "year").withColumnRenamed(
-            "SK_TEMPO_ANO", "SK_TEMPO"
-        ), "SK_TEMPO", "SK_LOCAL", "QTD_MORTES",
+    return _population_fact(population, counts, years)
+
+
+def population_fact_of_partials(
+    population: DataFrame, partials: DataFrame, years: DataFrame
+) -> DataFrame:
+    """The same fact out of stored partial totals; no event is read."""
+    counts = partials.groupBy(F.col("ANO").alias("year"), "SK_LOCAL").agg(
+        F.sum("QTD_MORTES").alias("QTD_MORTES")
+    )
+    return _population_fact(population, counts, years)
+
+
+def _population_fact(population: DataFrame, counts: DataFrame, years: DataFrame) -> DataFrame:
+    base = population.select(
+        F.col("ANO").alias("year"), F.col("SK_MUNICIPIO").alias("SK_LOCAL"), "QTD_POPULACAO"
     )
+    keyed = years.withColumnsRenamed({"ANO": "year", "SK_TEMPO_ANO": "SK_TEMPO"})
+    return snapshot_with_counts(base, counts, keyed, "SK_TEMPO", "SK_LOCAL", "QTD_MORTES")
 
 
 def death_fact(deaths: DataFrame, persons: DataFrame, days: DataFrame) -> DataFrame:
@@ -135,6 +165,42 @@ def death_fact(deaths: DataFrame, persons: DataFrame, days: DataFrame) -> DataFr
     return fact
 
 
+def _publish(mart: Tables, name: str, df: DataFrame, stamp: datetime) -> DataFrame:
+    columns = [c.split()[0] for c in MART[name].columns.split(", ")]
+    check = checker(MART, name, lambda parent: mart.read(parent, MART[parent].columns))
+    return mart.replace(name, stamped(df, stamp).select(*columns), check)
+
+
+def _store_partials(mart: Tables, deaths: DataFrame, deliveries: Sequence[str] | None) -> DataFrame:
+    """Partial totals of some deliveries, or of all; those of deliveries without deaths go."""
+    partials = written(death_partials(deaths), "partials")
+    left = {r[0] for r in partials.select(DELIVERY).distinct().collect()}  # one row per file
+    stored = mart.read(PARTIALS, PARTIALS_COLUMNS)
+    if deliveries is None:
+        deliveries = [r[0] for r in stored.select(DELIVERY).distinct().collect()]
+    mart.replace_deliveries(PARTIALS, partials, DELIVERY, set(deliveries) - left)
+    return mart.read(PARTIALS, PARTIALS_COLUMNS)
+
+
+def refresh_deaths_of(
+    warehouse: Tables, mart: Tables, deliveries: Sequence[str], stamp: datetime
+) -> DataFrame:
+    """Refresh the death counts of the population fact after deliveries were loaded again.
+
+    Only the events of these deliveries are read, by their partitions; the others are in the
+    stored partial totals. The totals are replaced first, and the fact is made from all of
+    them, so a run that failed in between is simply repeated. Equals a full refresh of the
+    fact as long as years and places are those of the mart.
+    """
+    deaths = warehouse.read("DWMV_OBITO", WAREHOUSE["DWMV_OBITO"].columns)
+    changed = deaths.filter(F.col(DELIVERY).isin(list(deliveries)))
+    partials = _store_partials(mart, changed, deliveries)
+    population = warehouse.read("DWMV_POPULACAO", WAREHOUSE["DWMV_POPULACAO"].columns)
+    years = mart.read("DIME_TEMPO_ANO", MART["DIME_TEMPO_ANO"].columns).drop("DT_CARGA")
+    fact = population_fact_of_partials(population, partials, years)
+    return _publish(mart, "FATO_POPULACAO", fact, stamp)
+
+
 def refresh_mart(
     warehouse: Tables,
     root: str,
@@ -156,9 +222,7 @@ def refresh_mart(
         return warehouse.read(name, WAREHOUSE[name].columns)
 
     def publish(name: str, df: DataFrame) -> DataFrame:
-        columns = [c.split()[0] for c in MART[name].columns.split(", ")]
-        check = checker(MART, name, lambda parent: mart.read(parent, MART[parent].columns))
-        return mart.replace(name, stamped(df, stamp).select(*columns), check)
+        return _publish(mart, name, df, stamp)
 
     population, deaths = source("DWMV_POPULACAO"), source("DWMV_OBITO")
     years = publish("DIME_TEMPO_ANO", year_table(population))
@@ -174,6 +238,7 @@ def refresh_mart(
     unknown_day = {"ST_FERIADO": False, "DT_CARGA": UNKNOWN_STAMP}
     listed = day_table(spark, holidays, *calendar_ends(deaths, first_day, last_day))
     days = publish("DIME_TEMPO_DIA", with_unknown(listed, "SK_TEMPO_DIA", unknown_day))
-    publish("FATO_POPULACAO", population_fact(population, deaths, years))
+    partials = _store_partials(mart, deaths, None)
+    publish("FATO_POPULACAO", population_fact_of_partials(population, partials, years))
     publish("FATO_OBITO", death_fact(deaths, source("DWCD_PESSOA"), days))
     return mart

@@ -1,6 +1,7 @@
 """Readers of delivered files and the tables the loads write."""
 
 from starmill.sources.delimited import (
+    absent_columns,
     delivered_files,
     delivery_name,
     delivery_names,
@@ -17,6 +18,7 @@ __all__ = [
     "BrokenRules",
     "FileLedger",
     "Tables",
+    "absent_columns",
     "clear_scratch",
     "delivered_files",
     "delivery_name",

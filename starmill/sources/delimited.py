@@ -209,6 +209,22 @@ def parse_lines(
     )
 
 
+def absent_columns(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Iterable[str],
+    *,
+    sep: str = ";",
+    encoding: str = "UTF-8",
+) -> DataFrame:
+    """(source_path, column_name): columns that a file's header lacks, for all files at once."""
+    lines = read_lines(spark.read, [paths] if isinstance(paths, str) else list(paths), encoding)
+    wanted = F.array(*[F.lit(c) for c in columns])
+    return _headers(lines, sep).select(
+        SOURCE_PATH, F.explode(F.array_except(wanted, _NAMES)).alias("column_name")
+    )
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],

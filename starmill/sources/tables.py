@@ -18,6 +18,16 @@ def empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
+def dealt_evenly(scan: DataFrame, *by: str) -> DataFrame:
+    """A plain scan whose rows are dealt by columns over the session's shuffle partitions where
+    it has fewer splits than that, as one row group cannot be split. For work per row that is
+    dear beside a shuffle; a scan with splits enough stays as it is."""
+    wanted = int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if scan._jdf.rdd().getNumPartitions() >= wanted:
+        return scan
+    return scan.repartition(wanted, *by)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Stored table, or no rows when it was never written."""
     try:

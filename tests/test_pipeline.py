@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.plans import code_lists
-from starmill.plans.mart import calendar_ends, refresh_mart
+from starmill.plans.mart import calendar_ends, refresh_deaths_of, refresh_mart
 from starmill.plans.model import (
     MART,
     REJECTS,
@@ -529,3 +529,21 @@ def test_rows_without_a_required_value_are_not_added(spark, built):
     lacking = movement.withColumn("SK_PESSOA", F.lit(None).cast("bigint")).limit(1)
     with pytest.raises(Exception, match="DWMV_OBITO lacks SK_PESSOA"):
         guarded(lacking, "DWMV_OBITO").collect()
+
+
+def test_refresh_of_a_delivery_equals_a_full_refresh(spark, delivered, tmp_path):
+    deliveries, events = delivered
+    path = tmp_path / "deaths_2019.csv"
+    write_events(path, events[2019])
+    first = Deliveries(**{**vars(deliveries), "events": [str(path), deliveries.events[1]]})
+    warehouse = build_warehouse(spark, str(tmp_path / "w"), first, STAMP)
+    holidays = spark.sql("SELECT explode(array(DATE '2020-01-01')) AS day")
+    mart = refresh_mart(warehouse, str(tmp_path / "m"), holidays, STAMP)
+    write_events(path, events[2019][:40])
+    load_events(warehouse, [str(path)], LATER)
+    refreshed = refresh_deaths_of(warehouse, mart, [str(path)], LATER).drop("DT_CARGA")
+    full = refresh_mart(warehouse, str(tmp_path / "full"), holidays, LATER)
+    expected = sorted(map(str, read(full, "FATO_POPULACAO").drop("DT_CARGA").collect()))
+    assert sorted(map(str, refreshed.collect())) == expected
+    counted = expected_events({2019: events[2019][:40], 2020: events[2020]})
+    assert sum(r.QTD_MORTES for r in refreshed.collect()) < len(counted)
