@@ -83,12 +83,27 @@ def _term_counts(sentences: DataFrame, key: str) -> DataFrame:
     """(key, word, tf) of sentences; a sentence's words are counted within its row."""
 
     def counted(words: Column) -> Column:
-        return F.transform(
-            F.array_distinct(words),
-            lambda w: F.struct(
-                w.alias("word"), F.size(F.filter(words, lambda x: x == w)).alias("tf")
-            ),
-        )
+        # Words in order, so that a word's count is the stretch to where the next begins.
+        def runs(at: Column, ordered: Column) -> Column:
+            return F.transform(
+                at,
+                lambda i, n: F.struct(
+                    F.get(ordered, i).alias("word"),
+                    (F.coalesce(F.get(at, n + 1), F.size(ordered)) - i).alias("tf"),
+                ),
+            )
+
+        def starts(ordered: Column) -> Column:
+            first = F.filter(
+                F.transform(
+                    ordered,
+                    lambda w, i: F.when((i == 0) | (w != F.get(ordered, i - 1)), i),
+                ),
+                lambda i: i.isNotNull(),
+            )
+            return bind(first, lambda at: runs(at, ordered))
+
+        return bind(F.array_sort(words), starts)
 
     return sentences.select(key, F.inline(bind(licence_words(F.col("sentence")), counted)))
 
@@ -101,11 +116,11 @@ def match_sentences(sentences: DataFrame, how_often: str = "n") -> DataFrame:
     """
     spark = sentences.sparkSession
     templates = _templates(spark)
-    named = sentences.select(F.col("sentence"), F.col(how_often).alias("n"))
-    terms = _term_counts(named.select(F.col("sentence").alias("key"), "sentence"), "key")
-    terms = written(terms.withColumnRenamed("key", "sentence"), "licence_terms")
+    # A sentence may be very long, so its words carry a number of 128 bits instead of it.
+    named = sentences.select(F.md5("sentence").alias("id"), "sentence", F.col(how_often).alias("n"))
+    terms = written(_term_counts(named.select("id", "sentence"), "id"), "licence_terms")
     of_templates = _term_counts(templates, "template")
-    seen = terms.join(named, "sentence").select("word", "n").unionByName(
+    seen = terms.join(named.select("id", "n"), "id").select("word", "n").unionByName(
         of_templates.select("word", F.lit(1).cast("bigint").alias("n"))
     )
     frequency = seen.groupBy("word").agg(F.sum("n").alias("df"))
@@ -115,22 +130,22 @@ def match_sentences(sentences: DataFrame, how_often: str = "n") -> DataFrame:
     )
     idf = written(idf, "licence_idf")
     weight = (1 + F.log("tf")) * F.col("idf")
-    weighed = written(terms.join(idf, "word").select("sentence", "word", weight.alias("w")), "licence_weights")
+    weighed = written(terms.join(idf, "word").select("id", "word", weight.alias("w")), "licence_weights")
     rows = of_templates.join(idf, "word").select("template", "word", weight.alias("v"))
     lengths = rows.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("length"))
     # As many rows as the templates have words.
     rows = F.broadcast(rows.join(lengths, "template").join(templates.select("template", "licence"), "template"))
     dots = (
         weighed.join(rows, "word")
-        .groupBy("sentence", "template", "licence", "length")
+        .groupBy("id", "template", "licence", "length")
         .agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
     )
-    norms = weighed.groupBy("sentence").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    scored = dots.join(norms, "sentence").select(
-        "sentence", "licence", (F.col("dot") / (F.col("norm") * F.col("length"))).alias("score")
+    norms = weighed.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    scored = dots.join(norms, "id").select(
+        "id", "licence", (F.col("dot") / (F.col("norm") * F.col("length"))).alias("score")
     )
-    best = scored.groupBy("sentence").agg(F.max(F.struct("score", "licence")).alias("best"))
-    return best.select("sentence", "best.licence", "best.score")
+    best = scored.groupBy("id").agg(F.max(F.struct("score", "licence")).alias("best"))
+    return best.join(named.select("id", "sentence"), "id").select("sentence", "best.licence", "best.score")
 
 
 def _licence_texts(spark: SparkSession) -> DataFrame:

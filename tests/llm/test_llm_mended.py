@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starmill.llm import neighbours, quality, toxicity
+from starmill.llm import licences, neighbours, quality, toxicity
 from starmill.llm.html_text import hides, main_text
 
 PROSE = "The quick brown fox was in the garden and it is that which for on are as with the people of the town."
@@ -109,3 +109,24 @@ def test_pipeline_stages_judge_rows_without_own_ids(spark):
     kept = sorted((r["doc_id"] or 0, r["text"]) for r in once.collect())
     assert kept == sorted([(1, good[0]), (0, good[1]), (2, good[2]), (5, good[3]), (5, good[4])])
     assert once.columns == docs.columns
+
+
+def test_licence_words_are_counted(spark):
+    sentences = ["b a b a c", "one", "", "Licence licence LICENCE v1.0 v1.0"]
+    df = spark.createDataFrame(list(enumerate(sentences)), "key int, sentence string")
+    found = sorted(tuple(r) for r in licences._term_counts(df, "key").collect())
+    assert found == [
+        (0, "a", 2), (0, "b", 2), (0, "c", 1), (1, "one", 1), (3, "licence", 3), (3, "v1.0", 2),
+    ]
+
+
+def test_very_long_licence_line_takes_little_time(spark):
+    words = " ".join(f"word{i}" for i in range(30_000))
+    notice = "Licensed under the Apache License, Version 2.0."
+    rows = [(1, words + " released under some licence " + words), (2, notice), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    start = time.perf_counter()
+    found = {r["doc_id"]: r for r in licences.scan(docs, F.concat(F.lit("a/"), F.col("doc_id").cast("string"))).collect()}
+    assert time.perf_counter() - start < 60
+    assert found[2]["own_licence"] == "Apache-2.0" and found[1]["own_licence"] is None
+    assert found[3]["licence"] == "Apache-2.0"
