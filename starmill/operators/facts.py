@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.operators.lookups import Lookup, join_large, resolve, resolve_or_drop
+from starmill.operators.lookups import Lookup, join_in_buckets, join_large, resolve, resolve_or_drop
 
 
 def event_fact(
@@ -22,15 +22,20 @@ def event_fact(
     calendar_key: str,
     row_id: str,
     measure: str,
+    in_buckets: bool = False,
 ) -> DataFrame:
     """Event fact: attributes pulled from a large entity, calendar key, count of 1.
 
     Movement and entity may both be large, and one entity (say, the one with every
-    attribute missing) may hold a large share of the movement, hence the spread join.
-    Events without an entity leave the fact; ``missing_entities`` counts them.
+    attribute missing) may hold a large share of the movement, hence the spread join; or,
+    where both are stored in buckets of the entity's key, a join of buckets without a
+    shuffle. Events without an entity leave the fact; ``missing_entities`` counts them.
     """
     wanted = entities.select(entity_key, *pulled)
-    joined = join_large(movement, wanted, entity_key, entity_key, [row_id], "inner")
+    if in_buckets:
+        joined = join_in_buckets(movement, wanted, entity_key)
+    else:
+        joined = join_large(movement, wanted, entity_key, entity_key, [row_id], "inner")
     dated = resolve(joined, [Lookup(days, day, calendar_day, calendar_key, day_key)])
     return dated.drop(day).withColumn(measure, F.lit(1).cast("bigint"))
 

@@ -244,3 +244,28 @@ def join_large(
     """
     heavy = [] if fits_broadcast(right) else None
     return join_spreading_heavy(left, right, left_key, right_key, spread_by, how, heavy)
+
+
+def join_in_buckets(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", heavy: Sequence | None = None
+) -> DataFrame:
+    """Inner or left equi-join of two large tables that are stored in buckets of the key.
+
+    Neither side is shuffled: bucket meets bucket. A heavy key would fill its bucket's task, so
+    the rows of heavy keys leave that join and meet their few right rows by broadcast, in the
+    splits in which they are read. ``right`` holds one row per key. ``heavy`` lists the heavy
+    keys; without it one pass over the left keys finds them, at most two per bucket or
+    shuffle partition.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"join type {how!r} would repeat right rows")
+    if heavy is None:
+        heavy = [v for v in heavy_values(left, [key])[key] if v is not None]
+    if not heavy:
+        return left.join(right, key, how)
+    kind = dict(left.dtypes)[key]
+    listed = left.sparkSession.createDataFrame([(v,) for v in heavy], f"`{key}` {kind}")
+    cold = left.join(F.broadcast(listed), key, "left_anti").join(right, key, how)
+    few = right.join(F.broadcast(listed), key, "left_semi")  # a row per heavy key
+    hot = left.join(F.broadcast(listed), key, "left_semi").join(F.broadcast(few), key, how)
+    return cold.unionByName(hot)

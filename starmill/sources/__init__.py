@@ -1,5 +1,6 @@
 """Readers of delivered files and the tables the loads write."""
 
+from starmill.sources.buckets import BucketedTable
 from starmill.sources.delimited import (
     absent_columns,
     delivered_files,
@@ -16,6 +17,7 @@ from starmill.sources.tables import BrokenRules, Tables, empty, read_or_empty
 
 __all__ = [
     "BrokenRules",
+    "BucketedTable",
     "FileLedger",
     "Tables",
     "absent_columns",

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from starmill.operators import dimensions
 from starmill.operators.dimensions import new_members, unseen_members, without_strangers
+from starmill.operators.facts import event_fact
 from starmill.operators.filters import MAX_BITS, filter_bits, key_filter, may_be_in
+from starmill.operators.lookups import join_in_buckets
+from starmill.sources import BucketedTable
 
 
 @pytest.mark.parametrize("kind", ["bigint", "string"])
@@ -58,3 +61,51 @@ def test_member_stored_with_another_fingerprint_fails(spark):
     other = spark.createDataFrame([("a", 11)], "code string, mark bigint")
     with pytest.raises(Exception, match="two members under one code: a"):
         new_members(existing, other, "code", "sk", fingerprint="mark").collect()
+
+
+@pytest.fixture
+def in_buckets(spark, tmp_path):
+    """Movement with one key in a third of its rows, and entities, in eight buckets."""
+    movement = spark.range(30_000).selectExpr("IF(id % 3 = 0, 7, id % 900) AS k", "id AS event", "id % 5 AS d")
+    entities = spark.range(1, 800).selectExpr("id AS k", "id * 10 AS place")
+    tables = []
+    for name, df in (("movement", movement), ("entities", entities)):
+        stored = BucketedTable(spark, str(tmp_path / name), df.schema, "k", 8)
+        stored.append(df)
+        tables.append(stored)
+    return movement, entities, *tables
+
+
+def test_join_of_buckets_needs_no_exchange(spark, in_buckets):
+    movement, entities, events, persons = in_buckets
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        for how in ("inner", "left"):
+            joined = join_in_buckets(events.read(), persons.read(), "k", how)
+            found = sorted(map(tuple, joined.select("k", "event", "place").collect()), key=str)
+            plain = movement.join(entities, "k", how).select("k", "event", "place").collect()
+            assert found == sorted(map(tuple, plain), key=str)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" in plan
+            assert plan.count("BroadcastHashJoin") >= 2  # the heavy key goes its own way
+        days = spark.range(5).selectExpr("id AS day", "id + 100 AS day_key")
+        fact = event_fact(
+            events.read(), persons.read(), "k", ["place"], days.withColumnRenamed("day", "c"), "d", "key", "c",
+            "day_key", "", "n", in_buckets=True,
+        )
+        assert fact.count() == movement.join(entities, "k").count()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_buckets_are_appended_to_and_replaced(spark, in_buckets):
+    movement, _, events, persons = in_buckets
+    events.append(movement.limit(100))
+    assert events.read().count() == 30_100
+    persons.replace(spark.createDataFrame([(5, 50)], "k bigint, place bigint"))
+    again = BucketedTable(spark, persons.path, "k bigint, place bigint", "k", 8)
+    assert [tuple(r) for r in again.read().collect()] == [(5, 50)]
+    with pytest.raises(ValueError, match="would repeat"):
+        join_in_buckets(events.read(), persons.read(), "k", "full")
