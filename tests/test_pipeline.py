@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import shutil
 from collections import Counter
 from datetime import date, datetime
 
@@ -147,6 +148,25 @@ def delivered(tmp_path_factory):
     return deliveries, events
 
 
+@pytest.fixture(scope="module")
+def catalogues(spark, delivered, tmp_path_factory):
+    """Folder of a warehouse with code lists and catalogues and nothing else."""
+    deliveries, _ = delivered
+    tables = Tables(spark, str(tmp_path_factory.mktemp("catalogues") / "w"))
+    load_code_lists(tables, STAMP)
+    load_causes(tables, deliveries.causes, STAMP)
+    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
+    load_occupations(tables, deliveries.occupations, STAMP)
+    return tables.root
+
+
+@pytest.fixture
+def tables(spark, catalogues, tmp_path):
+    """A warehouse of its own to load movements into."""
+    shutil.copytree(catalogues, tmp_path / "w")
+    return Tables(spark, str(tmp_path / "w"))
+
+
 @pytest.fixture(scope="module")
 def built(spark, delivered, tmp_path_factory):
     deliveries, _ = delivered
@@ -383,15 +403,10 @@ def test_missing_column_stops_the_load(spark, tmp_path):
         load_occupations(Tables(spark, str(tmp_path / "w")), bad, STAMP)
 
 
-def test_streamed_files_equal_batch_load(spark, delivered, built, tmp_path):
+def test_streamed_files_equal_batch_load(spark, delivered, built, tables, tmp_path):
     deliveries, events = delivered
     folder = tmp_path / "arriving"
     folder.mkdir()
-    tables = Tables(spark, str(tmp_path / "w"))
-    load_code_lists(tables, STAMP)
-    load_causes(tables, deliveries.causes, STAMP)
-    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
-    load_occupations(tables, deliveries.occupations, STAMP)
 
     def load(batch):
         load_event_rows(tables, batch, STAMP)
@@ -412,11 +427,8 @@ def test_calendar_covers_days_outside_its_bounds(spark):
     assert calendar_ends(inside, *bounds) == bounds
 
 
-def test_population_rejects_and_counts(spark, delivered, tmp_path):
+def test_population_rejects_and_counts(spark, delivered, tables, tmp_path):
     deliveries, _ = delivered
-    tables = Tables(spark, str(tmp_path / "w"))
-    load_code_lists(tables, STAMP)
-    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
     path = tmp_path / "estimate_2018.csv"
     path.write_bytes(type(path)(deliveries.population[0]).read_bytes())
     report = load_population(tables, str(path), STAMP)
@@ -437,13 +449,8 @@ def test_population_rejects_and_counts(spark, delivered, tmp_path):
     assert rejects() == []
 
 
-def test_event_rejects_and_counts(spark, delivered, tmp_path):
+def test_event_rejects_and_counts(spark, delivered, tables, tmp_path):
     deliveries, events = delivered
-    tables = Tables(spark, str(tmp_path / "w"))
-    load_code_lists(tables, STAMP)
-    load_causes(tables, deliveries.causes, STAMP)
-    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
-    load_occupations(tables, deliveries.occupations, STAMP)
     path = tmp_path / "deaths_2019.csv"
     write_events(path, events[2019])
     with path.open("a", encoding="utf-8") as file:
@@ -474,15 +481,10 @@ def test_event_rejects_and_counts(spark, delivered, tmp_path):
     assert movement_rows(tables) == Counter(tuple(e[f] for f in FIELDS) for e in kept)
 
 
-def test_corrected_event_files_replace_what_they_held(spark, delivered, tmp_path):
+def test_corrected_event_files_replace_what_they_held(spark, delivered, tables, tmp_path):
     deliveries, events = delivered
     folder = tmp_path / "arriving"
     folder.mkdir()
-    tables = Tables(spark, str(tmp_path / "w"))
-    load_code_lists(tables, STAMP)
-    load_causes(tables, deliveries.causes, STAMP)
-    load_places(tables, deliveries.places, deliveries.capitals, STAMP)
-    load_occupations(tables, deliveries.occupations, STAMP)
 
     def run():
         return load_arrived_events(tables, str(folder), STAMP, str(tmp_path / "checkpoint"))
@@ -498,10 +500,7 @@ def test_corrected_event_files_replace_what_they_held(spark, delivered, tmp_path
     assert movement_rows(tables) == Counter(tuple(e[f] for f in FIELDS) for e in kept)
 
 
-def test_broken_version_is_not_published(spark, built, delivered, tmp_path):
-    tables = Tables(spark, str(tmp_path / "w"))
-    load_code_lists(tables, STAMP)
-    load_places(tables, delivered[0].places, delivered[0].capitals, STAMP)
+def test_broken_version_is_not_published(spark, built, tables):
     towns = read(tables, "DWCD_MUNICIPIO")
     before = sorted(map(str, towns.collect()))
     broken = towns.unionByName(towns.limit(1)).withColumn(
