@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from starmill.functions.values import UNKNOWN_KEY
 
 _SOURCE, _CODE, _VALUE, _SALT = "__source", "__code", "__value", "__salt"
+_LITERAL_KEYS = 64
 _TASK_GROUPS = 1024  # so many sketches at most meet in the last merge
 
 
@@ -173,17 +174,29 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _salts(key: Column, shares: Mapping, partitions: int) -> Column:
-    """Number of salts of a key: a power of two by its share, 1 for keys not listed."""
+def _with_salts(df: DataFrame, key: str, shares: Mapping, partitions: int, name: str) -> DataFrame:
+    """Add the number of salts of a key: a power of two by its share, 1 for keys not listed.
+
+    A few keys are literals of the plan. More are a broadcast table: at most two rows per
+    shuffle partition, however many partitions there are.
+    """
+    numbers = {
+        value: min(partitions, 2 ** math.ceil(math.log2(max(2.0, 4 * share * partitions))))
+        for value, share in shares.items()
+        if value is not None
+    }
+    if len(numbers) > _LITERAL_KEYS:
+        schema = f"__salted {dict(df.dtypes)[key]}, `{name}` int"
+        listed = F.broadcast(df.sparkSession.createDataFrame(list(numbers.items()), schema))
+        salted = df.join(listed, F.col(key) == F.col("__salted"), "left")
+        return salted.select(*df.columns, F.coalesce(name, F.lit(1)).alias(name))
     groups: dict[int, list] = {}
-    for value, share in shares.items():
-        wanted = max(2.0, 4 * share * partitions)
-        if value is not None:
-            groups.setdefault(min(partitions, 2 ** math.ceil(math.log2(wanted))), []).append(value)
+    for value, number in numbers.items():
+        groups.setdefault(number, []).append(value)
     number = F.lit(1)
     for salts, values in groups.items():
-        number = F.when(key.isin(values), salts).otherwise(number)
-    return number
+        number = F.when(F.col(key).isin(values), salts).otherwise(number)
+    return df.withColumn(name, number)
 
 
 def join_spreading_heavy(
@@ -200,8 +213,7 @@ def join_spreading_heavy(
     ``right`` holds one row per key. Rows of a heavy key are spread over salts, as many
     as its share of the rows asks for, and the key's single right row is repeated once per
     salt. Other keys keep salt 0, so they are shuffled as usual. ``heavy`` gives the heavy
-    keys, with their shares where known; the plan lists them, at most two per shuffle
-    partition.
+    keys, with their shares where known, at most two per shuffle partition.
 
     The salt is a hash of columns that differ within the key, by default of the task and
     all columns. It does not depend on the order of rows, so a retried task sends each
@@ -220,12 +232,11 @@ def join_spreading_heavy(
     shares = heavy if isinstance(heavy, Mapping) else dict.fromkeys(heavy, 1.0)
     partitions = _partitions(left)
     spreading = spread_by or [F.spark_partition_id(), *left.columns]
-    salts = F.when(F.col(left_key).isNull(), partitions).otherwise(
-        _salts(F.col(left_key), shares, partitions)
-    )
-    facts = left.withColumn("__left_salt", F.pmod(F.xxhash64(*spreading), salts).cast("int"))
-    repeated = F.sequence(F.lit(0), _salts(F.col("__right_key"), shares, partitions) - 1)
-    dim = dim.withColumn(_SALT, F.explode(repeated))
+    facts = _with_salts(left, left_key, shares, partitions, "__salts")
+    salts = F.when(F.col(left_key).isNull(), partitions).otherwise(F.col("__salts"))
+    facts = facts.withColumn("__left_salt", F.pmod(F.xxhash64(*spreading), salts).cast("int"))
+    dim = _with_salts(dim, "__right_key", shares, partitions, "__salts_right")
+    dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col("__salts_right") - 1)))
     match = match & (F.col("__left_salt") == F.col(_SALT))
     return facts.join(dim, match, how).select(*left.columns, *values)
 

@@ -94,6 +94,18 @@ def test_join_spreading_heavy_equals_plain_join(spark, rows, how):
     assert rows(spread) == rows(plain)
 
 
+def test_many_heavy_keys_are_a_broadcast_table(spark, rows, monkeypatch):
+    left = spark.range(5000).selectExpr("IF(id % 3 = 0, NULL, id % 40) AS k", "id")
+    right = spark.range(30).selectExpr("id AS rk", "id * 2 AS v")
+    shares = {None: 0.33, **{k: 0.015 for k in range(40)}}
+    plain = rows(left.join(right, left.k == right.rk, "left").select("k", "id", "v"))
+    monkeypatch.setattr(lookups, "_LITERAL_KEYS", 8)
+    spread = lookups.join_spreading_heavy(left, right, "k", "rk", how="left", heavy=shares)
+    assert rows(spread, "k", "id", "v") == plain
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salted" in plan and " INSET " not in plan
+
+
 def test_join_spreading_heavy_spreads(spark):
     """The largest task of the shuffle holds far less than the heavy key's rows."""
     left = spark.range(80000).select(
