@@ -39,11 +39,16 @@ strengths AS (
   SELECT *, CASE WHEN vb > 0 THEN greatest(1, mb * (1 - mb) / vb - 1) ELSE 100 END AS kb,
          CASE WHEN vs > 0 THEN greatest(1, ms * (1 - ms) / vs - 1) ELSE 100 END AS ks,
          CASE WHEN vl > 0 THEN greatest(1, ml * (1 - ml) / vl - 1) ELSE 100 END AS kl FROM prior),
+shrunk AS (
+  SELECT source, (b + kb * mb) / (n + kb) AS rb, n + kb + 1 AS wb, (s + ks * ms) / (n + ks) AS rs, n + ks + 1 AS ws,
+         (l + kl * ml) / (n + kl) AS rl, n + kl + 1 AS wl
+  FROM hosts, strengths),
 rates AS (
-  SELECT source, greatest((b + kb * mb) / (n + kb), (s + ks * ms) / (n + ks), (l + kl * ml) / (n + kl)) AS worst
-  FROM hosts, strengths)
+  SELECT source, greatest(rb - 1.96 * sqrt(rb * (1 - rb) / wb), rs - 1.96 * sqrt(rs * (1 - rs) / ws),
+                          rl - 1.96 * sqrt(rl * (1 - rl) / wl)) AS worst
+  FROM shrunk)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT symbols_failed AND coalesce(worst, 0) <= 0.5 AS kept
+       NOT base_failed AND coalesce(worst, 0) <= 0.25 AS kept
 FROM failed LEFT JOIN rates USING (source)
 """
 

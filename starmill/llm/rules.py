@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.operators.lookups import join_large
 from starmill.sources.scratch import written
 
 WINDOW = 5
@@ -17,7 +18,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10
 MAX_LINE_PERCENT = 30
-MAX_HOST_RATE = 0.5
+# A host is rejected once the lower end of the 95 % interval of its rate of failure, by the
+# posterior of some rule, lies above this.
+MAX_HOST_RATE, DEVIATIONS = 0.25, 1.96
 # Failures that a host is judged by.
 HOST_RULES = ["base", "symbols", "lines"]
 _SPACE = r"[ \t\n\x0B\f\r]"
@@ -111,11 +114,12 @@ def failures() -> dict[str, Column]:
 
 
 def host_rates(measured: DataFrame, host: str) -> DataFrame:
-    """Per host its documents and, per rule, the shrunk rate of failure.
+    """Per host its documents and, per rule, the shrunk rate of failure and its lower end.
 
     The beta prior of a rule has the mean rate of all hosts and a strength by moments:
-    the closer hosts agree, the more documents a host needs to be judged apart. One row
-    per host is grouped; the prior is one row.
+    the closer hosts agree, the more documents a host needs to be judged apart. ``low`` is the
+    rate less the deviations of its posterior, so a host with few documents is given the
+    benefit of the doubt. One row per host is grouped; the prior is one row.
     """
     counts = measured.filter(F.col(host).isNotNull()).groupBy(host)
     counts = counts.agg(
@@ -136,24 +140,26 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
         strength = F.when(
             var > 0, F.greatest(F.lit(1.0), mean * (1 - mean) / var - 1)
         ).otherwise(F.lit(100.0))
-        rates = rates.withColumn(
-            f"rate_{rule}",
-            (F.col(f"failed_{rule}") + strength * mean) / (F.col("n_docs") + strength),
-        )
-    return rates.select(host, "n_docs", *[f"rate_{rule}" for rule in HOST_RULES])
+        weight = F.col("n_docs") + strength
+        rates = rates.withColumn(f"rate_{rule}", (F.col(f"failed_{rule}") + strength * mean) / weight)
+        rate = F.col(f"rate_{rule}")
+        spread = F.sqrt(rate * (1 - rate) / (weight + 1))
+        rates = rates.withColumn(f"low_{rule}", rate - DEVIATIONS * spread)
+    return rates.select(host, "n_docs", *[f"{kind}_{rule}" for kind in ("rate", "low") for rule in HOST_RULES])
 
 
 def judge(
     docs: DataFrame, host: str = "source", text_column: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """The columns ``keep`` with counts, ``base_failed``, host rates and ``kept``.
+    """The columns ``keep`` with counts, failures, host rates, ``host_kept`` and ``kept``.
 
     A document is kept unless it fails the base rule (under ten words, or over a fifth of
-    them in repeated windows), fails the symbol rule or stands on a host of which more
-    than half the documents fail some rule, by the shrunk rate. A document without a host
-    is judged alone. Repeated rows are judged alike; no rows give no rows. The counts are
-    written once; host rates are joined back to narrow rows, so a host with most documents
-    is a skewed join key that Spark can split.
+    them in repeated windows) or stands on a rejected host: one of which, by the posterior of
+    some rule, more than a quarter of the documents fail. ``symbols_failed`` and
+    ``lines_failed`` tell of the document what else its host is judged by. A document
+    without a host has no verdict but its own. Repeated rows are judged alike; no rows give
+    no rows. The counts are written once; host rates are joined back to narrow rows, those
+    of a host with most documents spread where the rates are beyond broadcast.
     """
     picked = {f"__keep_{i}": F.col(f"`{c}`") for i, c in enumerate(keep)}
     narrow = docs.select(
@@ -163,10 +169,9 @@ def judge(
     )
     measured = written(measure(narrow, "__text").drop("__text"), "measured")
     rates = host_rates(measured, "__host").withColumnRenamed("__host", "__rated")
-    joined = measured.join(rates, F.col("__host") == F.col("__rated"), "left")
-    worst = F.greatest(*[F.coalesce(f"rate_{r}", F.lit(0.0)) for r in HOST_RULES])
-    rules = failures()
-    good = ~rules["base"] & ~rules["symbols"] & (worst <= MAX_HOST_RATE)
+    joined = join_large(measured, rates, "__host", "__rated")
+    worst = F.greatest(*[F.coalesce(f"low_{r}", F.lit(0.0)) for r in HOST_RULES])
+    found, host_kept = failures(), worst <= MAX_HOST_RATE
     return joined.select(
         *[F.col(n).alias(c) for n, c in zip(picked, keep)],
         "n_words",
@@ -174,7 +179,8 @@ def judge(
         "n_symbols",
         "n_dup_lines",
         "n_repeat_words",
-        rules["base"].alias("base_failed"),
+        *[found[rule].alias(f"{rule}_failed") for rule in HOST_RULES],
         *[F.coalesce(f"rate_{r}", F.lit(0.0)).alias(f"host_rate_{r}") for r in HOST_RULES],
-        good.alias("kept"),
+        host_kept.alias("host_kept"),
+        (~found["base"] & host_kept).alias("kept"),
     )

@@ -54,9 +54,10 @@ def plain_rules(rows):
             every = [r[k] for r in rates.values()]
             mu, var = mean(every), variance(every) if len(every) > 1 else 0.0
             m = max(1.0, mu * (1 - mu) / var - 1) if var > 0 else 100.0
-            shrunk.append((sum(f[k] for f in own) + m * mu) / (len(own) + m))
+            rate = (sum(f[k] for f in own) + m * mu) / (len(own) + m)
+            shrunk.append(rate - 1.96 * math.sqrt(rate * (1 - rate) / (len(own) + m + 1)))
         worst[h] = max(shrunk)
-    return {i: not f[0] and not f[1] and worst[h] <= 0.5 for i, (h, f) in counts.items()}
+    return {i: not f[0] and worst[h] <= 0.25 for i, (h, f) in counts.items()}
 
 
 def test_host_rules_as_plain_python(spark, documents):

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starmill.llm import licences, neighbours, quality, toxicity
+from starmill.llm import licences, neighbours, quality, rules, toxicity
 from starmill.llm.html_text import hides, main_text
 
 PROSE = "The quick brown fox was in the garden and it is that which for on are as with the people of the town."
@@ -130,3 +130,17 @@ def test_very_long_licence_line_takes_little_time(spark):
     assert time.perf_counter() - start < 60
     assert found[2]["own_licence"] == "Apache-2.0" and found[1]["own_licence"] is None
     assert found[3]["licence"] == "Apache-2.0"
+
+
+def test_verdicts_come_from_hosts(spark):
+    good, loud = "a b c d e f g h i j k", "a b c d e f g h i j k ### $$$ %%%"
+    rows = [(i, loud if i % 20 == 0 else good, None, f"host{i % 9}", None) for i in range(900)]
+    rows += [(2000 + i, loud if i % 2 else good, None, "loud", None) for i in range(300)]
+    rows += [(3000, loud, None, "new", None), (4000, loud, None, None, None)]
+    judged = {r["doc_id"]: r for r in rules.judge(fixtures.frame(spark, rows)).collect()}
+    # Half of a large host's documents fail the rule of symbols: all of them go.
+    assert not judged[2000]["kept"] and not judged[2000]["symbols_failed"] and not judged[2000]["host_kept"]
+    assert not judged[2001]["kept"] and judged[2001]["symbols_failed"] and not judged[2001]["base_failed"]
+    # A host with one document is not judged by it, nor is a document of a good host.
+    assert judged[3000]["symbols_failed"] and judged[3000]["kept"]
+    assert judged[0]["symbols_failed"] and judged[0]["kept"] and judged[4000]["kept"]
