@@ -18,6 +18,9 @@ from starmill.sources.scratch import written
 
 
 ROW = ["__row_a", "__row_b"]
+# Workers live on from stage to stage, and so do the words that packing keeps; beside the joins
+# of the other stages they have room for 80 MB a worker. Words beyond are encoded again.
+KEPT_WORDS = 200_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +59,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents with their place in a sequence."""
-    return packing.pack_documents(docs, tokenizer_file(BYTE_TOKENIZER), BYTE_END, CAPACITY)
+    return packing.pack_documents(
+        docs, tokenizer_file(BYTE_TOKENIZER), BYTE_END, CAPACITY, kept_words=KEPT_WORDS
+    )
 
 
 STAGES = [

@@ -38,11 +38,11 @@ def cut_lengths(total: int, capacity: int) -> list[int]:
     return ([rest] if rest else []) + [capacity] * (total // capacity)
 
 
-def _cut(path: str, spaces: str, end_id: int, capacity: int, with_tokens: bool):
+def _cut(path: str, spaces: str, end_id: int, capacity: int, with_tokens: bool, kept_words: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path, spaces, KEPT_WORDS)
+        words = encoder(path, spaces, kept_words)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for low, high in slices(pc.utf8_length(texts).fill_null(0).to_pylist()):
@@ -74,15 +74,17 @@ def cut_documents(
     with_tokens: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
+    kept_words: int = KEPT_WORDS,
 ) -> DataFrame:
     """Pieces of every document: its ids and the end id, cut only beyond ``capacity``.
 
     A null or empty text is one piece with the end id. Rows with equal ids are documents
-    of their own. ``with_tokens`` adds the ids of each piece. No shuffle.
+    of their own. ``with_tokens`` adds the ids of each piece. ``kept_words`` bounds the words
+    that a worker holds, also between its tasks (about 400 bytes each). No shuffle.
     """
     rows = docs.select(F.col(f"`{id_column}`").cast("bigint"), F.col(f"`{text_column}`").cast("string"))
     schema = PIECES + (", tokens array<int>" if with_tokens else "")
-    return map_arrow(rows, _cut(tokenizer, spaces, end_id, capacity, with_tokens), schema)
+    return map_arrow(rows, _cut(tokenizer, spaces, end_id, capacity, with_tokens, kept_words), schema)
 
 
 class BestFit:
@@ -164,10 +166,16 @@ def pack(pieces: DataFrame, capacity: int, open_bins: int = OPEN_BINS) -> DataFr
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, spaces: str = "lead"
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int,
+    capacity: int,
+    spaces: str = "lead",
+    kept_words: int = KEPT_WORDS,
 ) -> DataFrame:
     """Cut, store and pack all documents: one row per piece. No rows give no rows."""
-    pieces = written(cut_documents(docs, tokenizer, end_id, capacity, spaces), "pieces")
+    cut = cut_documents(docs, tokenizer, end_id, capacity, spaces, kept_words=kept_words)
+    pieces = written(cut, "pieces")
     return pack(pieces, capacity)
 
 

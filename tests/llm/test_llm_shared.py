@@ -9,12 +9,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import fixtures
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starmill.llm import line_dedup, prefix_trie, search
+from starmill.llm import line_dedup, packing, prefix_trie, queries, search
 from starmill.sources.scratch import written
 
 SPACES = " \t\n\x0b\f\r"
@@ -277,3 +278,16 @@ def test_shared_sets_are_scored_once():
     assert len(graph.members) < len({(t, i) for i, item in enumerate(items) for t in item})
     alike = search.mine_shared_sets([[3, 1, 2]] * 50)
     assert alike.nodes == 2 and len(alike.members) == 3
+
+
+def test_few_kept_words_change_no_piece(spark):
+    """The pipeline lets its workers keep fewer words than an operator on its own."""
+    texts = [" ".join(f"word{(i * j) % 97} and" for j in range(60)) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    file = queries.tokenizer_file(queries.BYTE_TOKENIZER)
+    cut = [
+        packing.cut_documents(docs, file, 0, 64, kept_words=kept).orderBy("doc_id", "piece").collect()
+        for kept in (5, packing.KEPT_WORDS)
+    ]
+    assert cut[0] == cut[1]
+    assert corpus_pipeline.KEPT_WORDS < packing.KEPT_WORDS
