@@ -8,7 +8,13 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starmill.functions.values import UNKNOWN_KEY, trimmed, whole_number, zero_pad
+from starmill.functions.values import (
+    UNKNOWN_KEY,
+    integer_before_zero,
+    trimmed,
+    whole_number,
+    zero_pad,
+)
 
 # Text that may not be canonical yet; most codes are, and skip the rest.
 _UNCLEAN = r"^[0+]|[.\s\u00a0]"
@@ -24,7 +30,8 @@ def code_text(column: Column) -> Column:
     """
     text = column.cast("string")
     cleaned = F.regexp_replace(trimmed(text), _INTEGER, "$1$2")
-    return F.when(text.rlike(_UNCLEAN), cleaned).otherwise(text)
+    unclean = F.coalesce(integer_before_zero(text), cleaned)
+    return F.when(text.rlike(_UNCLEAN), unclean).otherwise(text)
 
 
 def code_prefix(column: Column, length: int) -> Column:

@@ -26,9 +26,28 @@ _DAY_DIGITS = rf"^\s*0*((?:{_DAY_AND_MONTH})(?!0000)\d{{4}})(?:\.\d*)?\s*$"
 
 
 def parse_day(column: Column) -> Column:
-    """``1022020`` (leading zero lost) to 2020-02-01; impossible days to null."""
-    digits = matched(column, _DAY_DIGITS)
-    return F.try_to_date(F.lpad(digits, len(SOURCE_DAY), "0"), SOURCE_DAY)
+    """``1022020`` (leading zero lost) to 2020-02-01; impossible days to null.
+
+    Seven or eight digits and nothing else are taken apart as a number; other text meets the
+    pattern and the date parser, which cost some times as much.
+    """
+    text = column.cast("string")
+    number, length = text.try_cast("int"), F.length(text)
+    # So large a number leaves no room for anything but its digits.
+    plain = (number >= 1_000_000) & (
+        ((length == 8) & ((number >= 10_000_000) | text.startswith("0")))
+        | ((length == 7) & (number < 10_000_000))
+    )
+    day, month, year = F.floor(number / 1_000_000), F.floor(number / 10_000) % 100, number % 10_000
+    day, month = day.cast("int"), month.cast("int")
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    last = (
+        F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    )
+    exists = (year > 0) & month.between(1, 12) & (day >= 1) & (day <= last)
+    digits = matched(text, _DAY_DIGITS)
+    parsed = F.try_to_date(F.lpad(digits, len(SOURCE_DAY), "0"), SOURCE_DAY)
+    return F.when(plain, F.when(exists, F.make_date(year, month, day))).otherwise(parsed)
 
 
 def day_text(day: Column) -> Column:

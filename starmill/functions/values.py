@@ -66,10 +66,21 @@ def equals_flag(column: Column, value) -> Column:
 def whole_number(column: Column) -> Column:
     """Integer part of numeric text (``'1.0'`` and ``'1'`` both give 1), else null.
 
-    Only text with a point meets the pattern; plain integers are cast straight away.
+    Only text with a point meets the pattern, and not even that where the point and a zero
+    follow an integer in its shortest form; plain integers are cast straight away.
     """
     text = column.cast("string")
-    return F.when(text.contains("."), matched(text, _DECIMAL)).otherwise(text).try_cast("bigint")
+    head = integer_before_zero(text)
+    slow = F.when(text.contains("."), matched(text, _DECIMAL)).otherwise(text).try_cast("bigint")
+    return F.coalesce(head.try_cast("bigint"), slow)
+
+
+def integer_before_zero(text: Column) -> Column:
+    """``'1'`` out of ``'1.0'``; null unless the text is an integer as Spark would print it,
+    and ``.0``. Blanks turn integer columns of source files into this form."""
+    head = F.substring(text, F.lit(1), F.length(text) - 2)
+    printed = head.try_cast("bigint").cast("string")
+    return F.when(text.endswith(".0"), F.when(printed == head, head))
 
 
 def zero_pad(column: Column, width: int) -> Column:

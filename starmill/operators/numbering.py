@@ -51,15 +51,15 @@ def number_stored(stored: DataFrame, key: str, after: int = 0) -> DataFrame:
     Spark's writer names them, in one folder or in one of several partitions. What is broadcast has two numbers per file, and only up
     to a million files.
     """
-    name = F.col("_metadata.file_name")
-    task = F.split_part(name, F.lit("-"), F.lit(2)).cast("bigint")
-    place = F.regexp_extract(name, r"[-.]c(\d+)\.", 1).cast("bigint")
     spots = stored.select(
         "*",
-        (task * F.lit(1_000_000) + place).alias(_FILE),
+        F.col("_metadata.file_name").alias(_FILE),
         F.col("_metadata.row_index").alias(_ROW),
     )
-    before = Window.orderBy(_FILE).rowsBetween(Window.unboundedPreceding, -1)
+    # Names are taken apart per file, not per row.
+    task = F.split_part(_FILE, F.lit("-"), F.lit(2)).cast("bigint")
+    place = F.regexp_extract(_FILE, r"[-.]c(\d+)\.", 1).cast("bigint")
+    before = Window.orderBy(task, place, _FILE).rowsBetween(Window.unboundedPreceding, -1)
     firsts = (
         spots.groupBy(_FILE)
         .agg(F.count("*").alias("n"))

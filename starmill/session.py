@@ -61,6 +61,14 @@ def split_generated_code(spark: SparkSession):
     return _with_settings(spark, {"spark.sql.codegen.hugeMethodLimit": "8000"})
 
 
+def finer_tasks(spark: SparkSession):
+    """Leave four tasks a core at least, inside a ``with`` block, where small shuffle partitions
+    are combined. One a core, as Spark has it, ends in a second round of a few tasks, twice as
+    long where the work per row is dear."""
+    wanted = str(4 * spark.sparkContext.defaultParallelism)
+    return _with_settings(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionNum": wanted})
+
+
 def footer_aggregates(spark: SparkSession):
     """Answer MIN, MAX and COUNT of Parquet tables read inside the ``with`` block from
     file footers, without reading any column."""

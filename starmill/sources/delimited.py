@@ -61,9 +61,10 @@ def period_of_path(path: Column) -> Column:
 def delivery_name(path: Column) -> Column:
     """Delivery a row came from, as a full path: its folder when Spark wrote part files,
     else its file. Loads replace whole deliveries by this name, so files of one name in
-    two folders are two deliveries."""
+    two folders are two deliveries. A path without scheme and part file is that already."""
     plain = F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:(?://)?", "")
-    return F.regexp_replace(plain, "/part-[^/]*$", "")
+    named = path.startswith("/") & ~path.contains("/part-")
+    return F.when(named, path).otherwise(F.regexp_replace(plain, "/part-[^/]*$", ""))
 
 
 def delivery_names(files: Iterable[str]) -> set[str]:

@@ -1,12 +1,18 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from starmill.functions import code_text, parse_day
 from starmill.operators import checks, dimensions, lookups, numbering
-from starmill.session import footer_aggregates
-from starmill.sources import Tables, written
+from starmill.operators.numbering import number_stored
+from starmill.plans.model import WAREHOUSE
+from starmill.plans.warehouse import EVENT_COLUMNS, event_load, staged_events
+from starmill.session import finer_tasks, footer_aggregates
+from starmill.sources import Tables, empty, written
 from starmill.sources.tables import stamped
 
 
@@ -347,3 +353,54 @@ def test_colliding_members_fail_the_load(spark):
         differing = spark.createDataFrame([("a", "x"), ("a", other)], rows)
         with pytest.raises(Exception, match="rows of one key differ"):
             one_row_per_key(differing, "key", alike=True).collect()
+
+
+def test_finer_tasks_put_the_setting_back(spark):
+    name = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    before = spark.conf.get(name, None)
+    with finer_tasks(spark):
+        assert int(spark.conf.get(name)) == 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name, None) == before
+
+
+def test_numbers_of_stored_rows_take_no_name_apart_per_row(spark):
+    stored = written(spark.range(100).repartition(5), "stored")
+    numbered = number_stored(stored, "n", 7)
+    assert sorted(r.n for r in numbered.collect()) == list(range(8, 108))
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    # Once per file, below the window that orders the files.
+    assert plan.count("regexp_extract(") <= 1
+
+
+def test_small_new_members_need_no_pass_for_heavy_keys(spark, monkeypatch):
+    passes = []
+    found = lookups.heavy_shares
+    monkeypatch.setattr(
+        lookups, "heavy_shares", lambda df, columns, *a: passes.extend(columns) or found(df, columns, *a)
+    )
+    row = {c: "1" for c in EVENT_COLUMNS} | {"CAUSABAS": "V011", "LINHAA": "*R092*J18", "DTOBITO": "1022020"}
+    rows = [tuple({**row, "OCUP": str(n % 3), "source_path": "/in/a.csv"}.values()) for n in range(30)]
+    source = spark.createDataFrame(rows, [*EVENT_COLUMNS, "source_path"])
+    load = event_load(
+        staged_events(source), lambda name: empty(spark, WAREHOUSE[name].columns), datetime(2024, 5, 1)
+    )
+    assert load.persons.count() == 3 and load.causes.count() == 1
+    keys = load.movement.select("SK_PESSOA", "SK_CAUSAOBITO", "CD_OBITO").collect()
+    assert sorted(k.CD_OBITO for k in keys) == list(range(1, 31))
+    assert {k.SK_PESSOA for k in keys} == {1, 2, 3} and {k.SK_CAUSAOBITO for k in keys} == {1}
+    assert passes == []
+
+
+def test_days_and_codes_by_number_equal_those_by_pattern(spark):
+    days = {
+        "1022020": "2020-02-01", "01022020": "2020-02-01", "29022020": "2020-02-29", "29022021": None,
+        "29021900": None, "31042020": None, "00012020": None, "01010000": None, "+1022020": None,
+        " 1022020": "2020-02-01", "1022020.0": "2020-02-01", "0 102202": None, "15132020": None, None: None,
+    }
+    codes = {"1.0": "1", "01.0": "1", "-1.0": "-1", "1 .0": "1 .0", "a.0": "a.0", ".0": ".0", "1.00": "1"}
+    df = spark.createDataFrame([(k, v) for k, v in days.items()], "t string, v string")
+    for r in df.select("t", "v", parse_day(F.col("t")).cast("string").alias("got")).collect():
+        assert r.got == r.v, r.t
+    df = spark.createDataFrame([(k, v) for k, v in codes.items()], "t string, v string")
+    for r in df.select("t", "v", code_text(F.col("t")).alias("got")).collect():
+        assert r.got == r.v, r.t
