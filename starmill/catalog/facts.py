@@ -92,6 +92,14 @@ def event_source(spark, folder):
     def text(column):
         return column.cast("string")
 
+    def year_text(day):
+        year = F.year(day)
+        plain = F.lpad(text(year), 4, "0")
+        return F.when(year.between(1, 9999), plain).otherwise(F.date_format(day, "yyyy"))
+
+    def day_text(day):
+        return F.concat(text(F.dayofmonth(day)), F.lpad(text(F.month(day)), 2, "0"), year_text(day))
+
     number = F.col("l_linenumber")
     quantity = F.lpad(text(F.col("l_quantity").cast("int")), 2, "0")
     flag, line_status = F.col("l_returnflag"), F.col("l_linestatus")
@@ -108,11 +116,11 @@ def event_source(spark, folder):
         F.lit(None).cast("string").alias("LINHAD"),
         F.when(
             F.col("o_orderpriority") == "5-LOW",
-            F.concat(F.lit("3102"), F.date_format("l_shipdate", "yyyy")),
+            F.concat(F.lit("3102"), year_text("l_shipdate")),
         )
-        .otherwise(F.date_format("l_shipdate", "dMMyyyy"))
+        .otherwise(day_text("l_shipdate"))
         .alias("DTOBITO"),
-        F.when(~is_pending, F.concat(F.date_format("o_orderdate", "dMMyyyy"), F.lit(".0"))).alias(
+        F.when(~is_pending, F.concat(day_text("o_orderdate"), F.lit(".0"))).alias(
             "DTNASC"
         ),
         F.col("o_orderstatus").alias("SEXO"),
@@ -129,7 +137,7 @@ def event_source(spark, folder):
         .otherwise(F.lit("3"))
         .alias("CIRCOBITO"),
         F.when(number <= 5, text(number)).alias("TPOBITOCOR"),
-        F.concat(F.lit("/in/lines_"), F.date_format("l_shipdate", "yyyy"), F.lit(".csv")).alias(
+        F.concat(F.lit("/in/lines_"), year_text("l_shipdate"), F.lit(".csv")).alias(
             "source_path"
         ),
     )
@@ -239,7 +247,8 @@ def death_fact_query(spark, folder):
     loaded = load(spark, folder)
     no_holidays = empty(spark, "day date")
     days = calendar(spark, "1995-01-01", "2000-12-31", no_holidays, "SK_TEMPO_DIA")
-    persons = with_unknown(loaded.persons, "SK_PESSOA", {"SK_MUNICIPIO": -1})
+    # Stored, as the mart finds them: Spark then knows their size.
+    persons = written(with_unknown(loaded.persons, "SK_PESSOA", {"SK_MUNICIPIO": -1}), "persons")
     fact = death_fact(loaded.movement, persons, days.withColumnRenamed("day", "DATA"))
     return fact.drop("CD_OBITO")
 
